@@ -15,79 +15,81 @@ AGE_RANGES = ("<30", "30-45", ">45")
 AGE_GROUPS = ("18-29", "30-45", "46+")
 POSITIVE, NEUTRAL, NEGATIVE = "Positive", "Neutral", "Negative"
 
-WIDE = "decimal(38,0)"
 
 
 def equals_ignoring_case(column: Column, value: str) -> Column:
     """Case-insensitive equality, for tables that have not been through the cleaning step.
 
-    Cleaned tables are compared with plain ``==`` instead, which Parquet can evaluate in the scan.
+    Cleaned tables are compared with plain ``=`` instead, which Parquet can evaluate in the scan.
     """
     return F.lower(column) == F.lit(value.lower())
 
 
 def is_purchase() -> Column:
-    return F.col("Action") == PURCHASE
+    return F.expr(f"Action = '{PURCHASE}'")
 
 
 def is_checkout_purchase() -> Column:
-    return (F.col("Stage") == CHECKOUT) & (F.col("Action") == PURCHASE)
+    return F.expr(f"Stage = '{CHECKOUT}' AND Action = '{PURCHASE}'")
 
 
 def is_drop_off() -> Column:
-    return F.col("Action") == DROP_OFF
+    return F.expr(f"Action = '{DROP_OFF}'")
 
 
-def indicator(condition: Column) -> Column:
-    """1 where the condition holds, else 0; an unknown condition counts as 0."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+# The functions below take SQL text for their operands, a column name in most cases.
 
 
-def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def wide(operand: str) -> str:
+    """SQL text: the operand as DECIMAL(38,0), a missing one as 0."""
+    return f"CAST(coalesce({operand}, 0) AS DECIMAL(38,0))"
+
+
+def at_least_one(count: str) -> str:
+    """SQL text: rows a left-joined side gives per left row, its count or the one NULL row when there is none."""
+    return f"CAST(greatest(coalesce({count}, 0), 1) AS DECIMAL(38,0))"
+
+
+def wide_sum(operand: str) -> Column:
+    """Sum for products of per-key counts, which outgrow BIGINT long before the inputs do."""
+    return F.expr(f"CAST(sum({operand}) AS DECIMAL(38,0))")
+
+
+def rounded_ratio(numerator: str, denominator: str, digits: int) -> Column:
     """``numerator / denominator`` of whole numbers, rounded half away from zero to ``digits`` decimals.
 
     The rounding is whole-number arithmetic on DECIMAL(38,0), so ties never depend on binary fractions and a
     fanned-out sum cannot overflow. A zero denominator gives NULL.
     """
     scale = 10**digits
-    whole = F.abs(numerator.cast(WIDE))
-    twice = F.nullif(denominator.cast(WIDE) * F.lit(2), F.lit(0).cast(WIDE))
-    quotient = F.call_function("div", whole * F.lit(2 * scale) + denominator.cast(WIDE), twice)
-    signed = F.when(numerator < 0, -quotient).otherwise(quotient)
-    return signed.cast("double") / F.lit(float(scale))
+    top, bottom = f"CAST({numerator} AS DECIMAL(38,0))", f"CAST({denominator} AS DECIMAL(38,0))"
+    rounded = f"(abs({top}) * {2 * scale} + {bottom}) div nullif({bottom} * 2, 0)"
+    return F.expr(f"sign({top}) * CAST({rounded} AS DOUBLE) / {scale}D")
 
 
-def pct(part: Column, whole: Column) -> Column:
+def pct(part: str, whole: str) -> Column:
     """``part`` as a percentage of ``whole``, two decimals. The caller names the denominator explicitly."""
-    return rounded_ratio(part.cast(WIDE) * F.lit(100), whole, 2)
-
-
-def wide_sum(column: Column) -> Column:
-    """Sum for products of per-key counts, which outgrow BIGINT long before the inputs do."""
-    return F.sum(column.cast(WIDE)).cast(WIDE)
-
-
-def at_least_one(count: Column) -> Column:
-    """Rows a left-joined side contributes per left row: its count, or the one NULL row when there is none."""
-    return F.greatest(F.coalesce(count, F.lit(0)), F.lit(1)).cast(WIDE)
+    return rounded_ratio(f"(CAST({part} AS DECIMAL(38,0)) * 100)", whole, 2)
 
 
-def age_band(age: Column, labels: tuple[str, str, str] = AGE_RANGES, low: int = 30, high: int = 45) -> Column:
+def age_band(age: str, labels: tuple[str, str, str] = AGE_RANGES, low: int = 30, high: int = 45) -> Column:
     """Three bands cut at ``low`` and ``high``; a missing age falls into the last one."""
     below, between, above = labels
-    return F.when(age < low, below).when(age.between(low, high), between).otherwise(above)
+    return F.expr(
+        f"CASE WHEN {age} < {low} THEN '{below}' WHEN {age} BETWEEN {low} AND {high} THEN '{between}' ELSE '{above}' END"
+    )
 
 
-def rating_sentiment(rating: Column) -> Column:
+def rating_sentiment(rating: str) -> Column:
     """1 for a rating over 3, 0 for 3, else -1."""
-    return F.when(rating > 3, 1).when(rating == 3, 0).otherwise(-1)
+    return F.expr(f"CASE WHEN {rating} > 3 THEN 1 WHEN {rating} = 3 THEN 0 ELSE -1 END")
 
 
-def rating_sentiment_label(rating: Column) -> Column:
+def rating_sentiment_label(rating: str) -> Column:
     """Negative up to 2, Neutral at 3, else Positive."""
-    return F.when(rating <= 2, NEGATIVE).when(rating == 3, NEUTRAL).otherwise(POSITIVE)
+    return F.expr(f"CASE WHEN {rating} <= 2 THEN '{NEGATIVE}' WHEN {rating} = 3 THEN '{NEUTRAL}' ELSE '{POSITIVE}' END")
 
 
-def score_label(score: Column) -> Column:
+def score_label(score: str) -> Column:
     """Label by the sign of a score."""
-    return F.when(score > 0, POSITIVE).when(score < 0, NEGATIVE).otherwise(NEUTRAL)
+    return F.expr(f"CASE WHEN {score} > 0 THEN '{POSITIVE}' WHEN {score} < 0 THEN '{NEGATIVE}' ELSE '{NEUTRAL}' END")

@@ -1,40 +1,34 @@
-"""Joins of fact rows to a table that holds one row per key.
+"""Joins of single fact rows to a table that holds one row per key.
 
-Reports aggregate before they join wherever the result allows it. What is left are joins that need the
-single fact rows; those go through ``lookup_join``.
+Reports aggregate before they join wherever the result allows it, so most joins here see one row per key on
+both sides. What is left goes through ``lookup_join``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: a key is hot when it holds more than this share of the rows, so there are fewer than 1/HOT_SHARE of them
 HOT_SHARE = 1 / 1000
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of ``df`` is within ``spark.sql.autoBroadcastJoinThreshold``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+def _splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution is set to split skewed join partitions (it is by default)."""
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(name, "true").lower() == "true" for name in settings)
 
 
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: list[str],
-    how: str = "inner",
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Join fact rows to ``lookup`` on ``key`` without sending a hot key to one task.
+def lookup_join(fact: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], how: str = "inner") -> DataFrame:
+    """Join fact rows to ``lookup`` on ``key`` without leaving a hot key to one task.
 
-    A lookup small enough to broadcast is joined in place and moves no fact row. A larger one is shuffled,
-    with the hot keys salted. ``sized_by`` names the table whose size bounds the lookup when the optimizer
-    cannot see it (a per-product summary is bounded by the product table); Spark still re-checks the real
-    size before it broadcasts.
+    Spark broadcasts the lookup when its size is within ``spark.sql.autoBroadcastJoinThreshold``, as estimated
+    before and measured during the run; then no fact row moves. A larger one is shuffled, and adaptive
+    execution splits the partition of a hot key over many tasks. That needs no pass over the data beforehand,
+    and is possible for every caller because none groups by ``key`` right after the join. In a session that
+    has it switched off, the hot keys are salted instead.
     """
-    if fits_broadcast(sized_by if sized_by is not None else lookup):
+    if _splits_skew(fact.sparkSession):
         return fact.join(lookup, key, how)
     return salted_join(fact, lookup, key, spread_by, how)
 
@@ -59,7 +53,8 @@ def salted_join(
 
     Fact rows of a hot key get a salt from a hash of ``spread_by``; the lookup row of that key is repeated
     once per salt. Rows without a key match nothing, so they are spread as well. The salt depends on row
-    values only, so a recomputed task sends every row where it went before.
+    values only, so a recomputed task sends every row where it went before. Only the hot keys are broadcast,
+    fewer than ``1 / share`` rows.
     """
     if salts is None:
         salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))

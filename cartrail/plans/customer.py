@@ -40,17 +40,21 @@ def top_regions(star: Star, k: int = 5) -> DataFrame:
 
 
 def _regional_sales(star: Star) -> DataFrame:
-    """Purchases by country and product name."""
+    """Purchases by country and product name.
+
+    After the first step a place holds at most one row per product, and a product one per country: too few
+    rows on any key to need salting.
+    """
     bought = star.journey.where(is_purchase()).select("JourneyID", "CustomerID", "ProductID")
     homes = star.customers.select("CustomerID", "GeographyID")
     per_place = (
         lookup_join(bought, homes, "CustomerID", spread_by=["JourneyID"])
         .groupBy("GeographyID", "ProductID")
-        .agg(F.count(F.lit(1)).alias("sold"))
+        .agg(F.expr("count(*) AS sold"))
     )
-    placed = lookup_join(per_place, star.geography.select("GeographyID", "Country"), "GeographyID", ["ProductID"])
+    placed = per_place.join(star.geography.select("GeographyID", "Country"), "GeographyID")
     per_country = placed.groupBy("Country", "ProductID").agg(F.sum("sold").alias("sold"))
-    named = lookup_join(per_country, star.products.select("ProductID", "ProductName"), "ProductID", ["Country"])
+    named = per_country.join(star.products.select("ProductID", "ProductName"), "ProductID")
     return named.groupBy("Country", "ProductName").agg(F.sum("sold").alias("sales"))
 
 
@@ -64,25 +68,24 @@ def regional_product_sales(star: Star, k: int = 10) -> DataFrame:
 
 def customer_retention(star: Star, visits: Column | None = None) -> DataFrame:
     """Customers with more than one visit date, and the others. ``visits`` limits which journeys count."""
-    retained = F.when(F.col("returned"), "Retained").otherwise("One-Time").alias("Customer_Type")
-    return _returning(star, visits).groupBy(retained).agg(F.count(F.lit(1)).alias("Count"))
+    retained = F.expr("if(returned, 'Retained', 'One-Time') AS Customer_Type")
+    return _returning(star, visits).groupBy(retained).agg(F.expr("count(*) AS Count"))
 
 
 def retention_rate(star: Star, visits: Column | None = None) -> DataFrame:
     """One row: customers, those with more than one visit date, and their share."""
     totals = _returning(star, visits).agg(
         F.count("CustomerID").alias("Total_Customers"),
-        F.coalesce(F.count_if("returned"), F.lit(0)).alias("Retained_Customers"),
+        F.count_if("returned").alias("Retained_Customers"),
     )
-    rate = pct(F.col("Retained_Customers"), F.col("Total_Customers"))
-    return totals.withColumn("Retention_Rate", rate)
+    return totals.withColumn("Retention_Rate", pct("Retained_Customers", "Total_Customers"))
 
 
 def _returning(star: Star, visits: Column | None) -> DataFrame:
     """More than one distinct date is the same as first date before last: no distinct set per customer."""
     counted = star.journey if visits is None else star.journey.where(visits)
-    several = F.coalesce(F.min("VisitDate") < F.max("VisitDate"), F.lit(False))
-    return counted.groupBy("CustomerID").agg(several.alias("returned"))
+    several = F.expr("coalesce(min(VisitDate) < max(VisitDate), false) AS returned")
+    return counted.groupBy("CustomerID").agg(several)
 
 
 def _customer_totals(star: Star) -> DataFrame:
@@ -105,12 +108,12 @@ def _conversion(members: DataFrame) -> DataFrame:
         F.count_distinct("CustomerID").alias("Total_Customers"),
         F.sum("checkout_purchases").alias("Total_Purchases"),
     )
-    return totals.withColumn("Conversion_Rate", pct(F.col("Total_Purchases"), F.col("Total_Customers")))
+    return totals.withColumn("Conversion_Rate", pct("Total_Purchases", "Total_Customers"))
 
 
 def age_conversion(star: Star) -> DataFrame:
     """The age branch of ``demographics_conversion``."""
-    band = age_band(F.col("Age"), AGE_RANGES)
+    band = age_band("Age", AGE_RANGES)
     return _conversion(
         _customer_totals(star).select(
             F.lit("Age Range").alias("Group_By"), band.alias("Group_Value"), "CustomerID", "checkout_purchases"
@@ -126,7 +129,7 @@ def demographics_conversion(star: Star) -> DataFrame:
     """
     people = _customer_totals(star)
     traits = F.array(
-        F.struct(F.lit("Age Range").alias("Group_By"), age_band(F.col("Age"), AGE_RANGES).alias("Group_Value")),
+        F.struct(F.lit("Age Range").alias("Group_By"), age_band("Age", AGE_RANGES).alias("Group_Value")),
         F.struct(F.lit("Gender").alias("Group_By"), F.col("Gender").alias("Group_Value")),
     )
     by_trait = people.select("CustomerID", "checkout_purchases", F.inline(traits))
@@ -139,7 +142,7 @@ def demographics_conversion(star: Star) -> DataFrame:
 def demographic_performance(star: Star, k: int = 5) -> DataFrame:
     """Journeys and purchases per distinct customer by age group, gender and country; the best ``k``."""
     grouped = _placed(star, _customer_totals(star)).groupBy(
-        age_band(F.col("Age"), AGE_GROUPS).alias("age_group"), "Gender", "Country"
+        age_band("Age", AGE_GROUPS).alias("age_group"), "Gender", "Country"
     )
     totals = grouped.agg(
         F.sum("journeys").alias("interactions"),
@@ -151,7 +154,7 @@ def demographic_performance(star: Star, k: int = 5) -> DataFrame:
         "Gender",
         "Country",
         "interactions",
-        pct(F.col("purchases"), F.col("customers")).alias("conversion_rate"),
+        pct("purchases", "customers").alias("conversion_rate"),
     )
     return rated.orderBy(F.desc("conversion_rate"), "age_group", "Gender", "Country").limit(k)
 
@@ -167,6 +170,6 @@ def one_time_purchasers(star: Star, purchase: Column | None = None) -> DataFrame
     """
     bought = star.journey.where(is_purchase() if purchase is None else purchase)
     span = bought.groupBy("CustomerID").agg(F.min("JourneyID").alias("_first"), F.max("JourneyID").alias("_last"))
-    once = span.where(F.col("_first") == F.col("_last"))
+    once = span.where("_first = _last")
     known = once.join(star.customers.select("CustomerID"), "CustomerID", "left_semi")
-    return known.select("CustomerID", F.lit(1).cast("bigint").alias("PurchaseCount"))
+    return known.selectExpr("CustomerID", "1L AS PurchaseCount")

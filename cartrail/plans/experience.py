@@ -9,7 +9,6 @@ from cartrail.functions.metrics import (
     NEGATIVE,
     NEUTRAL,
     POSITIVE,
-    indicator,
     rating_sentiment,
     rating_sentiment_label,
     rounded_ratio,
@@ -27,32 +26,31 @@ def _named_reviews(star: Star, reviews: DataFrame) -> DataFrame:
 def review_sentiment(star: Star) -> DataFrame:
     """Every review with the -1/0/1 sentiment of its rating."""
     return _named_reviews(star, star.reviews).select(
-        "ProductID", "ProductName", "ReviewText", "Rating", rating_sentiment(F.col("Rating")).alias("Sentiment")
+        "ProductID", "ProductName", "ReviewText", "Rating", rating_sentiment("Rating").alias("Sentiment")
     )
 
 
 def sentiment_distribution(star: Star) -> DataFrame:
     """Share of reviews per sentiment label, in percent, by label."""
-    label = score_label(rating_sentiment(F.col("Rating")))
-    counts = [(name, F.col(name)) for name in (NEGATIVE, NEUTRAL, POSITIVE)]
-    per_product = star.reviews.groupBy("ProductID").agg(*[F.sum(indicator(label == n)).alias(n) for n, _ in counts])
-    total = per_product.join(star.products.select("ProductID"), "ProductID").agg(*[F.sum(n).alias(n) for n, _ in counts])
-    everything = sum((column for _, column in counts[1:]), counts[0][1]).cast("double")
-    cells = [
-        F.struct(F.lit(name).alias("Category"), (column.cast("double") / everything * F.lit(100.0)).alias("Percentage"))
-        for name, column in counts
-    ]
-    return total.where(everything > 0).select(F.inline(F.array(*cells))).where(F.col("Percentage") > 0).orderBy("Category")
+    names = (NEGATIVE, NEUTRAL, POSITIVE)
+    labelled = star.reviews.select("ProductID", rating_sentiment("Rating").alias("Sentiment"))
+    labelled = labelled.select("ProductID", score_label("Sentiment").alias("Category"))
+    per_product = labelled.groupBy("ProductID").agg(*[F.expr(f"count_if(Category = '{n}') AS {n}") for n in names])
+    total = per_product.join(star.products.select("ProductID"), "ProductID").agg(*[F.sum(n).alias(n) for n in names])
+    everything = " + ".join(names)
+    shares = ", ".join(f"'{n}', CAST({n} AS DOUBLE) / CAST({everything} AS DOUBLE) * 100D" for n in names)
+    shared = total.where(f"{everything} > 0").selectExpr(f"stack({len(names)}, {shares}) AS (Category, Percentage)")
+    return shared.where("Percentage > 0").orderBy("Category")
 
 
 def sentiment_summary(star: Star) -> DataFrame:
     """Reviews and average rating per sentiment label of the rating."""
     per_product = ratings_per(star.reviews, "ProductID", "Rating").join(star.products.select("ProductID"), "ProductID")
-    totals = per_product.groupBy(rating_sentiment_label(F.col("Rating")).alias("Sentiment")).agg(
+    totals = per_product.groupBy(rating_sentiment_label("Rating").alias("Sentiment")).agg(
         F.sum("reviews").alias("Total_Reviews"), F.sum("stars").alias("stars"), F.sum("rated").alias("rated")
     )
     scored = totals.select(
-        "Sentiment", "Total_Reviews", rounded_ratio(F.col("stars"), F.col("rated"), 2).alias("Avg_Rating")
+        "Sentiment", "Total_Reviews", rounded_ratio("stars", "rated", 2).alias("Avg_Rating")
     )
     return scored.orderBy(F.desc("Avg_Rating"), "Sentiment")
 
@@ -72,7 +70,7 @@ def common_complaints(star: Star, k: int = 10, max_rating: int = 2) -> DataFrame
     Equal texts of a product are counted before the join, so only distinct ones travel.
     """
     low = star.reviews.where(is_low_rated(max_rating))
-    counted = low.groupBy("ProductID", "ReviewText").agg(F.count(F.lit(1)).alias("mentions"))
+    counted = low.groupBy("ProductID", "ReviewText").agg(F.expr("count(*) AS mentions"))
     named = lookup_join(counted, star.products.select("ProductID", "ProductName"), "ProductID", ["ReviewText"])
     repeated = named.groupBy("ReviewText", "ProductName").agg(F.sum("mentions").alias("Frequency"))
     return repeated.orderBy(F.desc("Frequency"), "ReviewText", "ProductName").limit(k)
@@ -80,5 +78,5 @@ def common_complaints(star: Star, k: int = 10, max_rating: int = 2) -> DataFrame
 
 def negatively_reviewed_products(star: Star) -> DataFrame:
     """Distinct names of products with at least one review of negative sentiment."""
-    ids = star.reviews.where(rating_sentiment(F.col("Rating")) < 0).select("ProductID").distinct()
+    ids = star.reviews.where(rating_sentiment("Rating") < 0).select("ProductID").distinct()
     return ids.join(star.products, "ProductID").select("ProductName").distinct()

@@ -8,19 +8,15 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartrail.functions.metrics import WIDE, at_least_one, pct, rounded_ratio, wide_sum
+from cartrail.functions.metrics import at_least_one, pct, rounded_ratio, wide, wide_sum
 from cartrail.operators.joins import lookup_join
 from cartrail.operators.summaries import engagement_per, journeys_per, purchases_per, ratings_per
 from cartrail.star import Star
 
 
-def _wide(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).cast(WIDE)
-
-
 def _distinct_engagements(engagement: DataFrame) -> DataFrame:
     return engagement.groupBy("ContentType").agg(F.count_distinct("EngagementID").alias("Total_Engagements"))
 
@@ -38,20 +34,19 @@ def engagement_conversion(star: Star) -> DataFrame:
         engagement_per(star.engagement, "ProductID", "ContentType")
         .join(visited, "ProductID")
         .groupBy("ContentType")
-        .agg(wide_sum(_wide("engagements") * _wide("checkout_purchases")).alias("Total_Purchases"))
+        .agg(wide_sum(f"{wide('engagements')} * {wide('checkout_purchases')}").alias("Total_Purchases"))
     )
     seen = lookup_join(
         star.engagement.select("ProductID", "ContentType", "EngagementID"),
         star.journey.select("ProductID").distinct(),
         "ProductID",
         spread_by=["EngagementID"],
-        sized_by=star.products,
     )
     rated = _with_engagements(fanned, _distinct_engagements(seen)).select(
         "ContentType",
         "Total_Engagements",
         "Total_Purchases",
-        pct(F.col("Total_Purchases"), F.col("Total_Engagements")).alias("Conversion_Rate"),
+        pct("Total_Purchases", "Total_Engagements").alias("Conversion_Rate"),
     )
     return rated.orderBy(F.desc("Conversion_Rate"), "ContentType")
 
@@ -64,8 +59,8 @@ def engagement_likes(star: Star) -> DataFrame:
         .join(visited, "ProductID", "left")
         .groupBy("ContentType")
         .agg(
-            wide_sum(F.col("likes").cast(WIDE) * at_least_one(F.col("journeys"))).alias("Total_Likes"),
-            wide_sum(_wide("engagements") * _wide("checkout_purchases")).alias("Total_Purchases"),
+            wide_sum(f"likes * {at_least_one('journeys')}").alias("Total_Likes"),
+            wide_sum(f"{wide('engagements')} * {wide('checkout_purchases')}").alias("Total_Purchases"),
         )
     )
     rated = _with_engagements(fanned, _distinct_engagements(star.engagement)).select(
@@ -73,27 +68,27 @@ def engagement_likes(star: Star) -> DataFrame:
         "Total_Engagements",
         "Total_Likes",
         "Total_Purchases",
-        pct(F.col("Total_Purchases"), F.col("Total_Engagements")).alias("Conversion_Rate"),
+        pct("Total_Purchases", "Total_Engagements").alias("Conversion_Rate"),
     )
     return rated.orderBy(F.desc("Conversion_Rate"), "ContentType")
 
 
 def underperforming_products(star: Star, k: int = 5) -> DataFrame:
     """Product names by average rating, then purchases, lowest first; unrated names lead."""
-    bought, reviewed = F.col("purchases"), F.col("reviews")
+    bought = at_least_one("purchases")
     per_name = (
         star.products.select("ProductID", "ProductName")
         .join(ratings_per(star.reviews, "ProductID"), "ProductID", "left")
         .join(purchases_per(star.journey, "ProductID"), "ProductID", "left")
         .groupBy("ProductName")
         .agg(
-            wide_sum(_wide("stars") * at_least_one(bought)).alias("stars"),
-            wide_sum(_wide("rated") * at_least_one(bought)).alias("rated"),
-            wide_sum(at_least_one(reviewed) * _wide("purchases")).alias("PurchaseCount"),
+            wide_sum(f"{wide('stars')} * {bought}").alias("stars"),
+            wide_sum(f"{wide('rated')} * {bought}").alias("rated"),
+            wide_sum(f"{at_least_one('reviews')} * {wide('purchases')}").alias("PurchaseCount"),
         )
     )
     scored = per_name.select(
-        "ProductName", rounded_ratio(F.col("stars"), F.col("rated"), 4).alias("AvgRating"), "PurchaseCount"
+        "ProductName", rounded_ratio("stars", "rated", 4).alias("AvgRating"), "PurchaseCount"
     )
     return scored.orderBy(F.asc_nulls_first("AvgRating"), "PurchaseCount", "ProductName").limit(k)
 
@@ -101,62 +96,53 @@ def underperforming_products(star: Star, k: int = 5) -> DataFrame:
 def geo_performance(star: Star) -> DataFrame:
     """Purchases by place, multiplied by the reviews of the bought product, and the average of those reviews."""
     bought = purchases_per(star.journey, "CustomerID", "ProductID")
-    rated = lookup_join(
-        bought,
-        ratings_per(star.reviews, "ProductID"),
-        "ProductID",
-        spread_by=["CustomerID"],
-        how="left",
-        sized_by=star.products,
-    )
+    rated = lookup_join(bought, ratings_per(star.reviews, "ProductID"), "ProductID", ["CustomerID"], "left")
     per_customer = rated.groupBy("CustomerID").agg(
-        wide_sum(_wide("purchases") * at_least_one(F.col("reviews"))).alias("bought"),
-        wide_sum(_wide("purchases") * _wide("stars")).alias("stars"),
-        wide_sum(_wide("purchases") * _wide("rated")).alias("rated"),
+        wide_sum(f"{wide('purchases')} * {at_least_one('reviews')}").alias("bought"),
+        wide_sum(f"{wide('purchases')} * {wide('stars')}").alias("stars"),
+        wide_sum(f"{wide('purchases')} * {wide('rated')}").alias("rated"),
     )
-    sums = [wide_sum(F.col(name)).alias(name) for name in ("bought", "stars", "rated")]
+    sums = [wide_sum(name).alias(name) for name in ("bought", "stars", "rated")]
     homes = star.customers.select("CustomerID", "GeographyID")
     per_place = homes.join(per_customer, "CustomerID").groupBy("GeographyID").agg(*sums)
     per_city = star.geography.join(per_place, "GeographyID", "left").groupBy("Country", "City").agg(*sums)
     scored = per_city.select(
         "Country",
         "City",
-        _wide("bought").alias("Purchases"),
-        rounded_ratio(F.col("stars"), F.col("rated"), 4).alias("AvgRating"),
+        F.expr(f"{wide('bought')} AS Purchases"),
+        rounded_ratio("stars", "rated", 4).alias("AvgRating"),
     )
     return scored.orderBy(F.desc("Purchases"), F.desc("AvgRating"), "Country", "City")
 
 
 def poorly_converting_products(star: Star, ratio: float = 0.1) -> DataFrame:
     """Product names with clicks but fewer purchases than ``ratio`` of them."""
-    bought, engaged = F.col("purchases"), F.col("engagements")
     per_name = (
         star.products.select("ProductID", "ProductName")
         .join(engagement_per(star.engagement, "ProductID"), "ProductID", "left")
         .join(purchases_per(star.journey, "ProductID"), "ProductID", "left")
         .groupBy("ProductName")
         .agg(
-            wide_sum(F.col("clicks").cast(WIDE) * at_least_one(bought)).alias("TotalClicks"),
-            wide_sum(at_least_one(engaged) * _wide("purchases")).alias("Purchases"),
+            wide_sum(f"clicks * {at_least_one('purchases')}").alias("TotalClicks"),
+            wide_sum(f"{at_least_one('engagements')} * {wide('purchases')}").alias("Purchases"),
         )
     )
-    few = F.col("Purchases") < F.lit(Decimal(str(ratio))) * F.col("TotalClicks")
-    kept = per_name.where((F.col("TotalClicks") > 0) & few)
+    kept = per_name.where(f"TotalClicks > 0 AND Purchases < {Decimal(str(ratio))}BD * TotalClicks")
     return kept.orderBy("Purchases", F.desc("TotalClicks"), "ProductName")
 
 
 def _channel_totals(star: Star) -> DataFrame:
-    bought = F.col("purchases")
+    bought = at_least_one("purchases")
     return (
         engagement_per(star.engagement, "ProductID", "ContentType")
         .join(purchases_per(star.journey, "ProductID"), "ProductID", "left")
         .groupBy("ContentType")
         .agg(
-            wide_sum(_wide("views") * at_least_one(bought)).alias("views"),
-            wide_sum(_wide("viewed") * at_least_one(bought)).alias("viewed"),
-            wide_sum(_wide("clicks") * at_least_one(bought)).alias("clicks"),
-            wide_sum(_wide("clicked") * at_least_one(bought)).alias("clicked"),
-            wide_sum(_wide("engagements") * _wide("purchases")).alias("Purchases"),
+            wide_sum(f"{wide('views')} * {bought}").alias("views"),
+            wide_sum(f"{wide('viewed')} * {bought}").alias("viewed"),
+            wide_sum(f"{wide('clicks')} * {bought}").alias("clicks"),
+            wide_sum(f"{wide('clicked')} * {bought}").alias("clicked"),
+            wide_sum(f"{wide('engagements')} * {wide('purchases')}").alias("Purchases"),
         )
     )
 
@@ -164,8 +150,8 @@ def _channel_totals(star: Star) -> DataFrame:
 def _channel_columns(totals: DataFrame) -> DataFrame:
     return totals.select(
         "ContentType",
-        rounded_ratio(F.col("views"), F.col("viewed"), 4).alias("AvgViews"),
-        rounded_ratio(F.col("clicks"), F.col("clicked"), 4).alias("AvgClicks"),
+        rounded_ratio("views", "viewed", 4).alias("AvgViews"),
+        rounded_ratio("clicks", "clicked", 4).alias("AvgClicks"),
         "Purchases",
     )
 
@@ -177,9 +163,7 @@ def channel_performance(star: Star) -> DataFrame:
 
 def underperforming_channels(star: Star, ratio: float = 0.05) -> DataFrame:
     """Content types with fewer than ``ratio`` purchases per average click, lowest first."""
-    per_click = F.try_divide(
-        F.col("Purchases").cast("double") * F.col("clicked").cast("double"), F.col("clicks").cast("double")
-    )
+    per_click = F.expr("try_divide(CAST(Purchases AS DOUBLE) * CAST(clicked AS DOUBLE), CAST(clicks AS DOUBLE))")
     totals = _channel_totals(star).withColumn("_ratio", per_click)
     weak = totals.where(F.col("_ratio") < ratio).orderBy("_ratio", "ContentType")
     return _channel_columns(weak)
@@ -193,11 +177,11 @@ def channel_roi(star: Star) -> DataFrame:
         .join(visited, "ProductID")
         .groupBy("ContentType")
         .agg(
-            wide_sum(F.col("clicks").cast(WIDE) * _wide("journeys")).alias("total_clicks"),
-            wide_sum(_wide("engagements") * _wide("purchases")).alias("conversions"),
+            wide_sum(f"clicks * {wide('journeys')}").alias("total_clicks"),
+            wide_sum(f"{wide('engagements')} * {wide('purchases')}").alias("conversions"),
         )
     )
-    rated = totals.withColumn("conversion_rate", pct(F.col("conversions"), F.col("total_clicks")))
+    rated = totals.withColumn("conversion_rate", pct("conversions", "total_clicks"))
     return rated.orderBy(F.desc("conversion_rate"), "ContentType")
 
 
@@ -211,8 +195,8 @@ def rating_vs_engagement(star: Star) -> DataFrame:
     paired = ratings_per(star.reviews, "ProductID").join(engagement_per(star.engagement, "ProductID"), "ProductID")
     scored = paired.select(
         "ProductID",
-        rounded_ratio(F.col("stars"), F.col("rated"), 1).alias("AvgRating"),
-        (F.col("views").cast(WIDE) * _wide("reviews")).cast(WIDE).alias("TotalViews"),
-        (F.col("clicks").cast(WIDE) * _wide("reviews")).cast(WIDE).alias("TotalClicks"),
+        rounded_ratio("stars", "rated", 1).alias("AvgRating"),
+        F.expr(f"CAST(views * {wide('reviews')} AS DECIMAL(38,0)) AS TotalViews"),
+        F.expr(f"CAST(clicks * {wide('reviews')} AS DECIMAL(38,0)) AS TotalClicks"),
     )
     return scored.orderBy(F.desc("AvgRating"), "ProductID")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartrail.functions.metrics import WIDE, indicator, is_checkout_purchase, is_drop_off, is_purchase, pct, rounded_ratio
+from cartrail.functions.metrics import is_checkout_purchase, is_drop_off, pct, rounded_ratio
 from cartrail.operators.joins import lookup_join
-from cartrail.operators.summaries import journeys_per, ratings_per
+from cartrail.operators.summaries import journeys_per, purchases_per, ratings_per
 from cartrail.star import Star
 
 
@@ -20,21 +20,21 @@ def top_products(star: Star, k: int = 5) -> DataFrame:
 
 def product_conversion(star: Star) -> DataFrame:
     """Checkout purchases per distinct customer, by product name; the price is averaged over journeys."""
-    visits = star.journey.select("ProductID", "CustomerID", indicator(is_checkout_purchase()).alias("bought"))
-    catalogue = star.products.select("ProductID", "ProductName", (F.col("Price") * 100).cast("bigint").alias("cents"))
+    visits = star.journey.select("ProductID", "CustomerID", is_checkout_purchase().alias("bought"))
+    catalogue = star.products.selectExpr("ProductID", "ProductName", "CAST(Price * 100 AS BIGINT) AS cents")
     named = lookup_join(visits, catalogue, "ProductID", spread_by=["CustomerID"])
     totals = named.groupBy("ProductName").agg(
         F.sum("cents").alias("cents"),
         F.count("cents").alias("priced"),
         F.count_distinct("CustomerID").alias("Unique_Customers"),
-        F.sum("bought").alias("Total_Purchases"),
+        F.count_if("bought").alias("Total_Purchases"),
     )
     rated = totals.select(
         "ProductName",
-        rounded_ratio(F.col("cents"), F.col("priced").cast(WIDE) * 100, 2).alias("Avg_Price"),
+        rounded_ratio("cents", "(priced * 100)", 2).alias("Avg_Price"),
         "Unique_Customers",
         "Total_Purchases",
-        pct(F.col("Total_Purchases"), F.col("Unique_Customers")).alias("Conversion_Rate"),
+        pct("Total_Purchases", "Unique_Customers").alias("Conversion_Rate"),
     )
     return rated.orderBy(F.desc("Conversion_Rate"), F.desc("Total_Purchases"), "ProductName")
 
@@ -45,7 +45,7 @@ def _purchase_share(star: Star) -> DataFrame:
     totals = named.groupBy("ProductName").agg(
         F.sum("journeys").alias("interactions"), F.sum("purchases").alias("purchases")
     )
-    return totals.withColumn("conversion_rate", pct(F.col("purchases"), F.col("interactions")))
+    return totals.withColumn("conversion_rate", pct("purchases", "interactions"))
 
 
 def flagship_product(star: Star, k: int = 1) -> DataFrame:
@@ -74,7 +74,7 @@ def _ratings_by(star: Star, *keys: str) -> DataFrame:
 
 
 def _average(digits: int = 4) -> Column:
-    return rounded_ratio(F.col("stars"), F.col("rated"), digits)
+    return rounded_ratio("stars", "rated", digits)
 
 
 def highest_rated_products(star: Star, k: int = 5) -> DataFrame:
@@ -125,25 +125,24 @@ def rating_purchase_correlation(star: Star) -> DataFrame:
     NULL when either side does not vary.
     """
     paired = product_ratings(star).join(product_purchases(star), ["ProductID", "ProductName"])
-    rating, bought = F.col("Avg_Rating"), F.col("Total_Purchases").cast("double")
-    spread = F.stddev_pop(rating) * F.stddev_pop(bought)
+    spread = "stddev_pop(Avg_Rating) * stddev_pop(Total_Purchases)"
     return paired.agg(
-        F.count(F.lit(1)).alias("products"),
-        F.try_divide(F.covar_pop(rating, bought), spread).alias("correlation"),
+        F.expr("count(*) AS products"),
+        F.expr(f"try_divide(covar_pop(Avg_Rating, Total_Purchases), {spread}) AS correlation"),
     )
 
 
 def dropoff_rate(star: Star) -> DataFrame:
     """Share of a stage's journeys that are drop-offs."""
     per_stage = star.journey.groupBy("Stage").agg(
-        F.count(F.lit(1)).alias("Total_Visits"), F.sum(indicator(is_drop_off())).alias("Dropoffs")
+        F.expr("count(*) AS Total_Visits"), F.count_if(is_drop_off()).alias("Dropoffs")
     )
-    rated = per_stage.withColumn("Dropoff_Rate", pct(F.col("Dropoffs"), F.col("Total_Visits")))
+    rated = per_stage.withColumn("Dropoff_Rate", pct("Dropoffs", "Total_Visits"))
     return rated.orderBy(F.desc("Dropoff_Rate"), "Stage")
 
 
 def dropoff_counts(star: Star) -> DataFrame:
-    counted = star.journey.where(is_drop_off()).groupBy("Stage").agg(F.count(F.lit(1)).alias("DropOffCount"))
+    counted = star.journey.where(is_drop_off()).groupBy("Stage").agg(F.expr("count(*) AS DropOffCount"))
     return counted.orderBy(F.desc("DropOffCount"), "Stage")
 
 
@@ -155,15 +154,15 @@ def avg_stage_duration(journey: DataFrame) -> DataFrame:
     """
     timed = journey.where(F.col("Duration").isNotNull())
     per_stage = timed.groupBy("Stage").agg(
-        F.count(F.lit(1)).alias("Total_Visits"), F.round(F.avg("Duration"), 2).alias("Avg_Duration_Seconds")
+        F.expr("count(*) AS Total_Visits"), F.expr("round(avg(Duration), 2) AS Avg_Duration_Seconds")
     )
     return per_stage.orderBy(F.desc("Avg_Duration_Seconds"), "Stage")
 
 
 def best_sellers(star: Star, k: int = 3) -> DataFrame:
     """The ``k`` product ids with the most purchases."""
-    sold = star.journey.where(is_purchase()).groupBy("ProductID").agg(F.count(F.lit(1)).alias("_sold"))
-    return sold.orderBy(F.desc("_sold"), "ProductID").limit(k).select("ProductID")
+    sold = purchases_per(star.journey, "ProductID")
+    return sold.orderBy(F.desc("purchases"), "ProductID").limit(k).select("ProductID")
 
 
 def outside_best_sellers(star: Star, k: int = 3) -> DataFrame:
@@ -179,8 +178,8 @@ def discount_candidates(
     per_name = rated.groupBy("ProductName").agg(
         F.sum("stars").alias("stars"),
         F.sum("rated").alias("rated"),
-        F.coalesce(F.sum("reviews"), F.lit(0)).alias("review_count"),
+        F.expr("coalesce(sum(reviews), 0) AS review_count"),
     )
     scored = per_name.select("ProductName", _average().alias("avg_rating"), "review_count")
-    kept = scored.where((F.col("avg_rating") < max_rating) & (F.col("review_count") > min_reviews))
+    kept = scored.where(f"avg_rating < {max_rating}D AND review_count > {min_reviews}")
     return kept.orderBy(F.asc_nulls_first("avg_rating"), "ProductName").limit(k)

@@ -19,18 +19,24 @@ def _text_key() -> Column:
 def _scores(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
     """Score and number of rows per review id and text.
 
-    The whole text is split; words are looked up as a join. Review ids, text hashes and word scores are grouped,
-    the text itself is never shuffled, and each task has reduced a review to one row before the shuffle.
+    The whole text is split and its words are looked up by an inner join, so all other words are gone before
+    anything is grouped. An empty word is put behind every text and into the lexicon: it keeps texts without
+    any match, and counts the rows that share an id and a text. The text itself is never shuffled, and each
+    task has reduced a review to one row before the shuffle.
     """
-    words = F.posexplode_outer(F.regexp_extract_all("ReviewText", F.lit(_WORD), F.lit(0))).alias("_pos", "word")
-    spelled = reviews.select("ReviewID", *keep, _text_key(), words).withColumn("word", F.lower("word"))
+    words = F.array_append(F.coalesce(F.regexp_extract_all("ReviewText", F.lit(_WORD), F.lit(0)), F.array()), F.lit(""))
+    split = reviews.select("ReviewID", *keep, _text_key(), words.alias("words"))
+    # the outer form, as the plain one would split every text a second time to filter out empty arrays
+    spelled = split.select("ReviewID", *keep, "_text", F.explode_outer("words").alias("word"))
     weight = F.round(F.col("polarity") * _PARTS).cast("bigint").alias("weight")
     weights = lexicon.select(F.lower("word").alias("word"), weight)
-    scored = lookup_join(spelled, weights, "word", spread_by=["ReviewID", "_pos"], how="left")
-    totals = scored.groupBy("ReviewID", "_text", *keep).agg(
+    marker = lexicon.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(None).cast("bigint").alias("weight"))
+    known = weights.where(F.col("word") != "").unionByName(marker)
+    found = lookup_join(spelled.withColumn("word", F.lower("word")), known, "word", spread_by=["ReviewID"])
+    totals = found.groupBy("ReviewID", "_text", *keep).agg(
         F.sum("weight").alias("weight"),
         F.count("weight").alias("hits"),
-        F.count_if(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias("rows"),
+        F.count_if(F.col("word") == "").alias("rows"),
     )
     mean = F.col("weight").cast("double") / (F.col("hits") * _PARTS).cast("double")
     score = F.when(F.col("hits") > 0, mean).otherwise(F.lit(0.0))
@@ -47,7 +53,7 @@ def text_polarity(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFra
 def text_sentiment(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
     """``text_polarity`` with the label of the score."""
     scored = text_polarity(reviews, lexicon, *keep)
-    return scored.withColumn("SentimentCategory", score_label(F.col("SentimentScore")))
+    return scored.withColumn("SentimentCategory", score_label("SentimentScore"))
 
 
 def scored_reviews(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:

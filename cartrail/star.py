@@ -3,39 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 
-@dataclass(frozen=True)
 class Star:
-    """Six cleaned tables: Stage and Action in lower case, ContentType in upper case (see ``operators.clean``)."""
-
-    journey: DataFrame
-    reviews: DataFrame
-    customers: DataFrame
-    engagement: DataFrame
-    geography: DataFrame
-    products: DataFrame
-
-    @classmethod
-    def from_tables(cls, tables: Mapping[str, DataFrame]) -> Star:
-        return cls(
-            journey=tables["customer_journey"],
-            reviews=tables["customer_reviews"],
-            customers=tables["customers"],
-            engagement=tables["engagement_data"],
-            geography=tables["geography"],
-            products=tables["products"],
-        )
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "customer_journey": self.journey,
-            "customer_reviews": self.reviews,
-            "customers": self.customers,
-            "engagement_data": self.engagement,
-            "geography": self.geography,
-            "products": self.products,
-        }
+    """Six cleaned tables: Stage and Action in lower case, ContentType in upper case (see ``operators.clean``).
+
+    Takes any mapping from table name to DataFrame and asks it only for the tables a report reads.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
+        self._tables = tables
+
+    @property
+    def journey(self) -> DataFrame:
+        return self._tables["customer_journey"]
+
+    @property
+    def reviews(self) -> DataFrame:
+        return self._tables["customer_reviews"]
+
+    @property
+    def customers(self) -> DataFrame:
+        return self._tables["customers"]
+
+    @property
+    def engagement(self) -> DataFrame:
+        return self._tables["engagement_data"]
+
+    @property
+    def geography(self) -> DataFrame:
+        return self._tables["geography"]
+
+    @property
+    def products(self) -> DataFrame:
+        return self._tables["products"]

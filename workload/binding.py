@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartrail import Star
@@ -44,170 +46,211 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
+    rows = ", ".join(f"('{word}', {polarity}D)" for word, polarity in LEXICON.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
 
 
-def _line_id() -> Column:
-    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+_LINE_ID = "l_orderkey * 10 + l_linenumber"
 
 
 def journey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), (F.pmod("event_id", F.lit(3)) + 1).cast("int"))
-    # null-safe comparisons let the optimizer turn a filter on Action into a filter on event_type
-    failed = F.col("event_type").eqNullSafe("error")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("JourneyID"),
-        F.col("user_id").alias("CustomerID"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("ProductID"),
-        F.to_date("ts").alias("VisitDate"),
-        stage.alias("Stage"),
-        F.when(failed, "drop-off").otherwise(F.col("event_type")).alias("Action"),
-        F.when(~failed, F.col("value")).alias("Duration"),
+    stages = ", ".join(f"'{stage}'" for stage in STAGES)
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS JourneyID",
+        "user_id AS CustomerID",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS ProductID",
+        "to_date(ts) AS VisitDate",
+        f"element_at(array({stages}), CAST(event_id % 3 + 1 AS INT)) AS Stage",
+        "if(event_type <=> 'error', 'drop-off', event_type) AS Action",
+        "if(event_type <=> 'error', NULL, value) AS Duration",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = F.col("c_mktsegment")
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("CustomerID"),
-        F.col("c_name").alias("CustomerName"),
-        F.concat(F.lit("c"), "c_custkey", F.lit("@example.com")).alias("Email"),
-        F.concat(F.substring(segment, 1, 1), F.lower(F.expr("substring(c_mktsegment, 2)"))).alias("Gender"),
-        (F.pmod("c_custkey", F.lit(70)) + 18).cast("int").alias("Age"),
-        F.col("c_nationkey").cast("bigint").alias("GeographyID"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS CustomerID",
+        "c_name AS CustomerName",
+        "concat('c', c_custkey, '@example.com') AS Email",
+        "concat(substring(c_mktsegment, 1, 1), lower(substring(c_mktsegment, 2))) AS Gender",
+        "CAST(c_custkey % 70 + 18 AS INT) AS Age",
+        "CAST(c_nationkey AS BIGINT) AS GeographyID",
     )
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    placed = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    return placed.select(
-        F.col("n_nationkey").cast("bigint").alias("GeographyID"),
-        F.col("r_name").alias("Country"),
-        F.col("n_name").alias("City"),
-    )
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    placed = table(spark, sf_dir, "nation").join(region, "n_regionkey")
+    return placed.selectExpr("CAST(n_nationkey AS BIGINT) AS GeographyID", "r_name AS Country", "n_name AS City")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("ProductID"),
-        F.col("p_name").alias("ProductName"),
-        F.col("p_type").alias("Category"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("Price"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS ProductID",
+        "p_name AS ProductName",
+        "p_type AS Category",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS Price",
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
-    buyers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return lookup_join(lines, buyers, "l_orderkey", spread_by=["l_linenumber", "l_partkey"]).select(
-        _line_id().alias("ReviewID"),
-        F.col("o_custkey").alias("CustomerID"),
-        F.col("l_partkey").alias("ProductID"),
-        F.to_date("l_shipdate").alias("ReviewDate"),
-        (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("int").alias("Rating"),
-        F.concat(F.lit("complaint  type "), F.pmod("l_suppkey", F.lit(10))).alias("ReviewText"),
+    lines = table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+    buyers = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    return lookup_join(lines, buyers, "l_orderkey", spread_by=["l_linenumber", "l_partkey"]).selectExpr(
+        f"{_LINE_ID} AS ReviewID",
+        "o_custkey AS CustomerID",
+        "l_partkey AS ProductID",
+        "to_date(l_shipdate) AS ReviewDate",
+        "CAST(floor((l_quantity - 1) / 10) + 1 AS INT) AS Rating",
+        "concat('complaint  type ', l_suppkey % 10) AS ReviewText",
     )
 
 
 def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F").select(
-        _line_id().alias("EngagementID"),
-        F.col("l_suppkey").alias("ContentID"),
-        F.col("l_returnflag").alias("ContentType"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("Likes"),
-        F.to_date("l_shipdate").alias("EngagementDate"),
-        F.col("l_linenumber").cast("bigint").alias("CampaignID"),
-        F.col("l_partkey").alias("ProductID"),
-        F.floor("l_extendedprice").cast("int").alias("Views"),
-        F.col("l_quantity").cast("int").alias("Clicks"),
+    return table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").selectExpr(
+        f"{_LINE_ID} AS EngagementID",
+        "l_suppkey AS ContentID",
+        "l_returnflag AS ContentType",
+        "CAST(round(l_tax * 100) AS INT) AS Likes",
+        "to_date(l_shipdate) AS EngagementDate",
+        "CAST(l_linenumber AS BIGINT) AS CampaignID",
+        "l_partkey AS ProductID",
+        "CAST(floor(l_extendedprice) AS INT) AS Views",
+        "CAST(l_quantity AS INT) AS Clicks",
     )
 
 
+class Views(Mapping[str, DataFrame]):
+    """The six views by table name, each built when first asked for."""
+
+    _builders = {
+        "customer_journey": journey,
+        "customer_reviews": reviews,
+        "customers": customers,
+        "engagement_data": engagement,
+        "geography": geography,
+        "products": products,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._source = (spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](*self._source)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The cleaned star."""
-    return Star(
-        journey=journey(spark, sf_dir),
-        reviews=reviews(spark, sf_dir),
-        customers=customers(spark, sf_dir),
-        engagement=engagement(spark, sf_dir),
-        geography=geography(spark, sf_dir),
-        products=products(spark, sf_dir),
-    )
+    return Star(Views(spark, sf_dir))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long review texts: every document."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ReviewID"), F.col("text").alias("ReviewText"))
+    return table(spark, sf_dir, "documents").selectExpr("doc_id AS ReviewID", "text AS ReviewText")
 
 
 def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with labels, the labels turned into a rating."""
-    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
-    rating = F.when(toxic & ~good, 1).when(~good, 2).when(toxic, 3).otherwise(5)
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ReviewID"), rating.alias("Rating"))
+    labels = table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS ReviewID",
+        "CASE WHEN toxic = 1 AND quality <> 1 THEN 1 WHEN quality <> 1 THEN 2 WHEN toxic = 1 THEN 3 ELSE 5 END AS Rating",
+    )
     return documents(spark, sf_dir).join(labels, "ReviewID")
 
 
-def _copies(every: Column) -> Column:
-    """Emit the marked rows twice."""
-    return F.explode(F.when(every, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+def _doubled(df: DataFrame, marked: str) -> DataFrame:
+    """Emit the marked rows twice, the second time with ``copy`` 1."""
+    return df.withColumn("copy", F.expr(f"explode(if({marked}, array(0, 1), array(0)))"))
+
+
+def _cased(column: str, by: str) -> str:
+    return f"CASE ({by}) % 3 WHEN 0 THEN upper({column}) WHEN 1 THEN lower({column}) ELSE initcap({column}) END"
+
+
+def _raw_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(journey(spark, sf_dir), "JourneyID % 10 = 0").selectExpr(
+        "JourneyID",
+        "CustomerID",
+        "ProductID",
+        "VisitDate",
+        f"{_cased('Stage', 'JourneyID')} AS Stage",
+        f"{_cased('Action', 'JourneyID + 1')} AS Action",
+        "Duration",
+    )
+
+
+def _raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(reviews(spark, sf_dir), "ReviewID % 10 = 0").selectExpr(
+        "ReviewID",
+        "CustomerID",
+        "ProductID",
+        "ReviewDate",
+        "Rating",
+        """CASE WHEN ReviewID % 7 = 0 THEN NULL
+        WHEN ReviewID % 5 = 0 THEN concat(' \t', ReviewText, '\n ') ELSE ReviewText END AS ReviewText""",
+    )
+
+
+def _raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(customers(spark, sf_dir), "CustomerID % 10 = 0").selectExpr(
+        "CustomerID",
+        "CustomerName",
+        "Email",
+        f"{_cased('Gender', 'CustomerID')} AS Gender",
+        "if(CustomerID % 7 = 0, NULL, CAST(CustomerID % 130 + copy AS INT)) AS Age",
+        "GeographyID",
+        "CustomerID * 2 + copy AS arrival",
+    )
+
+
+def _raw_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(engagement(spark, sf_dir), "EngagementID % 10 = 0").selectExpr(
+        "EngagementID",
+        "ContentID",
+        f"{_cased('ContentType', 'EngagementID')} AS ContentType",
+        "Likes",
+        "EngagementDate",
+        "CampaignID",
+        "ProductID",
+        """CASE WHEN EngagementID % 11 = 0 THEN CAST(Views AS STRING)
+        WHEN EngagementID % 13 = 0 THEN concat(Views, '-x') ELSE concat(Views, '-', Clicks) END AS ViewsClicksCombined""",
+    )
+
+
+def _raw_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(geography(spark, sf_dir), "GeographyID % 4 = 0").drop("copy")
 
 
-def _cased(column: str, by: Column) -> Column:
-    turn = F.pmod(by, F.lit(3))
-    return F.when(turn == 0, F.upper(column)).when(turn == 1, F.lower(column)).otherwise(F.initcap(column))
+def _raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doubled(products(spark, sf_dir), "ProductID % 10 = 0").selectExpr(
+        "ProductID",
+        "ProductName",
+        "Category",
+        """CAST(CASE WHEN ProductID % 11 = 0 THEN 0 WHEN ProductID % 13 = 0 THEN -Price ELSE Price END
+        AS DECIMAL(10,2)) AS Price""",
+    )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class RawViews(Views):
     """The same tables with the irregularities that cleaning removes; customers carry an ``arrival`` order."""
-    tables = star(spark, sf_dir)
-    padded = F.concat(F.lit(" \t"), F.col("ReviewText"), F.lit("\n "))
-    key = F.col("CustomerID")
-    return {
-        "customer_journey": tables.journey.withColumns(
-            {
-                "Stage": _cased("Stage", F.col("JourneyID")),
-                "Action": _cased("Action", F.col("JourneyID") + 1),
-                "_copy": _copies(F.pmod("JourneyID", F.lit(10)) == 0),
-            }
-        ).drop("_copy"),
-        "customer_reviews": tables.reviews.withColumns(
-            {
-                "ReviewText": F.when(F.pmod("ReviewID", F.lit(7)) == 0, F.lit(None))
-                .when(F.pmod("ReviewID", F.lit(5)) == 0, padded)
-                .otherwise(F.col("ReviewText")),
-                "_copy": _copies(F.pmod("ReviewID", F.lit(10)) == 0),
-            }
-        ).drop("_copy"),
-        "customers": tables.customers.withColumn("_copy", _copies(F.pmod("CustomerID", F.lit(10)) == 0))
-        .withColumns(
-            {
-                "Gender": _cased("Gender", key),
-                "Age": F.when(F.pmod("CustomerID", F.lit(7)) == 0, F.lit(None)).otherwise(
-                    (F.pmod("CustomerID", F.lit(130)) + F.col("_copy")).cast("int")
-                ),
-                "arrival": key * 2 + F.col("_copy"),
-            }
-        )
-        .drop("_copy"),
-        "engagement_data": tables.engagement.withColumns(
-            {
-                "ContentType": _cased("ContentType", F.col("EngagementID")),
-                "ViewsClicksCombined": F.when(F.pmod("EngagementID", F.lit(11)) == 0, F.col("Views").cast("string"))
-                .when(F.pmod("EngagementID", F.lit(13)) == 0, F.concat_ws("-", "Views", F.lit("x")))
-                .otherwise(F.concat_ws("-", "Views", "Clicks")),
-                "_copy": _copies(F.pmod("EngagementID", F.lit(10)) == 0),
-            }
-        ).drop("_copy", "Views", "Clicks"),
-        "geography": tables.geography.withColumn("_copy", _copies(F.pmod("GeographyID", F.lit(4)) == 0)).drop("_copy"),
-        "products": tables.products.withColumns(
-            {
-                "Price": F.when(F.pmod("ProductID", F.lit(11)) == 0, F.lit(0))
-                .when(F.pmod("ProductID", F.lit(13)) == 0, -F.col("Price"))
-                .otherwise(F.col("Price"))
-                .cast("decimal(10,2)"),
-                "_copy": _copies(F.pmod("ProductID", F.lit(10)) == 0),
-            }
-        ).drop("_copy"),
+
+    _builders = {
+        "customer_journey": _raw_journey,
+        "customer_reviews": _raw_reviews,
+        "customers": _raw_customers,
+        "engagement_data": _raw_engagement,
+        "geography": _raw_geography,
+        "products": _raw_products,
     }
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawViews:
+    return RawViews(spark, sf_dir)

@@ -171,15 +171,14 @@ def _experience(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _band_age(star: Star) -> DataFrame:
-    age = F.col("Age")
     return star.customers.select(
-        "CustomerID", age_band(age, AGE_RANGES).alias("Age_Range"), age_band(age, AGE_GROUPS).alias("age_group")
+        "CustomerID", age_band("Age", AGE_RANGES).alias("Age_Range"), age_band("Age", AGE_GROUPS).alias("age_group")
     )
 
 
 def _rating_sentiment(star: Star) -> DataFrame:
-    sentiment = rating_sentiment(F.col("Rating"))
-    return star.reviews.select("ReviewID", "ProductID", "Rating", sentiment.alias("Sentiment"), score_label(sentiment).alias("Category"))
+    rated = star.reviews.select("ReviewID", "ProductID", "Rating", rating_sentiment("Rating").alias("Sentiment"))
+    return rated.withColumn("Category", score_label("Sentiment"))
 
 
 def _checkout(function: Callable[..., DataFrame], param: str) -> Query:
