@@ -33,6 +33,16 @@ def _say(
     )
 
 
+def _fill(template: str, *values: Column | str) -> Column:
+    """The template with every value as text; a missing one reads ``None``."""
+    columns = [F.col(value) if isinstance(value, str) else value for value in values]
+    return F.format_string(template, *[F.coalesce(column.cast("string"), F.lit("None")) for column in columns])
+
+
+def _four_digits(name: str) -> Column:
+    return F.col(name).cast("decimal(38,4)")
+
+
 def _fixed(spark: SparkSession, rule: str, section: int, line: str) -> DataFrame:
     return _say(spark.range(1), rule, section, F.lit(line))
 
@@ -58,7 +68,7 @@ def _name_lines(names: DataFrame, rule: str, section: int, template: str) -> Dat
     part = F.pmod(F.xxhash64("ProductName"), F.greatest(lines, F.lit(1)))
     joined = F.array_join(F.array_sort(F.collect_list("ProductName")), ", ").alias("names")
     listed = names.groupBy(part.alias("part")).agg(joined)
-    return _say(listed, rule, section, F.format_string(template, "names"), F.col("part"))
+    return _say(listed, rule, section, _fill(template, "names"), F.col("part"))
 
 
 def strategic(star: Star) -> DataFrame:
@@ -72,9 +82,9 @@ def strategic(star: Star) -> DataFrame:
     negative = experience.negatively_reviewed_products(star)
     return _all(
         [
-            _say(listed, rule, 1, F.format_string(wording.TOP_CONVERTING, "names")),
-            _say(content, rule, 2, F.format_string(wording.BEST_CONTENT, "ContentType")),
-            _say(ages, rule, 3, F.format_string(wording.BEST_AGE, "Group_Value")),
+            _say(listed, rule, 1, _fill(wording.TOP_CONVERTING, "names")),
+            _say(content, rule, 2, _fill(wording.BEST_CONTENT, "ContentType")),
+            _say(ages, rule, 3, _fill(wording.BEST_AGE, "Group_Value")),
             _name_lines(negative, rule, 4, wording.NEGATIVE_PRODUCTS),
             _fixed(spark, rule, 5, wording.CHECKOUT),
         ]
@@ -85,16 +95,14 @@ def marketing_lines(star: Star, k: int = 5) -> DataFrame:
     """One line per underperforming product and per channel."""
     rule = "marketing"
     weak = marketing.underperforming_products(star, k)
-    rating = F.when(F.col("AvgRating").isNull(), "None").otherwise(F.format_string("%.4f", "AvgRating"))
-    rated = weak.withColumn("rating", rating)
     channels = marketing.channel_performance(star)
     return _all(
         [
             _say(
-                rated,
+                weak,
                 rule,
                 1,
-                F.format_string(wording.IMPROVE_PRODUCT, "ProductName", "rating", F.col("PurchaseCount").cast("string")),
+                _fill(wording.IMPROVE_PRODUCT, "ProductName", _four_digits("AvgRating"), "PurchaseCount"),
                 F.col("AvgRating"),
                 F.concat_ws("|", F.lpad(F.col("PurchaseCount").cast("string"), 38, "0"), "ProductName"),
             ),
@@ -102,12 +110,12 @@ def marketing_lines(star: Star, k: int = 5) -> DataFrame:
                 channels,
                 rule,
                 2,
-                F.format_string(
+                _fill(
                     wording.BOOST_CHANNEL,
                     "ContentType",
-                    F.format_string("%.4f", "AvgViews"),
-                    F.format_string("%.4f", "AvgClicks"),
-                    F.col("Purchases").cast("string"),
+                    _four_digits("AvgViews"),
+                    _four_digits("AvgClicks"),
+                    "Purchases",
                 ),
                 -F.col("Purchases"),
                 F.col("ContentType"),
@@ -123,7 +131,7 @@ def experience_lines(
     rule = "experience"
     alert = negative_polarity_gate(star.reviews, lexicon).where("dissatisfied")
     lowest = product.lowest_rated_products(star, k)
-    two_digits = F.bround(F.col("AvgRating").cast("decimal(20,4)"), 2).cast("decimal(20,2)").cast("string")
+    two_digits = F.bround(F.col("AvgRating").cast("decimal(20,4)"), 2).cast("decimal(20,2)")
     once = customer.one_time_purchasers(star, purchase).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     repeated = experience.common_complaints(star, complaints)
     return _all(
@@ -134,17 +142,17 @@ def experience_lines(
                 lowest,
                 rule,
                 3,
-                F.format_string(wording.LOWEST_ITEM, "ProductName", "ProductID", two_digits, "ReviewCount"),
+                _fill(wording.LOWEST_ITEM, "ProductName", "ProductID", two_digits, "ReviewCount"),
                 F.col("AvgRating"),
                 F.lpad(F.col("ProductID").cast("string"), 20, "0"),
             ),
-            _say(once, rule, 4, F.format_string(wording.ONE_TIME, "n")),
+            _say(once, rule, 4, _fill(wording.ONE_TIME, "n")),
             _say(repeated.limit(1), rule, 5, F.lit(wording.COMPLAINT_HEADER)),
             _say(
                 repeated,
                 rule,
                 6,
-                F.format_string(wording.COMPLAINT_ITEM, "ReviewText", "ProductName", "Frequency"),
+                _fill(wording.COMPLAINT_ITEM, "ReviewText", "ProductName", "Frequency"),
                 -F.col("Frequency"),
                 F.concat_ws("|", "ReviewText", "ProductName"),
             ),
@@ -160,17 +168,17 @@ def business(star: Star) -> DataFrame:
     region = customer.top_region_product(star)
     channel = marketing.top_channel_roi(star)
     candidate = product.discount_candidates(star)
-    rate = F.col("conversion_rate").cast("string")
-    discount = F.format_string(wording.DISCOUNT, "ProductName", F.col("avg_rating").cast("string"), "review_count")
+    rate = "conversion_rate"
+    discount = _fill(wording.DISCOUNT, "ProductName", "avg_rating", "review_count")
     decided = candidate.agg(F.coalesce(F.max(discount), F.lit(wording.NO_DISCOUNT)).alias("text"))
     return _all(
         [
-            _say(flagship, rule, 1, F.format_string(wording.FLAGSHIP, "ProductName", rate)),
+            _say(flagship, rule, 1, _fill(wording.FLAGSHIP, "ProductName", rate)),
             _say(
-                demographic, rule, 2, F.format_string(wording.DEMOGRAPHIC, "age_group", "Gender", "Country", rate)
+                demographic, rule, 2, _fill(wording.DEMOGRAPHIC, "age_group", "Gender", "Country", rate)
             ),
-            _say(region, rule, 3, F.format_string(wording.REGION, "ProductName", "Country", "sales")),
-            _say(channel, rule, 4, F.format_string(wording.CHANNEL, "ContentType", rate)),
+            _say(region, rule, 3, _fill(wording.REGION, "ProductName", "Country", "sales")),
+            _say(channel, rule, 4, _fill(wording.CHANNEL, "ContentType", rate)),
             _say(decided, rule, 5, F.col("text")),
         ]
     )
@@ -188,9 +196,9 @@ def text_report_lines(star: Star) -> DataFrame:
     return _all(
         [
             _fixed(spark, rule, 1, wording.REPORT_AGE),
-            _say(top, rule, 2, F.format_string(wording.REPORT_TOP, "names")),
-            _say(content, rule, 3, F.format_string(wording.REPORT_CONTENT, "ContentType")),
+            _say(top, rule, 2, _fill(wording.REPORT_TOP, "names")),
+            _say(content, rule, 3, _fill(wording.REPORT_CONTENT, "ContentType")),
             _fixed(spark, rule, 4, wording.REPORT_CHECKOUT),
-            _say(disliked, rule, 5, F.format_string(wording.REPORT_NEGATIVE, "names")),
+            _say(disliked, rule, 5, _fill(wording.REPORT_NEGATIVE, "names")),
         ]
     )

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartrail.plans import customer, experience, marketing, product, recommend
+from cartrail.plans import customer, experience, marketing, product, recommend, wording
 from cartrail.star import Star
 
 COLUMN_WIDTH = 20
@@ -52,22 +52,22 @@ def text_report(star: Star, title: str = "Customer & Marketing Analysis Report")
         F.desc("Conversion_Rate"), F.desc("Total_Purchases"), "ProductName"
     )
     tables = [
-        ("1. Customer Trends", "Top 5 Products by Engagement:", product.top_products(star),
+        (wording.CHAPTER_TRENDS, wording.TABLE_PRODUCTS, product.top_products(star),
          -F.col("Total_Interactions"), "ProductName", ("ProductName", "Total_Interactions")),
-        ("", "Top 5 Regions by Sales:", customer.top_regions(star),
+        ("", wording.TABLE_REGIONS, customer.top_regions(star),
          -F.col("Total_Purchases"), "Country", ("Country", "Total_Purchases")),
-        ("", "Customer Retention:", customer.customer_retention(star),
+        ("", wording.TABLE_RETENTION, customer.customer_retention(star),
          F.lit(0), "Customer_Type", ("Customer_Type", "Count")),
-        ("2. Segment Performance", "Conversion Rates by Demographic:", customer.demographics_conversion(star),
+        (wording.CHAPTER_SEGMENTS, wording.TABLE_DEMOGRAPHICS, customer.demographics_conversion(star),
          F.when(F.col("Group_By") == "Age Range", 0).when(F.col("Group_By") == "Gender", 1).otherwise(2), "Group_Value",
          ("Group_By", "Group_Value", "Total_Customers", "Total_Purchases", "Conversion_Rate")),
-        ("3. Key Purchase Drivers", "Top Performing Products:", best.limit(5),
+        (wording.CHAPTER_DRIVERS, wording.TABLE_CONVERSION, best.limit(5),
          -F.col("Conversion_Rate"), "ProductName",
          ("ProductName", "Avg_Price", "Unique_Customers", "Total_Purchases", "Conversion_Rate")),
-        ("", "Engagement Effectiveness:", marketing.engagement_conversion(star),
+        ("", wording.TABLE_ENGAGEMENT, marketing.engagement_conversion(star),
          -F.col("Conversion_Rate"), "ContentType",
          ("ContentType", "Total_Engagements", "Total_Purchases", "Conversion_Rate")),
-        ("4. Customer Sentiment Analysis", "Sentiment Distribution (%):", experience.sentiment_distribution(star),
+        (wording.CHAPTER_SENTIMENT, wording.TABLE_SENTIMENT, experience.sentiment_distribution(star),
          F.lit(0), "Category", ("Category", "Percentage")),
     ]
     rule = "=" * 60
@@ -76,7 +76,7 @@ def text_report(star: Star, title: str = "Customer & Marketing Analysis Report")
         lines = ["", *([chapter, ""] if chapter else []), caption, _header(*columns)]
         parts.append(_heading(spark, 10 + 2 * number, *lines))
         parts.append(_table(df, 11 + 2 * number, sort_key, sort_name, *columns))
-    parts.append(_heading(spark, 90, "", "5. Strategic Recommendations", ""))
+    parts.append(_heading(spark, 90, "", wording.CHAPTER_CLOSING, ""))
     closing = recommend.text_report_lines(star)
     parts.append(closing.select((F.col("section") + 90).alias("section"), "sort_key", "sort_name", "line"))
     return reduce(DataFrame.unionByName, parts)

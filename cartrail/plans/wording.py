@@ -1,6 +1,6 @@
 """The wording of the recommendation lines, which has to read the same in every report.
 
-``%s`` and ``%d`` are filled by Spark's ``format_string``.
+``%s`` is filled by Spark's ``format_string``.
 """
 
 # strategic report
@@ -20,23 +20,35 @@ DISSATISFIED = (
     "Address common complaints and improve product quality."
 )
 LOWEST_HEADER = "The following products have the lowest ratings and need quality improvement:"
-LOWEST_ITEM = "- %s (Product ID: %d): Avg Rating %s (Reviews: %d)"
+LOWEST_ITEM = "- %s (Product ID: %s): Avg Rating %s (Reviews: %s)"
 ONE_TIME = (
-    "%d customers made only one purchase. Consider implementing loyalty rewards "
+    "%s customers made only one purchase. Consider implementing loyalty rewards "
     "or personalized follow-ups to increase retention."
 )
 COMPLAINT_HEADER = "Top recurring customer complaints:"
-COMPLAINT_ITEM = "- %s (Product: %s | Mentioned %d times)"
+COMPLAINT_ITEM = "- %s (Product: %s | Mentioned %s times)"
 
 # business report
 FLAGSHIP = "Promote **%s** as the flagship product (Conversion rate: %s%%)."
 DEMOGRAPHIC = "Focus marketing on **%s %ss** in **%s** (Conversion rate: %s%%)."
-REGION = "Prioritize **%s** in **%s** (Sales: %d units)."
+REGION = "Prioritize **%s** in **%s** (Sales: %s units)."
 CHANNEL = "Increase budget for **%s** campaigns (Conversion rate: %s%%)."
-DISCOUNT = "Introduce discounts for **%s** (Rating: %s/5, Reviews: %d)."
+DISCOUNT = "Introduce discounts for **%s** (Rating: %s/5, Reviews: %s)."
 NO_DISCOUNT = "No discount candidates identified – maintain current pricing strategy."
 
-# text report
+# text report: chapters, captions of its tables, closing lines
+CHAPTER_TRENDS = "1. Customer Trends"
+CHAPTER_SEGMENTS = "2. Segment Performance"
+CHAPTER_DRIVERS = "3. Key Purchase Drivers"
+CHAPTER_SENTIMENT = "4. Customer Sentiment Analysis"
+CHAPTER_CLOSING = "5. Strategic Recommendations"
+TABLE_PRODUCTS = "Top 5 Products by Engagement:"
+TABLE_REGIONS = "Top 5 Regions by Sales:"
+TABLE_RETENTION = "Customer Retention:"
+TABLE_DEMOGRAPHICS = "Conversion Rates by Demographic:"
+TABLE_CONVERSION = "Top Performing Products:"
+TABLE_ENGAGEMENT = "Engagement Effectiveness:"
+TABLE_SENTIMENT = "Sentiment Distribution (%):"
 REPORT_AGE = "- Target customers aged 30-45 in Germany (highest conversion rates)"
 REPORT_TOP = "- Focus marketing on top converting products: %s"
 REPORT_CONTENT = "- Prioritize %s content (highest engagement conversion)"

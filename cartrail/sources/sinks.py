@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str)
             report.append((name, "loaded", write_table(df, f"{root}/{name}")))
         except PySparkException as error:
             report.append((name, f"failed: {error.getCondition() or type(error).__name__}", None))
+        except Py4JJavaError as error:  # raised by the storage layer
+            report.append((name, f"failed: {error.java_exception.getClass().getSimpleName()}", None))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

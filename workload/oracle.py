@@ -265,7 +265,7 @@ def _text(value: str) -> str:
 
 def _fill(template: str, *values: str) -> str:
     """Concatenate a wording template with SQL expressions in place of its placeholders."""
-    pieces = template.replace("%%", "\0").replace("%d", "%s").split("%s")
+    pieces = template.replace("%%", "\0").split("%s")
     parts = [_text(pieces[0].replace("\0", "%"))]
     for value, piece in zip(values, pieces[1:], strict=True):
         parts += [f"CAST({value} AS VARCHAR)", _text(piece.replace("\0", "%"))]
@@ -388,16 +388,16 @@ def _text_report() -> str:
     whole = "CAST(CAST({0} AS BIGINT) AS VARCHAR)"
     best = f"(SELECT * FROM ({_CORE['product_conversion']}) ORDER BY Conversion_Rate DESC, Total_Purchases DESC, ProductName LIMIT 5)"
     tables = [
-        ("1. Customer Trends", "Top 5 Products by Engagement:", f"({_CORE['top_products']})", ["ProductName", "Total_Interactions"]),
-        ("", "Top 5 Regions by Sales:", f"({_CORE['top_regions']})", ["Country", "Total_Purchases"]),
-        ("", "Customer Retention:", f"({_CORE['customer_retention']})", ["Customer_Type", '"Count"']),
-        ("2. Segment Performance", "Conversion Rates by Demographic:", f"({_CORE['demographics_conversion']})",
+        (wording.CHAPTER_TRENDS, wording.TABLE_PRODUCTS, f"({_CORE['top_products']})", ["ProductName", "Total_Interactions"]),
+        ("", wording.TABLE_REGIONS, f"({_CORE['top_regions']})", ["Country", "Total_Purchases"]),
+        ("", wording.TABLE_RETENTION, f"({_CORE['customer_retention']})", ["Customer_Type", '"Count"']),
+        (wording.CHAPTER_SEGMENTS, wording.TABLE_DEMOGRAPHICS, f"({_CORE['demographics_conversion']})",
          ["Group_By", "Group_Value", "Total_Customers", "Total_Purchases", "Conversion_Rate"]),
-        ("3. Key Purchase Drivers", "Top Performing Products:", best,
+        (wording.CHAPTER_DRIVERS, wording.TABLE_CONVERSION, best,
          ["ProductName", "Avg_Price", "Unique_Customers", "Total_Purchases", "Conversion_Rate"]),
-        ("", "Engagement Effectiveness:", f"({_CORE['engagement_conversion']})",
+        ("", wording.TABLE_ENGAGEMENT, f"({_CORE['engagement_conversion']})",
          ["ContentType", "Total_Engagements", whole.format("Total_Purchases"), "Conversion_Rate"]),
-        ("4. Customer Sentiment Analysis", "Sentiment Distribution (%):", f"({_CORE['sentiment_distribution']})",
+        (wording.CHAPTER_SENTIMENT, wording.TABLE_SENTIMENT, f"({_CORE['sentiment_distribution']})",
          ["Category", "Percentage"]),
     ]
     fixed = ["=" * 60, "Customer & Marketing Analysis Report", "=" * 60]
@@ -406,7 +406,7 @@ def _text_report() -> str:
         plain = ["Total_Purchases" if "CAST" in c else c.strip('"') for c in columns]
         fixed += ["", *([chapter, ""] if chapter else []), caption, " ".join(c.rjust(20) for c in plain)]
         parts.append(f"SELECT {_cells(*columns)} AS line FROM {source}")
-    fixed += ["", "5. Strategic Recommendations", ""]
+    fixed += ["", wording.CHAPTER_CLOSING, ""]
     parts.append(f"SELECT line FROM ({_text_report_lines()})")
     parts.append(f"SELECT unnest([{', '.join(_text(line) for line in fixed)}]) AS line")
     return " UNION ALL ".join(parts)
