@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
@@ -18,21 +18,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _rows_from(one_row: DataFrame, table: str, structs: list[Column]) -> DataFrame:
-    """Unfold the single aggregate row of a table into one row per struct."""
-    unfolded = one_row.select(F.inline(F.array(*structs)))
-    return unfolded.select(F.lit(table).alias("table_name"), "*")
+def _unfolded(df: DataFrame, table: str, aggregates: list[str], names: str, cells: list[str]) -> DataFrame:
+    """One aggregate pass over ``df``, its single row turned into one row per column of ``df``.
+
+    ``aggregates`` and ``cells`` are SQL text; ``cells`` fill the columns ``names``, column after column.
+    """
+    one_row = df.selectExpr(*aggregates)
+    return one_row.selectExpr(f"'{table}' AS table_name", f"stack({len(df.columns)}, {', '.join(cells)}) AS ({names})")
 
 
 def null_counts(tables: Tables) -> DataFrame:
     """NULLs per column: ``(table_name, column_name, nulls)``."""
 
     def one(table: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
-        cells = [
-            F.struct(F.lit(c).alias("column_name"), (F.col("_rows") - F.col(c)).alias("nulls")) for c in df.columns
-        ]
-        return _rows_from(counts, table, cells)
+        counts = [f"count(*) - count(`{c}`) AS `{c}`" for c in df.columns]
+        return _unfolded(df, table, counts, "column_name, nulls", [f"'{c}', `{c}`" for c in df.columns])
 
     return _union([one(table, df) for table, df in tables.items()])
 
@@ -41,9 +41,8 @@ def duplicate_counts(tables: Tables) -> DataFrame:
     """Rows equal to an earlier row, NULLs being equal: ``(table_name, duplicates)``."""
 
     def one(table: str, df: DataFrame) -> DataFrame:
-        copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-        repeated = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates")
-        return copies.agg(repeated).select(F.lit(table).alias("table_name"), "duplicates")
+        copies = df.groupBy(*df.columns).agg(F.expr("count(*) AS _copies"))
+        return copies.selectExpr(f"'{table}' AS table_name", "coalesce(sum(_copies - 1), 0) AS duplicates")
 
     return _union([one(table, df) for table, df in tables.items()])
 
@@ -56,18 +55,13 @@ def inferred_types(tables: Tables) -> DataFrame:
     """
 
     def one(table: str, df: DataFrame) -> DataFrame:
-        checks = []
-        for c in df.columns:
-            checks.append(F.bool_and(F.col(c).rlike(_WHOLE)).alias(f"{c}#whole"))
-            checks.append(F.bool_and(F.col(c).rlike(_NUMBER)).alias(f"{c}#number"))
-        cells = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.when(F.col(f"`{c}#whole`"), "bigint").when(F.col(f"`{c}#number`"), "double").otherwise("string").alias("type"),
-            )
+        widest = [
+            f"max(CASE WHEN `{c}` RLIKE r'{_WHOLE}' THEN 1 WHEN `{c}` RLIKE r'{_NUMBER}' THEN 2 ELSE 3 END) "
+            f"FILTER (WHERE `{c}` IS NOT NULL) AS `{c}`"
             for c in df.columns
         ]
-        return _rows_from(df.agg(*checks), table, cells)
+        cells = [f"'{c}', coalesce(elt(`{c}`, 'bigint', 'double', 'string'), 'string')" for c in df.columns]
+        return _unfolded(df, table, widest, "column_name, type", cells)
 
     return _union([one(table, df) for table, df in tables.items()])
 
@@ -76,12 +70,13 @@ def key_uniqueness(tables: Tables, keys: Mapping[str, str]) -> DataFrame:
     """Is the column free of repeats? ``(table_name, column_name, is_unique, nulls)``; two NULLs are a repeat."""
 
     def one(table: str, df: DataFrame, key: str) -> DataFrame:
-        per_value = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        found = per_value.agg(
-            (F.coalesce(F.max("_rows"), F.lit(0)) <= 1).alias("is_unique"),
-            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_rows"))), F.lit(0)).alias("nulls"),
+        per_value = df.groupBy(key).agg(F.expr("count(*) AS _rows"))
+        return per_value.selectExpr(
+            f"'{table}' AS table_name",
+            f"'{key}' AS column_name",
+            "coalesce(max(_rows), 0) <= 1 AS is_unique",
+            f"coalesce(sum(_rows) FILTER (WHERE `{key}` IS NULL), 0) AS nulls",
         )
-        return found.select(F.lit(table).alias("table_name"), F.lit(key).alias("column_name"), "is_unique", "nulls")
 
     return _union([one(table, tables[table], key) for table, key in keys.items()])
 
@@ -92,9 +87,9 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     One shuffle for all columns: rows are unfolded into (column, value) pairs, counted inside each task.
     """
     names = columns or tuple(df.columns)
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names]
-    pairs = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-    counted = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    cells = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in names)
+    pairs = df.selectExpr(f"stack({len(names)}, {cells}) AS (column_name, value)").where("value IS NOT NULL")
+    counted = pairs.groupBy("column_name", "value").agg(F.expr("count(*) AS count"))
     return counted.orderBy("column_name", F.desc("count"), "value")
 
 
@@ -102,17 +97,9 @@ def table_info(tables: Tables) -> DataFrame:
     """``(table_name, column_name, type, rows, non_null)`` per column."""
 
     def one(table: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
-        cells = [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(kind).alias("type"),
-                F.col("_rows").alias("rows"),
-                F.col(name).alias("non_null"),
-            )
-            for name, kind in df.dtypes
-        ]
-        return _rows_from(counts, table, cells)
+        counts = ["count(*) AS _rows", *[f"count(`{c}`) AS `{c}`" for c in df.columns]]
+        cells = [f"'{name}', '{kind}', _rows, `{name}`" for name, kind in df.dtypes]
+        return _unfolded(df, table, counts, "column_name, type, rows, non_null", cells)
 
     return _union([one(table, df) for table, df in tables.items()])
 

@@ -202,3 +202,26 @@ def text_report_lines(star: Star) -> DataFrame:
             _say(disliked, rule, 5, _fill(wording.REPORT_NEGATIVE, "names")),
         ]
     )
+
+
+def findings(star: Star, k: int = 5) -> DataFrame:
+    """Drop-offs per stage and the best rated product ids."""
+    spark = star.journey.sparkSession
+    rule = "findings"
+    lost, best = product.dropoff_counts(star), product.top_rated_ids(star, k)
+    return _all(
+        [
+            _fixed(spark, rule, 1, wording.DROP_OFF_HEADER),
+            _say(lost, rule, 2, _fill(wording.DROP_OFF_ITEM, "Stage", "DropOffCount"), -F.col("DropOffCount"), F.col("Stage")),
+            _fixed(spark, rule, 3, ""),
+            _fixed(spark, rule, 4, wording.RATED_HEADER),
+            _say(
+                best,
+                rule,
+                5,
+                _fill(wording.RATED_ITEM, "ProductID", _four_digits("AvgRating")),
+                -F.col("AvgRating"),
+                F.lpad(F.col("ProductID").cast("string"), 20, "0"),
+            ),
+        ]
+    )

@@ -54,3 +54,9 @@ REPORT_TOP = "- Focus marketing on top converting products: %s"
 REPORT_CONTENT = "- Prioritize %s content (highest engagement conversion)"
 REPORT_CHECKOUT = "- Improve checkout process for products with high drop-off rates"
 REPORT_NEGATIVE = "- Address negative reviews for: %s"
+
+# findings
+DROP_OFF_HEADER = "Customer Journey Drop-off Points:"
+DROP_OFF_ITEM = "%s: %s drop-offs"
+RATED_HEADER = "Highest Rated Products:"
+RATED_ITEM = "Product ID %s: Average Rating %s"

@@ -10,7 +10,7 @@ from workload.binding import SCHEMAS
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-WRITES = {"load_overwrite", "load_report", "reviews_scored_csv", "recs_text", "text_report"}
+WRITES = {"load_overwrite", "load_report", "reviews_scored_csv", "recs_text", "findings_text", "text_report"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 

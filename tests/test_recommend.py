@@ -84,6 +84,17 @@ def test_business_with_a_discount_candidate(spark):
     assert lines(recommend.business(build(spark, reviews=reviews)))[-1] == "Introduce discounts for **Lamp** (Rating: 1.4286/5, Reviews: 7)."
 
 
+def test_findings(star):
+    assert lines(recommend.findings(star, k=2)) == [
+        "Customer Journey Drop-off Points:",
+        "checkout: 1 drop-offs",
+        "",
+        "Highest Rated Products:",
+        "Product ID 10: Average Rating 3.5000",
+        "Product ID 11: Average Rating 3.0000",
+    ]
+
+
 def test_text_report_reads_in_order(star):
     found = lines(text_report.text_report(star))
     chapters = [line for line in found if line[:2] in ("1.", "2.", "3.", "4.", "5.")]

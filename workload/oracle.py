@@ -376,6 +376,19 @@ def _business() -> str:
     )
 
 
+def _findings() -> str:
+    lost = "(SELECT Stage, count(*) AS n FROM journey WHERE Action = 'drop-off' GROUP BY 1)"
+    best = f"(SELECT ProductID, {_avg('Rating')} AS rating FROM reviews GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)"
+    fixed = [wording.DROP_OFF_HEADER, "", wording.RATED_HEADER]
+    return " UNION ALL ".join(
+        [
+            f"SELECT unnest([{', '.join(_text(line) for line in fixed)}]) AS line",
+            f"SELECT {_fill(wording.DROP_OFF_ITEM, 'Stage', 'n')} AS line FROM {lost}",
+            f"""SELECT {_fill(wording.RATED_ITEM, 'ProductID', "printf('%.4f', rating)")} AS line FROM {best}""",
+        ]
+    )
+
+
 # --- the plain-text report ------------------------------------------------------------------------------------
 
 
@@ -525,6 +538,7 @@ def statements() -> dict[str, str]:
             _reviews_scored("reviews", "ReviewID", "ProductID", "Rating", "ReviewText"),
         ),
         "recs_text": _sql(f"SELECT line FROM ({_marketing()})"),
+        "findings_text": _sql(_findings()),
         "text_report": _sql(_text_report()),
         "clean_fill": _sql("SELECT JourneyID, coalesce(Duration, 0.0) AS Duration FROM raw_journey"),
         "clean_case": _sql(_case_counts()),

@@ -141,6 +141,12 @@ def _recs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def _findings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.work_dir(spark) + "/findings"
+    sinks.write_lines(recommend.findings(binding.star(spark, sf_dir)), path, *recommend.READING_ORDER)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def _text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.work_dir(spark) + "/report"
     sinks.write_lines(text_report.text_report(binding.star(spark, sf_dir)), path, *recommend.READING_ORDER)
@@ -214,6 +220,7 @@ def queries() -> dict[str, Query]:
         "load_report": _load_report,
         "reviews_scored_csv": _reviews_scored_csv,
         "recs_text": _recs_text,
+        "findings_text": _findings_text,
         "text_report": _text_report,
         # cleaning
         "clean_fill": _clean_fill,
