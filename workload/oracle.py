@@ -42,7 +42,9 @@ reviews AS (
   SELECT l_orderkey * 10 + l_linenumber AS ReviewID, o_custkey AS CustomerID, l_partkey AS ProductID,
          CAST(l_shipdate AS DATE) AS ReviewDate, CAST(1 + floor((l_quantity - 1) / 10) AS INTEGER) AS Rating,
          'complaint  type ' || (l_suppkey % 10) AS ReviewText
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'O'),
+  FROM lineitem LEFT JOIN (SELECT o_orderkey, min(o_custkey) AS o_custkey FROM orders GROUP BY 1) buyers
+    ON l_orderkey = o_orderkey
+  WHERE l_linestatus = 'O'),
 engagement AS (
   SELECT l_orderkey * 10 + l_linenumber AS EngagementID, l_suppkey AS ContentID, l_returnflag AS ContentType,
          CAST(round(l_tax * 100) AS INTEGER) AS Likes, CAST(l_shipdate AS DATE) AS EngagementDate,
