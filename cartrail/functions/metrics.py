@@ -87,7 +87,9 @@ def rating_sentiment(rating: str) -> Column:
 
 def rating_sentiment_label(rating: str) -> Column:
     """Negative up to 2, Neutral at 3, else Positive."""
-    return F.expr(f"CASE WHEN {rating} <= 2 THEN '{NEGATIVE}' WHEN {rating} = 3 THEN '{NEUTRAL}' ELSE '{POSITIVE}' END")
+    return F.expr(
+        f"CASE WHEN {rating} <= 2 THEN '{NEGATIVE}' WHEN {rating} = 3 THEN '{NEUTRAL}' ELSE '{POSITIVE}' END"
+    )
 
 
 def score_label(score: str) -> Column:

@@ -90,7 +90,8 @@ def split_pair(df: DataFrame, column: str, left: str, right: str, strict: bool =
     valid = _is_pair(column)
     typed = [F.when(valid, F.trim(number).try_cast("int")) for number in numbers]
     if strict:
-        message = F.concat(F.lit(f"{column} is not a pair of whole numbers: "), F.coalesce(F.col(column), F.lit("NULL")))
+        value = F.coalesce(F.col(column), F.lit("NULL"))
+        message = F.concat(F.lit(f"{column} is not a pair of whole numbers: "), value)
         typed = [F.coalesce(number, F.raise_error(message).cast("int")) for number in typed]
     return df.withColumns({left: typed[0], right: typed[1]}).drop(column)
 

@@ -22,7 +22,12 @@ NAMES_PER_LINE = 1000
 
 
 def _say(
-    df: DataFrame, rule: str, section: int, line: Column, sort_key: Column | None = None, sort_name: Column | None = None
+    df: DataFrame,
+    rule: str,
+    section: int,
+    line: Column,
+    sort_key: Column | None = None,
+    sort_name: Column | None = None,
 ) -> DataFrame:
     return df.select(
         F.lit(rule).alias("rule"),
@@ -212,7 +217,14 @@ def findings(star: Star, k: int = 5) -> DataFrame:
     return _all(
         [
             _fixed(spark, rule, 1, wording.DROP_OFF_HEADER),
-            _say(lost, rule, 2, _fill(wording.DROP_OFF_ITEM, "Stage", "DropOffCount"), -F.col("DropOffCount"), F.col("Stage")),
+            _say(
+                lost,
+                rule,
+                2,
+                _fill(wording.DROP_OFF_ITEM, "Stage", "DropOffCount"),
+                -F.col("DropOffCount"),
+                F.col("Stage"),
+            ),
             _fixed(spark, rule, 3, ""),
             _fixed(spark, rule, 4, wording.RATED_HEADER),
             _say(

@@ -1,4 +1,5 @@
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,18 @@ def test_rounded_ratio(spark, total, count, digits, expected):
     assert _value(spark, metrics.rounded_ratio("s", "n", digits), s=(total, "bigint"), n=(count, "bigint")) == expected
 
 
+def test_rounded_ratio_equals_decimal_rounding(spark):
+    pick = random.Random(5)
+    pairs = [(pick.randint(-(10**6), 10**6), pick.choice([8, 16, 32, 160, 625, pick.randint(1, 10**5)])) for _ in range(500)]
+    df = spark.createDataFrame(pairs, "s bigint, n bigint")
+    for digits in (1, 2, 4):
+        found = [row.v for row in df.select(metrics.rounded_ratio("s", "n", digits).alias("v")).collect()]
+        step = Decimal(1).scaleb(-digits)
+        with localcontext(prec=60):
+            expected = [float((Decimal(s) / n).quantize(step, ROUND_HALF_UP)) for s, n in pairs]
+        assert found == expected
+
+
 @pytest.mark.parametrize(
     ("age", "text", "group"),
     [(29, "<30", "18-29"), (30, "30-45", "30-45"), (45, "30-45", "30-45"), (46, ">45", "46+"), (None, ">45", "46+")],

@@ -50,5 +50,14 @@ def test_query(spark, reference, name):
     assert sorted((tuple(row) for row in found), key=key) == expected
 
 
+def test_reviewer_join_is_dropped_where_unread(spark):
+    def scans_orders(name):
+        return "orders.parquet" in QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+    assert not scans_orders("lowest_rated_products")
+    assert not scans_orders("geo_performance")
+    assert scans_orders("clean_strip")
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0

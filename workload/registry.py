@@ -229,13 +229,16 @@ def queries() -> dict[str, Query]:
             "customer_reviews",
             lambda raw: clean.strip_blanks(clean.fill_missing(raw, {"ReviewText": clean.MISSING_REVIEW}), "ReviewText"),
         ),
-        "clean_clip": _raw("customers", lambda raw: clean.clip(raw, "Age", *clean.AGE_LIMITS).select("CustomerID", "Age")),
+        "clean_clip": _raw(
+            "customers", lambda raw: clean.clip(raw, "Age", *clean.AGE_LIMITS).select("CustomerID", "Age")
+        ),
         "clean_price_filter": _raw("products", lambda raw: clean.keep_positive(raw, "Price")),
         "clean_distinct": _raw("geography", clean.drop_duplicate_rows),
         "clean_dedup_key": _raw("customers", lambda raw: clean.keep_first_per_key(raw, "CustomerID", "arrival")),
         "clean_split_pair": _raw("engagement_data", _clean_split),
         "clean_malformed_pairs": _raw(
-            "engagement_data", lambda raw: clean.malformed_pairs(raw, "ViewsClicksCombined").select("EngagementID", "ViewsClicksCombined")
+            "engagement_data",
+            lambda raw: clean.malformed_pairs(raw, "ViewsClicksCombined").select("EngagementID", "ViewsClicksCombined"),
         ),
         "clean_all": _clean_all,
         # profiling
@@ -293,7 +296,9 @@ def queries() -> dict[str, Query]:
         "dropoff_counts": _report(product.dropoff_counts),
         "avg_stage_duration": _report(lambda star: product.avg_stage_duration(star.journey)),
         "avg_stage_duration_filled": _report(
-            lambda star: product.avg_stage_duration(clean.fill_missing(star.journey, {"Duration": clean.MISSING_DURATION}))
+            lambda star: product.avg_stage_duration(
+                clean.fill_missing(star.journey, {"Duration": clean.MISSING_DURATION})
+            )
         ),
         "highest_rated_products": _report(product.highest_rated_products),
         "top_rated_by_name": _report(product.top_rated_by_name),
