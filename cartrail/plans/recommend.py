@@ -21,46 +21,44 @@ READING_ORDER = ("section", "sort_key", "sort_name")
 NAMES_PER_LINE = 1000
 
 
-def _say(
-    df: DataFrame,
-    rule: str,
-    section: int,
-    line: Column,
-    sort_key: Column | None = None,
-    sort_name: Column | None = None,
-) -> DataFrame:
-    return df.select(
-        F.lit(rule).alias("rule"),
-        F.lit(section).alias("section"),
-        (F.lit(0.0) if sort_key is None else sort_key.cast("double")).alias("sort_key"),
-        (F.lit("") if sort_name is None else sort_name).alias("sort_name"),
-        line.alias("line"),
-    )
+def _text(value: str) -> str:
+    """SQL text: a string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
 
+def _fill(template: str, *values: str) -> str:
+    """SQL text: the template with every value, itself SQL text, as text; a missing one reads ``None``."""
+    filled = [f"coalesce(CAST({value} AS STRING), 'None')" for value in values]
+    return f"format_string({', '.join([_text(template), *filled])})"
 
-def _fill(template: str, *values: Column | str) -> Column:
-    """The template with every value as text; a missing one reads ``None``."""
-    columns = [F.col(value) if isinstance(value, str) else value for value in values]
-    return F.format_string(template, *[F.coalesce(column.cast("string"), F.lit("None")) for column in columns])
 
+def _four_digits(name: str) -> str:
+    return f"CAST({name} AS DECIMAL(38,4))"
 
-def _four_digits(name: str) -> Column:
-    return F.col(name).cast("decimal(38,4)")
+
+def _say(df: DataFrame, rule: str, section: int, line: str, sort_key: str = "0", sort_name: str = "''") -> DataFrame:
+    return df.selectExpr(
+        f"'{rule}' AS rule",
+        f"{section} AS section",
+        f"CAST({sort_key} AS DOUBLE) AS sort_key",
+        f"{sort_name} AS sort_name",
+        f"{line} AS line",
+    )
 
 
 def _fixed(spark: SparkSession, rule: str, section: int, line: str) -> DataFrame:
-    return _say(spark.range(1), rule, section, F.lit(line))
+    return _say(spark.range(1), rule, section, _text(line))
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _listed(best: DataFrame, order: Column, name: str) -> DataFrame:
+def _listed(best: DataFrame, order: str, name: str) -> DataFrame:
     """Names of a few rows as one comma-separated text, ordered; no row when there are none."""
-    pairs = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(name).alias("n"))))
-    names = best.agg(F.transform(pairs, lambda pair: pair["n"]).alias("names"))
-    return names.where(F.size("names") > 0).select(F.array_join("names", ", ").alias("names"))
+    names = best.selectExpr(f"array_sort(collect_list(struct({order} AS o, {name} AS n))).n AS names")
+    return names.where("size(names) > 0").selectExpr("array_join(names, ', ') AS names")
 
 
 def _best(df: DataFrame, rate: str, name: str) -> DataFrame:
@@ -71,9 +69,8 @@ def _name_lines(names: DataFrame, rule: str, section: int, template: str) -> Dat
     """All names on one line, or hashed evenly onto several once they exceed ``NAMES_PER_LINE``."""
     lines = F.ceil(names.agg(F.count(F.lit(1))).scalar() / F.lit(NAMES_PER_LINE))
     part = F.pmod(F.xxhash64("ProductName"), F.greatest(lines, F.lit(1)))
-    joined = F.array_join(F.array_sort(F.collect_list("ProductName")), ", ").alias("names")
-    listed = names.groupBy(part.alias("part")).agg(joined)
-    return _say(listed, rule, section, _fill(template, "names"), F.col("part"))
+    joined = F.expr("array_join(array_sort(collect_list(ProductName)), ', ') AS names")
+    return _say(names.groupBy(part.alias("part")).agg(joined), rule, section, _fill(template, "names"), "part")
 
 
 def strategic(star: Star) -> DataFrame:
@@ -83,7 +80,7 @@ def strategic(star: Star) -> DataFrame:
     products = product.product_conversion(star).orderBy(F.desc("Conversion_Rate"), "ProductName").limit(3)
     content = _best(marketing.engagement_conversion(star), "Conversion_Rate", "ContentType")
     ages = _best(customer.age_conversion(star), "Conversion_Rate", "Group_Value")
-    listed = _listed(products, -F.col("Conversion_Rate"), "ProductName")
+    listed = _listed(products, "-Conversion_Rate", "ProductName")
     negative = experience.negatively_reviewed_products(star)
     return _all(
         [
@@ -100,31 +97,15 @@ def marketing_lines(star: Star, k: int = 5) -> DataFrame:
     """One line per underperforming product and per channel."""
     rule = "marketing"
     weak = marketing.underperforming_products(star, k)
+    improve = _fill(wording.IMPROVE_PRODUCT, "ProductName", _four_digits("AvgRating"), "PurchaseCount")
+    then = "concat_ws('|', lpad(CAST(PurchaseCount AS STRING), 38, '0'), ProductName)"
     channels = marketing.channel_performance(star)
+    averages = [_four_digits("AvgViews"), _four_digits("AvgClicks")]
+    boost = _fill(wording.BOOST_CHANNEL, "ContentType", *averages, "Purchases")
     return _all(
         [
-            _say(
-                weak,
-                rule,
-                1,
-                _fill(wording.IMPROVE_PRODUCT, "ProductName", _four_digits("AvgRating"), "PurchaseCount"),
-                F.col("AvgRating"),
-                F.concat_ws("|", F.lpad(F.col("PurchaseCount").cast("string"), 38, "0"), "ProductName"),
-            ),
-            _say(
-                channels,
-                rule,
-                2,
-                _fill(
-                    wording.BOOST_CHANNEL,
-                    "ContentType",
-                    _four_digits("AvgViews"),
-                    _four_digits("AvgClicks"),
-                    "Purchases",
-                ),
-                -F.col("Purchases"),
-                F.col("ContentType"),
-            ),
+            _say(weak, rule, 1, improve, "AvgRating", then),
+            _say(channels, rule, 2, boost, "-Purchases", "ContentType"),
         ]
     )
 
@@ -136,55 +117,39 @@ def experience_lines(
     rule = "experience"
     alert = negative_polarity_gate(star.reviews, lexicon).where("dissatisfied")
     lowest = product.lowest_rated_products(star, k)
-    two_digits = F.bround(F.col("AvgRating").cast("decimal(20,4)"), 2).cast("decimal(20,2)")
-    once = customer.one_time_purchasers(star, purchase).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    two_digits = "CAST(bround(CAST(AvgRating AS DECIMAL(20,4)), 2) AS DECIMAL(20,2))"
+    rated = _fill(wording.LOWEST_ITEM, "ProductName", "ProductID", two_digits, "ReviewCount")
+    once = customer.one_time_purchasers(star, purchase).selectExpr("count(*) AS n").where("n > 0")
     repeated = experience.common_complaints(star, complaints)
+    heard = _fill(wording.COMPLAINT_ITEM, "ReviewText", "ProductName", "Frequency")
     return _all(
         [
-            _say(alert, rule, 1, F.lit(wording.DISSATISFIED)),
-            _say(lowest.limit(1), rule, 2, F.lit(wording.LOWEST_HEADER)),
-            _say(
-                lowest,
-                rule,
-                3,
-                _fill(wording.LOWEST_ITEM, "ProductName", "ProductID", two_digits, "ReviewCount"),
-                F.col("AvgRating"),
-                F.lpad(F.col("ProductID").cast("string"), 20, "0"),
-            ),
+            _say(alert, rule, 1, _text(wording.DISSATISFIED)),
+            _say(lowest.limit(1), rule, 2, _text(wording.LOWEST_HEADER)),
+            _say(lowest, rule, 3, rated, "AvgRating", "lpad(CAST(ProductID AS STRING), 20, '0')"),
             _say(once, rule, 4, _fill(wording.ONE_TIME, "n")),
-            _say(repeated.limit(1), rule, 5, F.lit(wording.COMPLAINT_HEADER)),
-            _say(
-                repeated,
-                rule,
-                6,
-                _fill(wording.COMPLAINT_ITEM, "ReviewText", "ProductName", "Frequency"),
-                -F.col("Frequency"),
-                F.concat_ws("|", "ReviewText", "ProductName"),
-            ),
+            _say(repeated.limit(1), rule, 5, _text(wording.COMPLAINT_HEADER)),
+            _say(repeated, rule, 6, heard, "-Frequency", "concat_ws('|', ReviewText, ProductName)"),
         ]
     )
 
 
 def business(star: Star) -> DataFrame:
     """Flagship product, best demographic, region and channel, and a discount candidate or the fallback line."""
-    rule = "business"
-    flagship = product.flagship_product(star)
-    demographic = customer.top_demographic(star)
-    region = customer.top_region_product(star)
-    channel = marketing.top_channel_roi(star)
-    candidate = product.discount_candidates(star)
-    rate = "conversion_rate"
+    rule, rate = "business", "conversion_rate"
     discount = _fill(wording.DISCOUNT, "ProductName", "avg_rating", "review_count")
-    decided = candidate.agg(F.coalesce(F.max(discount), F.lit(wording.NO_DISCOUNT)).alias("text"))
+    decided = product.discount_candidates(star).selectExpr(
+        f"coalesce(max({discount}), {_text(wording.NO_DISCOUNT)}) AS decision"
+    )
+    best_group = _fill(wording.DEMOGRAPHIC, "age_group", "Gender", "Country", rate)
+    best_region = _fill(wording.REGION, "ProductName", "Country", "sales")
     return _all(
         [
-            _say(flagship, rule, 1, _fill(wording.FLAGSHIP, "ProductName", rate)),
-            _say(
-                demographic, rule, 2, _fill(wording.DEMOGRAPHIC, "age_group", "Gender", "Country", rate)
-            ),
-            _say(region, rule, 3, _fill(wording.REGION, "ProductName", "Country", "sales")),
-            _say(channel, rule, 4, _fill(wording.CHANNEL, "ContentType", rate)),
-            _say(decided, rule, 5, F.col("text")),
+            _say(product.flagship_product(star), rule, 1, _fill(wording.FLAGSHIP, "ProductName", rate)),
+            _say(customer.top_demographic(star), rule, 2, best_group),
+            _say(customer.top_region_product(star), rule, 3, best_region),
+            _say(marketing.top_channel_roi(star), rule, 4, _fill(wording.CHANNEL, "ContentType", rate)),
+            _say(decided, rule, 5, "decision"),
         ]
     )
 
@@ -196,8 +161,8 @@ def text_report_lines(star: Star) -> DataFrame:
     products = product.product_conversion(star).orderBy(F.desc("Conversion_Rate"), "ProductName").limit(3)
     content = _best(marketing.engagement_conversion(star), "Conversion_Rate", "ContentType")
     negative = experience.negatively_reviewed_products(star).orderBy("ProductName").limit(3)
-    top = _listed(products, -F.col("Conversion_Rate"), "ProductName")
-    disliked = _listed(negative, F.col("ProductName"), "ProductName")
+    top = _listed(products, "-Conversion_Rate", "ProductName")
+    disliked = _listed(negative, "ProductName", "ProductName")
     return _all(
         [
             _fixed(spark, rule, 1, wording.REPORT_AGE),
@@ -214,26 +179,13 @@ def findings(star: Star, k: int = 5) -> DataFrame:
     spark = star.journey.sparkSession
     rule = "findings"
     lost, best = product.dropoff_counts(star), product.top_rated_ids(star, k)
+    rated = _fill(wording.RATED_ITEM, "ProductID", _four_digits("AvgRating"))
     return _all(
         [
             _fixed(spark, rule, 1, wording.DROP_OFF_HEADER),
-            _say(
-                lost,
-                rule,
-                2,
-                _fill(wording.DROP_OFF_ITEM, "Stage", "DropOffCount"),
-                -F.col("DropOffCount"),
-                F.col("Stage"),
-            ),
+            _say(lost, rule, 2, _fill(wording.DROP_OFF_ITEM, "Stage", "DropOffCount"), "-DropOffCount", "Stage"),
             _fixed(spark, rule, 3, ""),
             _fixed(spark, rule, 4, wording.RATED_HEADER),
-            _say(
-                best,
-                rule,
-                5,
-                _fill(wording.RATED_ITEM, "ProductID", _four_digits("AvgRating")),
-                -F.col("AvgRating"),
-                F.lpad(F.col("ProductID").cast("string"), 20, "0"),
-            ),
+            _say(best, rule, 5, rated, "-AvgRating", "lpad(CAST(ProductID AS STRING), 20, '0')"),
         ]
     )

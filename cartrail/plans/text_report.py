@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartrail.plans import customer, experience, marketing, product, recommend, wording
@@ -13,31 +13,24 @@ from cartrail.star import Star
 COLUMN_WIDTH = 20
 
 
-def _cell(text: Column) -> Column:
-    """Right-aligned in ``COLUMN_WIDTH``; a longer value is never cut."""
-    return F.lpad(text, F.greatest(F.length(text), F.lit(COLUMN_WIDTH)), F.lit(" "))
+def _cell(name: str) -> str:
+    """SQL text: right-aligned in ``COLUMN_WIDTH``; a longer value is never cut."""
+    text = f"coalesce(CAST(`{name}` AS STRING), 'NULL')"
+    return f"lpad({text}, greatest(length({text}), {COLUMN_WIDTH}), ' ')"
 
 
 def _heading(spark: SparkSession, section: int, *lines: str) -> DataFrame:
-    cells = [
-        F.struct(
-            F.lit(section).alias("section"),
-            F.lit(float(i)).alias("sort_key"),
-            F.lit("").alias("sort_name"),
-            F.lit(line).alias("line"),
-        )
-        for i, line in enumerate(lines)
-    ]
-    return spark.range(1).select(F.inline(F.array(*cells)))
+    cells = [F.struct(F.lit(float(i)).alias("sort_key"), F.lit(line).alias("line")) for i, line in enumerate(lines)]
+    listed = spark.range(1).select(F.inline(F.array(*cells)))
+    return listed.selectExpr(f"{section} AS section", "sort_key", "'' AS sort_name", "line")
 
 
-def _table(df: DataFrame, section: int, sort_key: Column, sort_name: str, *columns: str) -> DataFrame:
-    cells = [_cell(F.coalesce(F.col(name).cast("string"), F.lit("NULL"))) for name in columns]
-    return df.select(
-        F.lit(section).alias("section"),
-        sort_key.cast("double").alias("sort_key"),
-        F.col(sort_name).alias("sort_name"),
-        F.concat_ws(" ", *cells).alias("line"),
+def _table(df: DataFrame, section: int, sort_key: str, sort_name: str, *columns: str) -> DataFrame:
+    return df.selectExpr(
+        f"{section} AS section",
+        f"CAST({sort_key} AS DOUBLE) AS sort_key",
+        f"{sort_name} AS sort_name",
+        f"concat_ws(' ', {', '.join(_cell(name) for name in columns)}) AS line",
     )
 
 
@@ -53,22 +46,22 @@ def text_report(star: Star, title: str = "Customer & Marketing Analysis Report")
     )
     tables = [
         (wording.CHAPTER_TRENDS, wording.TABLE_PRODUCTS, product.top_products(star),
-         -F.col("Total_Interactions"), "ProductName", ("ProductName", "Total_Interactions")),
+         "-Total_Interactions", "ProductName", ("ProductName", "Total_Interactions")),
         ("", wording.TABLE_REGIONS, customer.top_regions(star),
-         -F.col("Total_Purchases"), "Country", ("Country", "Total_Purchases")),
+         "-Total_Purchases", "Country", ("Country", "Total_Purchases")),
         ("", wording.TABLE_RETENTION, customer.customer_retention(star),
-         F.lit(0), "Customer_Type", ("Customer_Type", "Count")),
+         "0", "Customer_Type", ("Customer_Type", "Count")),
         (wording.CHAPTER_SEGMENTS, wording.TABLE_DEMOGRAPHICS, customer.demographics_conversion(star),
-         F.when(F.col("Group_By") == "Age Range", 0).when(F.col("Group_By") == "Gender", 1).otherwise(2), "Group_Value",
+         "array_position(array('Age Range', 'Gender', 'Country'), Group_By)", "Group_Value",
          ("Group_By", "Group_Value", "Total_Customers", "Total_Purchases", "Conversion_Rate")),
         (wording.CHAPTER_DRIVERS, wording.TABLE_CONVERSION, best.limit(5),
-         -F.col("Conversion_Rate"), "ProductName",
+         "-Conversion_Rate", "ProductName",
          ("ProductName", "Avg_Price", "Unique_Customers", "Total_Purchases", "Conversion_Rate")),
         ("", wording.TABLE_ENGAGEMENT, marketing.engagement_conversion(star),
-         -F.col("Conversion_Rate"), "ContentType",
+         "-Conversion_Rate", "ContentType",
          ("ContentType", "Total_Engagements", "Total_Purchases", "Conversion_Rate")),
         (wording.CHAPTER_SENTIMENT, wording.TABLE_SENTIMENT, experience.sentiment_distribution(star),
-         F.lit(0), "Category", ("Category", "Percentage")),
+         "0", "Category", ("Category", "Percentage")),
     ]
     rule = "=" * 60
     parts = [_heading(spark, 0, rule, title, rule)]
@@ -78,5 +71,5 @@ def text_report(star: Star, title: str = "Customer & Marketing Analysis Report")
         parts.append(_table(df, 11 + 2 * number, sort_key, sort_name, *columns))
     parts.append(_heading(spark, 90, "", wording.CHAPTER_CLOSING, ""))
     closing = recommend.text_report_lines(star)
-    parts.append(closing.select((F.col("section") + 90).alias("section"), "sort_key", "sort_name", "line"))
+    parts.append(closing.selectExpr("section + 90 AS section", "sort_key", "sort_name", "line"))
     return reduce(DataFrame.unionByName, parts)
