@@ -128,8 +128,9 @@ def demographics_conversion(star: Star) -> DataFrame:
     from the other two, so they are aggregated apart and appended.
     """
     people = _customer_totals(star)
+    band = age_band("Age", AGE_RANGES).cast(people.schema["Gender"].dataType)
     traits = F.array(
-        F.struct(F.lit("Age Range").alias("Group_By"), age_band("Age", AGE_RANGES).alias("Group_Value")),
+        F.struct(F.lit("Age Range").alias("Group_By"), band.alias("Group_Value")),
         F.struct(F.lit("Gender").alias("Group_By"), F.col("Gender").alias("Group_Value")),
     )
     by_trait = people.select("CustomerID", "checkout_purchases", F.inline(traits))

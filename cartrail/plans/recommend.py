@@ -42,8 +42,8 @@ def _say(df: DataFrame, rule: str, section: int, line: str, sort_key: str = "0",
         f"'{rule}' AS rule",
         f"{section} AS section",
         f"CAST({sort_key} AS DOUBLE) AS sort_key",
-        f"{sort_name} AS sort_name",
-        f"{line} AS line",
+        f"({sort_name}) COLLATE UTF8_BINARY AS sort_name",
+        f"({line}) COLLATE UTF8_BINARY AS line",
     )
 
 

@@ -24,12 +24,13 @@ def _scores(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
     any match, and counts the rows that share an id and a text. The text itself is never shuffled, and each
     task has reduced a review to one row before the shuffle.
     """
-    words = F.array_append(F.coalesce(F.regexp_extract_all("ReviewText", F.lit(_WORD), F.lit(0)), F.array()), F.lit(""))
+    plain = F.collate("ReviewText", "UTF8_BINARY")
+    words = F.array_append(F.coalesce(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), F.array()), F.lit(""))
     split = reviews.select("ReviewID", *keep, _text_key(), words.alias("words"))
     # the outer form, as the plain one would split every text a second time to filter out empty arrays
     spelled = split.select("ReviewID", *keep, "_text", F.explode_outer("words").alias("word"))
     weight = F.round(F.col("polarity") * _PARTS).cast("bigint").alias("weight")
-    weights = lexicon.select(F.lower("word").alias("word"), weight)
+    weights = lexicon.select(F.lower(F.collate("word", "UTF8_BINARY")).alias("word"), weight)
     marker = lexicon.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(None).cast("bigint").alias("weight"))
     known = weights.where(F.col("word") != "").unionByName(marker)
     found = lookup_join(spelled.withColumn("word", F.lower("word")), known, "word", spread_by=["ReviewID"])

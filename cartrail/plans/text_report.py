@@ -15,7 +15,7 @@ COLUMN_WIDTH = 20
 
 def _cell(name: str) -> str:
     """SQL text: right-aligned in ``COLUMN_WIDTH``; a longer value is never cut."""
-    text = f"coalesce(CAST(`{name}` AS STRING), 'NULL')"
+    text = f"coalesce(CAST(`{name}` AS STRING) COLLATE UTF8_BINARY, 'NULL')"
     return f"lpad({text}, greatest(length({text}), {COLUMN_WIDTH}), ' ')"
 
 
@@ -29,7 +29,7 @@ def _table(df: DataFrame, section: int, sort_key: str, sort_name: str, *columns:
     return df.selectExpr(
         f"{section} AS section",
         f"CAST({sort_key} AS DOUBLE) AS sort_key",
-        f"{sort_name} AS sort_name",
+        f"{sort_name} COLLATE UTF8_BINARY AS sort_name",
         f"concat_ws(' ', {', '.join(_cell(name) for name in columns)}) AS line",
     )
 

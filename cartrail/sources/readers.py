@@ -13,14 +13,17 @@ from cartrail import schemas
 INGEST_ORDER = "ingest_order"
 
 
-def read_csv_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """One CSV with header per table name, read with the declared raw schema (no inference pass)."""
-    return {name: _csv(spark, path, name) for name, path in paths.items()}
+def read_csv_tables(spark: SparkSession, paths: Mapping[str, str], multi_line: bool = False) -> dict[str, DataFrame]:
+    """One CSV with header per table name, read with the declared raw schema (no inference pass).
 
+    ``multi_line`` is for quoted values with line breaks; such files are read by one task each.
+    """
 
-def _csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    reader = spark.read.schema(schemas.RAW[table]).option("header", True).option("enforceSchema", False)
-    return reader.option("escape", '"').csv(path)
+    def read(table: str, path: str) -> DataFrame:
+        reader = spark.read.schema(schemas.RAW[table]).option("header", True).option("enforceSchema", False)
+        return reader.option("escape", '"').option("multiLine", multi_line).csv(path)
+
+    return {name: read(name, path) for name, path in paths.items()}
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _ignoring_case(df: DataFrame) -> DataFrame:
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    return df.select(*[F.collate(name, "UTF8_LCASE").alias(name) if name in texts else name for name in df.columns])
 
 
 class Star:
@@ -16,6 +22,14 @@ class Star:
     def __init__(self, tables: Mapping[str, DataFrame]) -> None:
         self._tables = tables
 
+    def ignoring_case(self) -> Star:
+        """The same star with all text compared, grouped and sorted without regard to case.
+
+        For tables that were not cleaned, or whose names and texts are spelled unevenly. A group shows one of its
+        spellings. Filters on such columns do not reach the Parquet scan, so cleaned tables are better without.
+        """
+        return Star({name: _ignoring_case(df) for name, df in self._tables.items()})
+
     @property
     def journey(self) -> DataFrame:
         return self._tables["customer_journey"]

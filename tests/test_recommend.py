@@ -18,6 +18,13 @@ def lexicon(spark):
     return spark.createDataFrame([("bad", -0.7), ("good", 0.5)], "word string, polarity double")
 
 
+def test_lines_of_a_star_ignoring_case(star, lexicon):
+    loose = star.ignoring_case()
+    for report in (recommend.strategic, recommend.business, recommend.text_report_lines, recommend.findings, text_report.text_report):
+        assert lines(report(loose)) == lines(report(star)), report.__name__
+    assert lines(recommend.experience_lines(loose, lexicon)) == lines(recommend.experience_lines(star, lexicon))
+
+
 def test_strategic(star):
     assert lines(recommend.strategic(star)) == [
         "Focus marketing on top converting products: Kayak, Drum.",

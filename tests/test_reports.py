@@ -7,7 +7,7 @@ import pytest
 from cartrail.functions.metrics import is_checkout_purchase
 from cartrail.operators import clean
 from cartrail.plans import customer, experience, marketing, product
-from tests.shop import PRODUCTS, build, ordered, rows, skewed
+from tests.shop import JOURNEYS, PRODUCTS, build, ordered, rows, skewed
 
 BUY = "Action = 'purchase'"
 CHECKOUT_BUY = "Stage = 'checkout' AND Action = 'purchase'"
@@ -268,6 +268,28 @@ def test_best_sellers_are_left_out(star):
     assert rows(product.outside_best_sellers(star, 1).select("ProductID")) == [(11,), (12,), (13,)]
 
 
+def test_star_ignoring_case(spark):
+    mixed = [(*j[:4], j[4].title() if j[0] % 2 else j[4], j[5].upper(), j[6]) for j in JOURNEYS]
+    products = [(i, name.upper() if i == 11 else name, kind, price) for i, name, kind, price in PRODUCTS]
+    loose = build(spark, journeys=mixed, products=products).ignoring_case()
+    exact = build(spark)
+
+    def lowered(df):
+        return rows(df.selectExpr(*[f"lower(CAST({c} AS STRING) COLLATE UTF8_BINARY) AS {c}" for c in df.columns]))
+
+    for report in (
+        product.product_conversion,
+        product.dropoff_rate,
+        customer.demographics_conversion,
+        customer.top_regions,
+        marketing.engagement_conversion,
+        marketing.underperforming_products,
+        experience.common_complaints,
+        customer.one_time_purchasers,
+    ):
+        assert lowered(report(loose)) == lowered(report(exact)), report.__name__
+
+
 def test_no_facts_at_all(spark):
     star = build(spark, journeys=[], reviews=[], engagement=[])
     assert ordered(marketing.engagement_conversion(star)) == []

@@ -646,6 +646,11 @@ def statements() -> dict[str, str]:
             f"""SELECT Stage, count(*) AS Total_Visits, {_count_where("Action = 'drop-off'")} AS Dropoffs,
             {_pct(_count_where("Action = 'drop-off'"), "count(*)")} AS Dropoff_Rate FROM journey GROUP BY 1"""
         ),
+        "dropoff_rate_ignoring_case": _sql(
+            f"""SELECT lower(Stage) AS Stage, count(*) AS Total_Visits,
+            {_count_where("lower(Action) = 'drop-off'")} AS Dropoffs,
+            {_pct(_count_where("lower(Action) = 'drop-off'"), "count(*)")} AS Dropoff_Rate FROM raw_journey GROUP BY 1"""
+        ),
         "dropoff_counts": _sql(
             "SELECT Stage, count(*) AS DropOffCount FROM journey WHERE Action = 'drop-off' GROUP BY 1"
         ),

@@ -192,6 +192,13 @@ def _checkout(function: Callable[..., DataFrame], param: str) -> Query:
     return lambda spark, sf_dir: comparable(function(binding.star(spark, sf_dir), **{param: is_checkout_purchase()}))
 
 
+def _dropoff_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop-off rates of the raw journeys, Stage and Action in any case."""
+    raw = Star({"customer_journey": binding.raw_tables(spark, sf_dir)["customer_journey"]})
+    rates = product.dropoff_rate(raw.ignoring_case())
+    return rates.withColumn("Stage", F.lower(F.collate("Stage", "UTF8_BINARY")))
+
+
 def _value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_counts(_profiled(spark, sf_dir)["customers"])
 
@@ -293,6 +300,7 @@ def queries() -> dict[str, Query]:
         "channel_roi": _report(marketing.channel_roi),
         # further reports
         "dropoff_rate": _report(product.dropoff_rate),
+        "dropoff_rate_ignoring_case": _dropoff_ignoring_case,
         "dropoff_counts": _report(product.dropoff_counts),
         "avg_stage_duration": _report(lambda star: product.avg_stage_duration(star.journey)),
         "avg_stage_duration_filled": _report(
