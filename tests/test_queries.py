@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from workload import oracle, registry
 from workload.binding import SCHEMAS
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.statements()
 WRITES = {"load_overwrite", "load_report", "reviews_scored_csv", "recs_text", "findings_text", "text_report"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
