@@ -19,6 +19,8 @@ _WORD = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: hashes that are counted at once
 CHUNK = 1 << 16
+#: edges in a file, and so in a task, while components are formed
+EDGES_PER_FILE = 100_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -96,22 +98,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Stars are formed around ever smaller nodes until nothing changes: every node first hands its larger
     neighbours to its smallest one, then its smaller neighbours. Smallest neighbours are written before they
-    are joined, so that the partition of a node with very many neighbours can be split.
+    are joined, so that the partition of a node with very many neighbours can be split. No step makes more
+    edges than there were, so their number tells how many files the steps' tables need.
     """
-    edges = written(edges)
+    edges = settled(edges)
+    files = 1 + edges.count() // EDGES_PER_FILE
+
+    def kept(df: DataFrame) -> DataFrame:
+        return written(df.coalesce(files))
+
     signature = None
     while True:
         for larger in (True, False):
             turned = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
             straight = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
             seen = turned.union(straight) if larger else straight
-            least = written(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+            least = kept(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
             if larger:
                 moved = turned.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
             else:
                 moved = straight.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                 moved = moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-            edges = written(moved.where("a > b").distinct())
+            edges = kept(moved.where("a > b").distinct())
         before, signature = signature, edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if before == signature:
             break
