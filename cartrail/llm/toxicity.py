@@ -25,7 +25,9 @@ TRAIN_ROWS = 6000
 #: terms considered at most, the strongest first
 CANDIDATES = 5000
 #: a term must be in so many toxic documents, in this share of them, and in so few others per toxic one
-LEAST_DOCS, LEAST_SHARE, CLEAN_SHARE, LEAST_G = 4, 0.03, 0.1, 15.0
+LEAST_DOCS, LEAST_SHARE, CLEAN_SHARE, LEAST_G = 4, 0.04, 0.05, 15.0
+#: smallest hashes by which near copies among the training documents are found
+MARKS = ("m1", "m2", "m3", "m4")
 STEMS = range(3, 7)
 LONGEST = 24
 #: characters to either side of a hit that tell quotation from abuse
@@ -38,9 +40,11 @@ REPORTING = frozenset(
     "said says called calls wrote writes quoted quote term word dit appelle mot sagte nannte wort dijo llama palabra".split()
 )
 ADDRESS = frozenset("you your youre u tu vous toi votre du dich dein ihr usted eres vosotros".split())
-FEATURES = ("exact", "fuzzy", "quoted", "directed")
+FEATURES = ("abuse", "fuzzy", "quoted", "directed")
+#: a misspelled term counts for so much of an exact one; the weight of ``fuzzy`` corrects it by what labels say
+MISSPELLED = 0.8
 #: where the weights start from and are drawn to: the bias, then FEATURES
-PRIOR = (-3.0, 3.0, 2.0, 0.5, 0.5)
+PRIOR = (-3.0, 3.0, 0.0, 0.0, 0.5)
 
 
 def edits_allowed(term: str, stem: bool) -> int:
@@ -174,11 +178,11 @@ def quoted(before: str, after: str) -> bool:
     return marks or not REPORTING.isdisjoint(TOKEN.findall(before)[-3:])
 
 
-def features(model: Model, text: str | None) -> tuple[float, ...]:
-    """Logarithms of how many hits are exact, fuzzy, quoted, and near a word of address."""
+def count_hits(model: Model, text: str | None) -> dict[str, int]:
+    """How many hits are exact, fuzzy, quoted, and near a word of address; quoted ones are neither of the others."""
     lowered = (text or "").lower()
     found = hits(model, lowered)
-    counts = dict.fromkeys(FEATURES, 0)
+    counts = dict.fromkeys(("exact", "fuzzy", "quoted", "directed"), 0)
     if found:
         for token in TOKEN.finditer(lowered):
             edits = found.get(token.group())
@@ -192,7 +196,13 @@ def features(model: Model, text: str | None) -> tuple[float, ...]:
                 counts["fuzzy" if edits else "exact"] += 1
                 if not ADDRESS.isdisjoint(TOKEN.findall(before)[-4:] + TOKEN.findall(after)[:2]):
                     counts["directed"] += 1
-    return tuple(math.log1p(n) for n in counts.values())
+    return counts
+
+
+def features(model: Model, text: str | None) -> tuple[float, ...]:
+    """Logarithms of the counts of hits, as the weights take them."""
+    n = count_hits(model, text)
+    return tuple(math.log1p(v) for v in (n["exact"] + MISSPELLED * n["fuzzy"], n["fuzzy"], n["quoted"], n["directed"]))
 
 
 def logistic(weights: Sequence[float], x: np.ndarray) -> np.ndarray:
@@ -218,7 +228,7 @@ def term_keys(text: str | None) -> set[str]:
     tokens = {t for t in TOKEN.findall((text or "").lower()) if 2 < len(t) <= LONGEST}
     keys = {t + "$" for t in tokens}
     for n in STEMS:
-        keys.update([t[:n] for t in tokens if len(t) > n])
+        keys.update([t[:n] for t in tokens if len(t) >= n])
     return keys
 
 
@@ -245,9 +255,8 @@ def choose_terms(counts: dict[str, tuple[int, int]], all_toxic: int, all_clean:
     }
     longer: dict[str, int] = {}
     for key, toxic in good.items():
-        shorter = [key[: min(len(key) - 1, STEMS[-1])]] if key.endswith("$") else [key[:-1]]
-        for stem in shorter:
-            longer[stem] = max(longer.get(stem, 0), toxic)
+        stem = key[: min(len(key) - 1, STEMS[-1])]
+        longer[stem] = max(longer.get(stem, 0), toxic)
     chosen: list[tuple[str, bool]] = []
     stems: list[str] = []
     for key in sorted(good, key=lambda k: (len(k.rstrip("$")), k.endswith("$"), k)):
@@ -262,10 +271,11 @@ def choose_terms(counts: dict[str, tuple[int, int]], all_toxic: int, all_clean:
     return chosen
 
 
-def sketch(text: str | None) -> tuple[int, int]:
-    """Two smallest hashes of a text's tokens; near copies nearly always share one."""
-    tokens = {t.encode() for t in TOKEN.findall((text or "").lower())} or {b""}
-    return min(map(zlib.crc32, tokens)), min(zlib.crc32(t[::-1]) for t in tokens)
+def sketch(text: str | None) -> list[int]:
+    """The smallest hashes of a text's runs of three tokens; near copies nearly always share one."""
+    tokens = TOKEN.findall((text or "").lower())
+    runs = {" ".join(tokens[i : i + 3]).encode() for i in range(max(1, len(tokens) - 2))}
+    return [min(zlib.crc32(run, salt) for run in runs) for salt in range(len(MARKS))]
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str, text: str) -> DataFrame:
@@ -282,11 +292,12 @@ def training_documents(docs: DataFrame, labels: DataFrame, rows: int, doc_id: st
 
     def work(texts: list[str | None]) -> dict[str, list]:
         found = [sketch(t) for t in texts]
-        return {"m1": [a for a, _ in found], "m2": [b for _, b in found]}
+        return {mark: [f[i] for f in found] for i, mark in enumerate(MARKS)}
 
-    marked = map_texts(joined, [F.col("doc_id"), F.col("toxic")], "text", work, "m1 long, m2 long")
-    for mark in ("m1", "m2"):
-        first = F.min(F.struct("doc_id", "m1", "m2")).alias("first")
+    made = ", ".join(f"{mark} long" for mark in MARKS)
+    marked = map_texts(joined, [F.col("doc_id"), F.col("toxic")], "text", work, made)
+    for mark in MARKS:
+        first = F.min(F.struct("doc_id", *MARKS)).alias("first")
         marked = marked.groupBy("toxic", mark).agg(first).select("toxic", "first.*")
     return joined.join(F.broadcast(settled(marked.select("doc_id"))), "doc_id", "left_semi")
 
