@@ -17,8 +17,10 @@ K = 20
 SHARD_ROWS = 4096
 BLOCK_ROWS = 4096
 LEAF_ROWS = 128
-#: sums of products below this are exact in a double
-EXACT = float(2**53)
+#: sums of products below the first are exact in a double, and below the second in 64 bits
+EXACT, LARGEST = float(2**53), float(2**63)
+#: stands for no k-th score yet
+NO_FLOOR = -(2**63)
 
 
 class KDTree:
@@ -59,14 +61,14 @@ class KDTree:
         return np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
 
 
-def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor: float):
+def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor: float | int):
     """Scores and ids of the up to ``k`` best rows for one query, without the id ``own``; ties to smaller ids.
 
     Nodes are opened in the order of their bounds. ``floor`` is a k-th score known from other shards: a node
     whose bound is below it, or below the k-th score found here, has nothing to add, nor have later ones. A
     bound equal to it may still hide a tie.
     """
-    scores, found = np.empty(0), np.empty(0, np.int64)
+    scores, found = np.empty(0, query.dtype), np.empty(0, np.int64)
     waiting = [(-bounds[0], 0)]
     while waiting:
         bound, node = heapq.heappop(waiting)
@@ -113,11 +115,14 @@ def _searched(k: int):
         out = []
         if len(queries) and len(held):
             held = held.sort_values("held_vec_id", kind="stable")
-            tree, ids, asked = KDTree(_matrix(held["held_v"])), held["held_vec_id"].to_numpy(), _matrix(queries["v"])
-            reach = np.abs(asked).sum(axis=1).max(initial=0) * np.abs(tree.vectors).max(initial=0)
+            ids, vectors, asked = held["held_vec_id"].to_numpy(), _matrix(held["held_v"]), _matrix(queries["v"])
+            reach = np.abs(asked).sum(axis=1).max(initial=0) * np.abs(vectors).max(initial=0)
+            if reach >= LARGEST:
+                raise ValueError("the scores of these vectors do not fit 64 bits")
             if reach >= EXACT:
-                raise ValueError("these components are too large for exact scores")
-            floors = queries["floor"].fillna(-np.inf).to_numpy()
+                vectors, asked = vectors.astype(np.int64), asked.astype(np.int64)
+            tree = KDTree(vectors)
+            floors = queries["floor"].to_numpy()
             every = tree.bounds(asked)
             owns, asks = queries["query_id"].to_numpy(), queries["ask"].to_numpy()
             for i, own in enumerate(owns):
@@ -171,12 +176,13 @@ def top_k(
     home = F.pmod(F.xxhash64("query_id"), F.lit(shards)).cast("int")
     at = ["length", "shard", "block"]
     work, schema = _searched(k)
-    first = asked.withColumn("shard", home).withColumn("floor", F.lit(None).cast("double"))
+    first = asked.withColumn("shard", home).withColumn("floor", F.lit(NO_FLOOR))
     near = settled(first.groupBy(*at).cogroup(copies.groupBy(*[f"held_{c}" for c in at])).applyInPandas(work, schema))
     # the k-th best of the first shard; a query that found fewer there has no bound yet
-    floors = _best(near, k).where(F.col("rank") == k).select(F.col("ask").alias("__ask"), F.col("score").cast("double").alias("floor"))
+    floors = _best(near, k).where(F.col("rank") == k).select(F.col("ask").alias("__ask"), F.col("score").alias("floor"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
     later = asked.join(floors, F.col("ask") == F.col("__ask"), "left").withColumn("shard", F.explode(others))
-    far = later.select("query_id", "v", "length", "ask", "block", "shard", "floor")
+    floor = F.coalesce("floor", F.lit(NO_FLOOR)).alias("floor")
+    far = later.select("query_id", "v", "length", "ask", "block", "shard", floor)
     rest = far.groupBy(*at).cogroup(copies.groupBy(*[f"held_{c}" for c in at])).applyInPandas(work, schema)
     return _best(near.union(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
