@@ -16,15 +16,6 @@ AGE_GROUPS = ("18-29", "30-45", "46+")
 POSITIVE, NEUTRAL, NEGATIVE = "Positive", "Neutral", "Negative"
 
 
-
-def equals_ignoring_case(column: Column, value: str) -> Column:
-    """Case-insensitive equality, for tables that have not been through the cleaning step.
-
-    Cleaned tables are compared with plain ``=`` instead, which Parquet can evaluate in the scan.
-    """
-    return F.lower(column) == F.lit(value.lower())
-
-
 def is_purchase() -> Column:
     return F.expr(f"Action = '{PURCHASE}'")
 

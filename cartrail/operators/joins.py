@@ -24,9 +24,10 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, key: str, spread_by: list[st
 
     Spark broadcasts the lookup when its size is within ``spark.sql.autoBroadcastJoinThreshold``, as estimated
     before and measured during the run; then no fact row moves. A larger one is shuffled, and adaptive
-    execution splits the partition of a hot key over many tasks. That needs no pass over the data beforehand,
-    and is possible for every caller because none groups by ``key`` right after the join. In a session that
-    has it switched off, the hot keys are salted instead.
+    execution splits the partition of a hot key over many tasks, without a pass over the data beforehand. It
+    can do so only where both sides come straight from a shuffle and nothing groups by ``key`` right after the
+    join; a ``lookup`` that is itself an aggregate by ``key`` needs ``salted_join``. In a session that has
+    splitting switched off, the hot keys are salted instead.
     """
     if _splits_skew(fact.sparkSession):
         return fact.join(lookup, key, how)

@@ -20,9 +20,14 @@ def integrated_journeys(star: Star) -> DataFrame:
 
 def journey_geography(star: Star, k: int = 10) -> DataFrame:
     """Where the first ``k`` journeys (by id) came from."""
+    placed = star.customers.join(star.geography.select("GeographyID"), "GeographyID", "left_semi").select("CustomerID")
+    known = star.journey.join(placed, "CustomerID", "left_semi")
+    # customers and places are met again for these rows only
+    first = known.orderBy("JourneyID", "CustomerID", "Stage", "Action", "VisitDate").limit(k)
+    homes = star.customers.select("CustomerID", "GeographyID")
     columns = ["JourneyID", "CustomerID", "Country", "City", "Stage", "Action", "VisitDate"]
-    placed = integrated_journeys(star).select(*columns)
-    return placed.orderBy(*columns).limit(k).drop("JourneyID")
+    found = homes.join(F.broadcast(first), "CustomerID").join(star.geography, "GeographyID").select(*columns)
+    return found.orderBy(*columns).limit(k).drop("JourneyID")
 
 
 def top_regions(star: Star, k: int = 5) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartrail.functions.metrics import at_least_one, pct, rounded_ratio, wide, wide_sum
-from cartrail.operators.joins import lookup_join
+from cartrail.operators.joins import salted_join
 from cartrail.operators.summaries import engagement_per, journeys_per, purchases_per, ratings_per
 from cartrail.star import Star
 
@@ -36,7 +36,8 @@ def engagement_conversion(star: Star) -> DataFrame:
         .groupBy("ContentType")
         .agg(wide_sum(f"{wide('engagements')} * {wide('checkout_purchases')}").alias("Total_Purchases"))
     )
-    seen = lookup_join(
+    # an aggregate between its shuffle and the join keeps adaptive execution from splitting a hot product
+    seen = salted_join(
         star.engagement.select("ProductID", "ContentType", "EngagementID"),
         star.journey.select("ProductID").distinct(),
         "ProductID",
@@ -95,16 +96,21 @@ def underperforming_products(star: Star, k: int = 5) -> DataFrame:
 
 def geo_performance(star: Star) -> DataFrame:
     """Purchases by place, multiplied by the reviews of the bought product, and the average of those reviews."""
-    bought = purchases_per(star.journey, "CustomerID", "ProductID")
-    rated = lookup_join(bought, ratings_per(star.reviews, "ProductID"), "ProductID", ["CustomerID"], "left")
-    per_customer = rated.groupBy("CustomerID").agg(
+    sums = [wide_sum(name).alias(name) for name in ("bought", "stars", "rated")]
+    homes = star.customers.select("CustomerID", "GeographyID")
+    # a product has a row per place at most when it meets its ratings, however often it is bought
+    sold = (
+        purchases_per(star.journey, "CustomerID", "ProductID")
+        .join(homes, "CustomerID")
+        .groupBy("GeographyID", "ProductID")
+        .agg(F.sum("purchases").alias("purchases"))
+    )
+    rated = sold.join(ratings_per(star.reviews, "ProductID"), "ProductID", "left")
+    per_place = rated.groupBy("GeographyID").agg(
         wide_sum(f"{wide('purchases')} * {at_least_one('reviews')}").alias("bought"),
         wide_sum(f"{wide('purchases')} * {wide('stars')}").alias("stars"),
         wide_sum(f"{wide('purchases')} * {wide('rated')}").alias("rated"),
     )
-    sums = [wide_sum(name).alias(name) for name in ("bought", "stars", "rated")]
-    homes = star.customers.select("CustomerID", "GeographyID")
-    per_place = homes.join(per_customer, "CustomerID").groupBy("GeographyID").agg(*sums)
     per_city = star.geography.join(per_place, "GeographyID", "left").groupBy("Country", "City").agg(*sums)
     scored = per_city.select(
         "Country",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,16 @@ def top_products(star: Star, k: int = 5) -> DataFrame:
 
 def product_conversion(star: Star) -> DataFrame:
     """Checkout purchases per distinct customer, by product name; the price is averaged over journeys."""
-    visits = star.journey.select("ProductID", "CustomerID", is_checkout_purchase().alias("bought"))
+    visits = star.journey.groupBy("ProductID", "CustomerID").agg(
+        F.expr("count(*) AS visits"), F.count_if(is_checkout_purchase()).alias("bought")
+    )
     catalogue = star.products.selectExpr("ProductID", "ProductName", "CAST(Price * 100 AS BIGINT) AS cents")
     named = lookup_join(visits, catalogue, "ProductID", spread_by=["CustomerID"])
     totals = named.groupBy("ProductName").agg(
-        F.sum("cents").alias("cents"),
-        F.count("cents").alias("priced"),
+        F.expr("sum(cents * visits) AS cents"),
+        F.expr("sum(if(cents IS NULL, 0, visits)) AS priced"),
         F.count_distinct("CustomerID").alias("Unique_Customers"),
-        F.count_if("bought").alias("Total_Purchases"),
+        F.sum("bought").alias("Total_Purchases"),
     )
     rated = totals.select(
         "ProductName",
@@ -180,6 +184,7 @@ def discount_candidates(
         F.sum("rated").alias("rated"),
         F.expr("coalesce(sum(reviews), 0) AS review_count"),
     )
-    scored = per_name.select("ProductName", _average().alias("avg_rating"), "review_count")
-    kept = scored.where(f"avg_rating < {max_rating}D AND review_count > {min_reviews}")
+    # the exact average decides, in whole numbers; it is rounded for output only
+    low = per_name.where(f"stars < {Decimal(str(max_rating))}BD * rated AND review_count > {min_reviews}")
+    kept = low.select("ProductName", _average().alias("avg_rating"), "review_count")
     return kept.orderBy(F.asc_nulls_first("avg_rating"), "ProductName").limit(k)

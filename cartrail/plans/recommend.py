@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartrail.plans import customer, experience, marketing, product, wording
@@ -17,9 +17,6 @@ from cartrail.star import Star
 
 READING_ORDER = ("section", "sort_key", "sort_name")
 
-#: names on one line before a list continues on another
-NAMES_PER_LINE = 1000
-
 
 def _text(value: str) -> str:
     """SQL text: a string literal."""
@@ -37,7 +34,7 @@ def _four_digits(name: str) -> str:
     return f"CAST({name} AS DECIMAL(38,4))"
 
 
-def _say(df: DataFrame, rule: str, section: int, line: str, sort_key: str = "0", sort_name: str = "''") -> DataFrame:
+def _say(df: DataFrame, rule: str, section: int | str, line: str, sort_key: str = "0", sort_name: str = "''") -> DataFrame:
     return df.selectExpr(
         f"'{rule}' AS rule",
         f"{section} AS section",
@@ -65,12 +62,15 @@ def _best(df: DataFrame, rate: str, name: str) -> DataFrame:
     return df.orderBy(F.desc(rate), name).limit(1)
 
 
-def _name_lines(names: DataFrame, rule: str, section: int, template: str) -> DataFrame:
-    """All names on one line, or hashed evenly onto several once they exceed ``NAMES_PER_LINE``."""
-    lines = F.ceil(names.agg(F.count(F.lit(1))).scalar() / F.lit(NAMES_PER_LINE))
-    part = F.pmod(F.xxhash64("ProductName"), F.greatest(lines, F.lit(1)))
-    joined = F.expr("array_join(array_sort(collect_list(ProductName)), ', ') AS names")
-    return _say(names.groupBy(part.alias("part")).agg(joined), rule, section, _fill(template, "names"), "part")
+def _with_header(
+    rows: DataFrame, order: list[Column], rule: str, section: int, header: str, line: str, sort_key: str, sort_name: str
+) -> DataFrame:
+    """A line per row, and a header in the section before where there is a row; ``rows`` are a few, limited ones."""
+    numbered = rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    item = f"struct({section + 1} AS at, {line} AS said, CAST({sort_key} AS DOUBLE) AS sort_key, {sort_name} AS sort_name)"
+    first = f"struct({section} AS at, {_text(header)} AS said, 0D AS sort_key, '' AS sort_name)"
+    both = numbered.selectExpr(f"inline(if(place = 1, array({first}, {item}), array({item})))")
+    return _say(both, rule, "at", "said", "sort_key", "sort_name")
 
 
 def strategic(star: Star) -> DataFrame:
@@ -81,13 +81,13 @@ def strategic(star: Star) -> DataFrame:
     content = _best(marketing.engagement_conversion(star), "Conversion_Rate", "ContentType")
     ages = _best(customer.age_conversion(star), "Conversion_Rate", "Group_Value")
     listed = _listed(products, "-Conversion_Rate", "ProductName")
-    negative = experience.negatively_reviewed_products(star)
+    negative = experience.negatively_reviewed_products(star).where("ProductName IS NOT NULL")
     return _all(
         [
             _say(listed, rule, 1, _fill(wording.TOP_CONVERTING, "names")),
             _say(content, rule, 2, _fill(wording.BEST_CONTENT, "ContentType")),
             _say(ages, rule, 3, _fill(wording.BEST_AGE, "Group_Value")),
-            _name_lines(negative, rule, 4, wording.NEGATIVE_PRODUCTS),
+            _say(negative, rule, 4, _fill(wording.NEGATIVE_PRODUCTS, "ProductName"), "0", "ProductName"),
             _fixed(spark, rule, 5, wording.CHECKOUT),
         ]
     )
@@ -121,15 +121,17 @@ def experience_lines(
     rated = _fill(wording.LOWEST_ITEM, "ProductName", "ProductID", two_digits, "ReviewCount")
     once = customer.one_time_purchasers(star, purchase).selectExpr("count(*) AS n").where("n > 0")
     repeated = experience.common_complaints(star, complaints)
+    by_rating, padded_id = [F.asc_nulls_first("AvgRating"), F.col("ProductID")], "lpad(CAST(ProductID AS STRING), 20, '0')"
     heard = _fill(wording.COMPLAINT_ITEM, "ReviewText", "ProductName", "Frequency")
     return _all(
         [
             _say(alert, rule, 1, _text(wording.DISSATISFIED)),
-            _say(lowest.limit(1), rule, 2, _text(wording.LOWEST_HEADER)),
-            _say(lowest, rule, 3, rated, "AvgRating", "lpad(CAST(ProductID AS STRING), 20, '0')"),
+            _with_header(lowest, by_rating, rule, 2, wording.LOWEST_HEADER, rated, "AvgRating", padded_id),
             _say(once, rule, 4, _fill(wording.ONE_TIME, "n")),
-            _say(repeated.limit(1), rule, 5, _text(wording.COMPLAINT_HEADER)),
-            _say(repeated, rule, 6, heard, "-Frequency", "concat_ws('|', ReviewText, ProductName)"),
+            _with_header(
+                repeated, [F.desc("Frequency"), F.col("ReviewText"), F.col("ProductName")], rule, 5,
+                wording.COMPLAINT_HEADER, heard, "-Frequency", "concat_ws('|', ReviewText, ProductName)",
+            ),
         ]
     )
 
@@ -155,7 +157,7 @@ def business(star: Star) -> DataFrame:
 
 
 def text_report_lines(star: Star) -> DataFrame:
-    """The closing lines of the text report: two fixed ones, best products and content, three products to look at."""
+    """The closing lines of the text report: best customers, products and content, and three products to look at."""
     spark = star.journey.sparkSession
     rule = "text_report"
     products = product.product_conversion(star).orderBy(F.desc("Conversion_Rate"), "ProductName").limit(3)
@@ -165,7 +167,7 @@ def text_report_lines(star: Star) -> DataFrame:
     disliked = _listed(negative, "ProductName", "ProductName")
     return _all(
         [
-            _fixed(spark, rule, 1, wording.REPORT_AGE),
+            _say(customer.top_demographic(star), rule, 1, _fill(wording.REPORT_AGE, "age_group", "Country")),
             _say(top, rule, 2, _fill(wording.REPORT_TOP, "names")),
             _say(content, rule, 3, _fill(wording.REPORT_CONTENT, "ContentType")),
             _fixed(spark, rule, 4, wording.REPORT_CHECKOUT),

@@ -2,53 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartrail.functions.metrics import score_label
 from cartrail.operators.joins import lookup_join
 
-_WORD = "[A-Za-z]+"
+#: letters of any script, with apostrophes between them
+WORD = r"\p{L}+(?:['’]\p{L}+)*"
 _PARTS = 10_000  # polarities are summed in whole ten-thousandths, which makes the sum independent of order
+_DIGITS = 9  # decimal places of a score where scores are summed, for the same reason
 
 
-def _text_key() -> Column:
-    return F.xxhash64("ReviewText").alias("_text")
-
-
-def _scores(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
-    """Score and number of rows per review id and text.
+def _scores(reviews: DataFrame, lexicon: DataFrame, *keep: str, whole_text: bool = False) -> DataFrame:
+    """Score and number of rows per review id, text and ``keep``; with ``whole_text`` the text as well.
 
     The whole text is split and its words are looked up by an inner join, so all other words are gone before
     anything is grouped. An empty word is put behind every text and into the lexicon: it keeps texts without
-    any match, and counts the rows that share an id and a text. The text itself is never shuffled, and each
-    task has reduced a review to one row before the shuffle.
+    any match, counts the rows that are equal in all that is kept, and is the one that carries the text where
+    it is wanted. The reviews are read once, a text moves at most once, and each task has reduced a review to
+    one row before that. A missing id is kept like any other.
     """
     plain = F.collate("ReviewText", "UTF8_BINARY")
-    words = F.array_append(F.coalesce(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), F.array()), F.lit(""))
-    split = reviews.select("ReviewID", *keep, _text_key(), words.alias("words"))
+    words = F.array_append(F.coalesce(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)), F.array()), F.lit(""))
+    text_key = F.xxhash64("ReviewText").alias("_text")
+    carried = ["ReviewText"] if whole_text else []
+    split = reviews.select("ReviewID", *keep, *carried, text_key, words.alias("words"))
     # the outer form, as the plain one would split every text a second time to filter out empty arrays
-    spelled = split.select("ReviewID", *keep, "_text", F.explode_outer("words").alias("word"))
+    spelled = split.select("ReviewID", *keep, *carried, "_text", F.explode_outer("words").alias("word"))
+    if whole_text:
+        spelled = spelled.withColumn("ReviewText", F.when(F.col("word") == "", F.col("ReviewText")))
     weight = F.round(F.col("polarity") * _PARTS).cast("bigint").alias("weight")
     weights = lexicon.select(F.lower(F.collate("word", "UTF8_BINARY")).alias("word"), weight)
     marker = lexicon.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(None).cast("bigint").alias("weight"))
     known = weights.where(F.col("word") != "").unionByName(marker)
-    found = lookup_join(spelled.withColumn("word", F.lower("word")), known, "word", spread_by=["ReviewID"])
+    found = lookup_join(spelled.withColumn("word", F.lower("word")), known, "word", spread_by=["ReviewID", "_text"])
     totals = found.groupBy("ReviewID", "_text", *keep).agg(
         F.sum("weight").alias("weight"),
         F.count("weight").alias("hits"),
         F.count_if(F.col("word") == "").alias("rows"),
+        *[F.max(name).alias(name) for name in carried],
     )
     mean = F.col("weight").cast("double") / (F.col("hits") * _PARTS).cast("double")
     score = F.when(F.col("hits") > 0, mean).otherwise(F.lit(0.0))
-    return totals.select("ReviewID", "_text", *keep, "rows", score.alias("SentimentScore"))
+    return totals.select("ReviewID", *keep, *carried, "rows", score.alias("SentimentScore"))
+
+
+def _each_row(scores: DataFrame, score: str) -> DataFrame:
+    """A row for each of the equal rows that were scored together."""
+    columns = [c for c in scores.columns if c not in ("rows", "SentimentScore")]
+    rows = F.explode(F.array_repeat("SentimentScore", F.col("rows").cast("int"))).alias(score)
+    return scores.select(*columns, rows)
 
 
 def text_polarity(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
     """``(ReviewID, *keep, SentimentScore)``, a row per review: mean polarity of its lexicon words, 0 without any."""
-    scores = _scores(reviews, lexicon, *keep)
-    rows = F.explode(F.array_repeat("SentimentScore", F.col("rows").cast("int"))).alias("SentimentScore")
-    return scores.select("ReviewID", *keep, rows)
+    return _each_row(_scores(reviews, lexicon, *keep), "SentimentScore")
 
 
 def text_sentiment(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
@@ -58,23 +69,29 @@ def text_sentiment(reviews: DataFrame, lexicon: DataFrame, *keep: str) -> DataFr
 
 
 def scored_reviews(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Every review row with its score, text included."""
-    scores = _scores(reviews, lexicon).select("ReviewID", "_text", F.col("SentimentScore").alias("Sentiment"))
-    return reviews.withColumn("_text", _text_key()).join(scores, ["ReviewID", "_text"]).drop("_text")
+    """Every review row with its score, text included, whatever its id."""
+    keep = [c for c in reviews.columns if c not in ("ReviewID", "ReviewText")]
+    scored = _each_row(_scores(reviews, lexicon, *keep, whole_text=True), "Sentiment")
+    return scored.select(*reviews.columns, "Sentiment")
 
 
 def negative_polarity_gate(
     reviews: DataFrame, lexicon: DataFrame, max_rating: int = 2, threshold: float = -0.2
 ) -> DataFrame:
-    """One row: low-rated reviews, their mean polarity, and whether it is below ``threshold``."""
+    """One row: low-rated reviews, their mean polarity, and whether it is below ``threshold``.
+
+    Scores are rounded to nine places and added up as whole numbers, so the sum doesn't depend on the order.
+    """
     low = reviews.where(F.col("Rating") <= max_rating)
+    billionths = F.round(F.col("SentimentScore") * 10**_DIGITS).cast("decimal(20,0)")
     total = _scores(low, lexicon).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("negative_reviews"),
-        F.sum(F.col("SentimentScore") * F.col("rows")).alias("score"),
+        F.sum((billionths * F.col("rows")).cast("decimal(38,0)")).cast("decimal(38,0)").alias("score"),
     )
-    mean = F.try_divide(F.col("score"), F.col("negative_reviews"))
+    mean = F.try_divide(F.col("score").cast("double"), F.col("negative_reviews") * float(10**_DIGITS))
+    below = F.expr(f"score < {Decimal(str(threshold))}BD * {10**_DIGITS}BD * negative_reviews")
     return total.select(
         "negative_reviews",
         F.round(mean, 4).alias("avg_polarity"),
-        F.coalesce(mean < threshold, F.lit(False)).alias("dissatisfied"),
+        F.coalesce(below, F.lit(False)).alias("dissatisfied"),
     )

@@ -49,7 +49,7 @@ TABLE_DEMOGRAPHICS = "Conversion Rates by Demographic:"
 TABLE_CONVERSION = "Top Performing Products:"
 TABLE_ENGAGEMENT = "Engagement Effectiveness:"
 TABLE_SENTIMENT = "Sentiment Distribution (%):"
-REPORT_AGE = "- Target customers aged 30-45 in Germany (highest conversion rates)"
+REPORT_AGE = "- Target customers aged %s in %s (highest conversion rates)"
 REPORT_TOP = "- Focus marketing on top converting products: %s"
 REPORT_CONTENT = "- Prioritize %s content (highest engagement conversion)"
 REPORT_CHECKOUT = "- Improve checkout process for products with high drop-off rates"

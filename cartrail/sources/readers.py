@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartrail import schemas
 
@@ -13,17 +14,42 @@ from cartrail import schemas
 INGEST_ORDER = "ingest_order"
 
 
-def read_csv_tables(spark: SparkSession, paths: Mapping[str, str], multi_line: bool = False) -> dict[str, DataFrame]:
-    """One CSV with header per table name, read with the declared raw schema (no inference pass).
+#: the line of a row that doesn't fit its schema
+BAD_LINE = "bad_line"
 
-    ``multi_line`` is for quoted values with line breaks; such files are read by one task each.
+
+def _read_csv(spark: SparkSession, schema: StructType, path: str, multi_line: bool, mode: str) -> DataFrame:
+    reader = spark.read.schema(schema).option("header", True).option("mode", mode).option("escape", '"')
+    reader = reader.option("enforceSchema", False)
+    return reader.option("columnNameOfCorruptRecord", BAD_LINE).option("multiLine", multi_line).csv(path)
+
+
+def read_csv_checked(
+    spark: SparkSession, table: str, path: str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV with header as its good rows, in the declared raw schema, and its bad ones, as ``(bad_line)``.
+
+    A line is bad when a value doesn't read as its column's type, or when it has more or fewer values than the
+    schema has columns. No line is lost: each is in one of the two.
     """
+    wide = StructType([*schemas.RAW[table], StructField(BAD_LINE, StringType())])
+    # a line is known to be bad only where all of it is parsed, so every query on it has to name every column
+    named = F.pmod(F.xxhash64(*schemas.RAW[table].names), F.lit(1)) == 0
+    rows = _read_csv(spark, wide, path, multi_line, "PERMISSIVE").where(named)
+    return rows.where(f"{BAD_LINE} IS NULL").drop(BAD_LINE), rows.where(f"{BAD_LINE} IS NOT NULL").select(BAD_LINE)
+
 
-    def read(table: str, path: str) -> DataFrame:
-        reader = spark.read.schema(schemas.RAW[table]).option("header", True).option("enforceSchema", False)
-        return reader.option("escape", '"').option("multiLine", multi_line).csv(path)
+def read_csv_tables(
+    spark: SparkSession, paths: Mapping[str, str], multi_line: bool = False, strict: bool = True
+) -> dict[str, DataFrame]:
+    """One CSV with header per table name, read with the declared raw schema (no inference pass).
 
-    return {name: read(name, path) for name, path in paths.items()}
+    A bad line fails the read; ``strict=False`` leaves bad lines out, which ``read_csv_checked`` returns.
+    ``multi_line`` is for quoted values with line breaks; such files are read by one task each.
+    """
+    if strict:
+        return {name: _read_csv(spark, schemas.RAW[name], path, multi_line, "FAILFAST") for name, path in paths.items()}
+    return {name: read_csv_checked(spark, name, path, multi_line)[0] for name, path in paths.items()}
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:

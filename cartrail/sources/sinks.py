@@ -21,16 +21,57 @@ def work_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cartrail-")
     return f"{base.rstrip('/')}/cartrail-{uuid.uuid4().hex}"
 
 
+class _Files:
+    """The file system of a path, as Spark's own writers reach it."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def exists(self, path: str) -> bool:
+        return self._files.exists(self._path(path))
+
+    def rename(self, source: str, target: str) -> None:
+        if not self._files.rename(self._path(source), self._path(target)):
+            raise OSError(f"{source} can't be renamed to {target}")
+
+    def delete(self, path: str) -> None:
+        self._files.delete(self._path(path), True)
+
+
 def write_table(df: DataFrame, path: str) -> int:
-    """Write ``df`` as Parquet, replacing what was there; the number of rows written, counted by the write."""
+    """Write ``df`` as Parquet, replacing what was there; the number of rows written, counted by the write.
+
+    The rows go to a new folder beside ``path`` first and take its place when they are complete. A write that
+    fails leaves the old table as it was, and ``df`` may read that table.
+    """
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}-new-{mark}", f"{path.rstrip('/')}-old-{mark}"
+    files = _Files(df.sparkSession, path)
+    try:
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
+    except Exception:
+        files.delete(fresh)
+        raise
+    replaced = files.exists(path)
+    if replaced:
+        files.rename(path, old)
+    try:
+        files.rename(fresh, path)
+    except Exception:
+        if replaced:
+            files.rename(old, path)
+        raise
+    if replaced:
+        files.delete(old)
     return int(written.get["rows"])
 
 
@@ -51,8 +92,9 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header and without an index, one file per task."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with header and without an index, one file per task; blanks around values are kept."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_lines(lines: DataFrame, path: str, *order: str) -> None:

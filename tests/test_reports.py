@@ -5,9 +5,9 @@ from decimal import Decimal
 import pytest
 
 from cartrail.functions.metrics import is_checkout_purchase
-from cartrail.operators import clean
+from cartrail.operators import clean, summaries
 from cartrail.plans import customer, experience, marketing, product
-from tests.shop import JOURNEYS, PRODUCTS, build, ordered, rows, skewed
+from tests.shop import DAY1, JOURNEYS, PRODUCTS, build, ordered, rows, skewed
 
 BUY = "Action = 'purchase'"
 CHECKOUT_BUY = "Stage = 'checkout' AND Action = 'purchase'"
@@ -295,3 +295,42 @@ def test_no_facts_at_all(spark):
     assert ordered(marketing.engagement_conversion(star)) == []
     assert ordered(customer.retention_rate(star)) == [(0, 0, None)]
     assert {int(r.PurchaseCount) for r in marketing.underperforming_products(star).collect()} == {0}
+
+
+def test_an_average_just_below_the_border_is_a_discount_candidate(spark):
+    # 60,000 reviews with the average 3.49998, which reads 3.5000 when rounded
+    stars = [3] * 30_001 + [4] * 29_999
+    reviews = [(i, 1, 10, DAY1, s, "t") for i, s in enumerate(stars)]
+    star = build(spark, journeys=[], reviews=reviews, products=[(10, "Kayak", "Sport", Decimal("1.00"))])
+    assert [tuple(r) for r in product.discount_candidates(star).collect()] == [("Kayak", 3.5, 60_000)]
+    exactly = build(spark, journeys=[], reviews=[(i, 1, 10, DAY1, 3 + i % 2, "t") for i in range(10)], products=[(10, "Kayak", "Sport", Decimal("1.00"))])
+    assert product.discount_candidates(exactly).count() == 0
+
+
+@pytest.mark.parametrize("report", [marketing.engagement_conversion, marketing.geo_performance])
+def test_no_task_gets_a_hot_product(spark, conf, report):
+    """A third of all rows on one product, no broadcasts, splitting of skewed joins off: no task reads that third."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    size = 6000
+    journeys = [(i, i, 7 if i % 3 == 0 else 100 + i, DAY1, "checkout", "purchase", 1.0) for i in range(size)]
+    engagement = [(i, 1, "BLOG", 1, DAY1, 1, 7 if i % 3 == 0 else 100 + i, 1, 1) for i in range(size)]
+    customers = [(i, "n", "e", "Male", 30, i % 40) for i in range(size)]
+    geography = [(i, f"c{i}", f"t{i}") for i in range(40)]
+    products = [(i, f"p{i}", "c", Decimal("1.00")) for i in [7, *range(100, 100 + size)]]
+    reviews = [(i, i, 7 if i % 3 == 0 else 100 + i, DAY1, 5, "t") for i in range(size)]
+    star = build(spark, journeys, reviews, customers, engagement, geography, products)
+    joined = report(star)
+    assert joined.count() in (1, 40)
+    # rows that meet on the product: engagements are salted, sales are one row per place
+    if report is marketing.geo_performance:
+        sold = summaries.purchases_per(star.journey, "CustomerID", "ProductID").join(star.customers, "CustomerID")
+        per_product = sold.groupBy("GeographyID", "ProductID").count().groupBy("ProductID").count()
+        assert per_product.agg({"count": "max"}).first()[0] <= 40
+    else:
+        assert "_salt" in joined._jdf.queryExecution().toString()

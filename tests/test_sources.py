@@ -144,3 +144,31 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     plan = customer.one_time_purchasers(star)._jdf.queryExecution().toString()
     assert "EqualTo(Action,purchase)" in plan
     assert "ReadSchema: struct<JourneyID:bigint,CustomerID:bigint,Action:string>" in plan
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.write_table(spark.range(10).toDF("id"), path) == 10
+    broken = spark.range(5).selectExpr("if(id = 3, raise_error('no'), id) AS id")
+    report = sinks.load_tables(spark, {"t": broken}, str(tmp_path)).first()
+    assert report.status.startswith("failed") and report.rows is None
+    assert spark.read.parquet(path).count() == 10
+    assert sinks.write_table(spark.read.parquet(path).where("id < 4"), path) == 4
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_bad_csv_lines_are_returned_and_no_good_one_is_lost(spark, tmp_path):
+    names = ",".join(schemas.RAW["customers"].names)
+    good = ["1,Ann,a@x,Female,29,1", '2,"Bob, Jr",b@x,Male,30,', "3,,,,,"]
+    bad = ["A1,Cid,c@x,Male,46,2", "4,Dee,d@x,Female,abc,1", "5,Eve,e@x,Female,20,1,extra", "6,Fay"]
+    file = tmp_path / "customers.csv"
+    file.write_text("\n".join([names, *good, *bad]) + "\n")
+    rows, rejects = readers.read_csv_checked(spark, "customers", str(file))
+    assert sorted(r.CustomerID for r in rows.collect()) == [1, 2, 3] and rows.columns == schemas.RAW["customers"].names
+    assert rows.select("CustomerName").count() == 3
+    assert sorted(r[0] for r in rejects.collect()) == sorted(bad)
+    loose = readers.read_csv_tables(spark, {"customers": str(file)}, strict=False)["customers"]
+    assert loose.count() == 3
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        readers.read_csv_tables(spark, {"customers": str(file)})["customers"].collect()

@@ -59,3 +59,22 @@ def test_large_lexicon_is_joined_by_shuffle(spark, lexicon, conf):
     expected = rows(text.text_polarity(reviews, lexicon))
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__skewJoin__enabled="false")
     assert rows(text.text_polarity(reviews, lexicon)) == expected
+
+
+def test_rows_without_an_id_and_repeated_rows_are_kept(spark, lexicon):
+    reviews = spark.createDataFrame([(None, "good"), (None, "bad"), (1, "good"), (1, "good"), (None, None)], "ReviewID bigint, ReviewText string")
+    found = sorted(((r.ReviewID, r.ReviewText, r.Sentiment) for r in text.scored_reviews(reviews, lexicon).collect()), key=str)
+    expected = [(1, "good", 0.5), (1, "good", 0.5), (None, None, 0.0), (None, "bad", -0.7), (None, "good", 0.5)]
+    assert found == sorted(expected, key=str)
+
+
+def test_words_of_any_script_and_with_apostrophes(spark):
+    known = spark.createDataFrame([("café", 0.5), ("don't", -0.5), ("l’été", 0.25)], "word string, polarity double")
+    reviews = spark.createDataFrame([(1, "CAFÉ!"), (2, "I don't"), (3, "l’été,"), (4, "caf don t")], "ReviewID bigint, ReviewText string")
+    assert {r.ReviewID: r.SentimentScore for r in text.text_polarity(reviews, known).collect()} == {1: 0.5, 2: -0.5, 3: 0.25, 4: 0.0}
+
+
+def test_scored_reviews_read_and_move_a_text_once(spark, lexicon, tmp_path):
+    build(spark).reviews.write.parquet(str(tmp_path / "r"))
+    plan = text.scored_reviews(spark.read.parquet(str(tmp_path / "r")), lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

@@ -16,9 +16,15 @@ STAGES = ("homepage", "productpage", "checkout")
 LEXICON = {
     "the": 0.1, "of": -0.1, "and": 0.2, "to": 0.05, "in": -0.05, "de": -0.3, "en": 0.25, "la": 0.4,
     "is": 0.15, "for": 0.3, "on": -0.2, "with": 0.35, "as": -0.15, "by": -0.25, "at": 0.45, "from": -0.35,
-    "not": -0.6, "all": 0.5, "no": -0.7, "best": 0.9, "complaint": -0.5, "type": -0.1,
+    "not": -0.6, "all": 0.5, "no": -0.7, "best": 0.9, "complaint": -0.5, "type": -0.1, "café": 0.8, "it's": -0.8,
 }
 
+#: review texts, one for each last digit of a supplier; words of the lexicon and runs of blanks occur
+PHRASES = (
+    "no  reply at all", "complaint  type of the", "not  as shown", "best of  all", "the usual",
+    "from the  box, not good", "all good", "is not  for me", "it's  the best", "café  on la plage",
+)
+
 
 #: declared, so that building a plan starts no job to read file footers
 SCHEMAS = {
@@ -46,7 +52,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{word}', {polarity}D)" for word, polarity in LEXICON.items())
+    rows = ", ".join(f"""("{word}", {polarity}D)""" for word, polarity in LEXICON.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
 
 
@@ -103,7 +109,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey AS ProductID",
         "to_date(l_shipdate) AS ReviewDate",
         "CAST(floor((l_quantity - 1) / 10) + 1 AS INT) AS Rating",
-        "concat('complaint  type ', l_suppkey % 10) AS ReviewText",
+        f"""element_at(array({', '.join(f'"{phrase}"' for phrase in PHRASES)}), int(l_suppkey % 10) + 1) AS ReviewText""",
     )
 
 
@@ -159,6 +165,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").selectExpr("doc_id AS ReviewID", "text AS ReviewText")
 
 
+def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as reviews of products, some without an id and some twice."""
+    return _doubled(table(spark, sf_dir, "documents"), "doc_id % 20 = 0").selectExpr(
+        "nullif(doc_id, doc_id DIV 7 * 7) AS ReviewID",
+        "doc_id % 200 AS ProductID",
+        "CAST(doc_id % 5 AS INT) + 1 AS Rating",
+        "text AS ReviewText",
+    )
+
+
 def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with labels, the labels turned into a rating."""
     labels = table(spark, sf_dir, "labels").selectExpr(

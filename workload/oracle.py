@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cartrail import schemas
 from cartrail.plans import wording
-from workload.binding import LEXICON
+from workload.binding import LEXICON, PHRASES
 
 _CASED = "CASE ({by}) % 3 WHEN 0 THEN upper({c}) WHEN 1 THEN lower({c}) ELSE {title} END"
 
@@ -41,7 +41,7 @@ products AS (
 reviews AS (
   SELECT l_orderkey * 10 + l_linenumber AS ReviewID, o_custkey AS CustomerID, l_partkey AS ProductID,
          CAST(l_shipdate AS DATE) AS ReviewDate, CAST(1 + floor((l_quantity - 1) / 10) AS INTEGER) AS Rating,
-         'complaint  type ' || (l_suppkey % 10) AS ReviewText
+         [{", ".join("'" + phrase.replace("'", "''") + "'" for phrase in PHRASES)}][l_suppkey % 10 + 1] AS ReviewText
   FROM lineitem LEFT JOIN (SELECT o_orderkey, min(o_custkey) AS o_custkey FROM orders GROUP BY 1) buyers
     ON l_orderkey = o_orderkey
   WHERE l_linestatus = 'O'),
@@ -79,7 +79,7 @@ raw_products AS (
   SELECT ProductID, ProductName, Category,
          CAST(CASE WHEN ProductID % 11 = 0 THEN 0 WHEN ProductID % 13 = 0 THEN -Price ELSE Price END AS DECIMAL(10, 2)) AS Price
   FROM (SELECT *, {_copies("ProductID % 10 = 0")} AS copied FROM products)),
-lexicon(word, polarity) AS (VALUES {", ".join(f"('{word}', CAST({value} AS DOUBLE))" for word, value in LEXICON.items())})
+lexicon(word, polarity) AS (VALUES {", ".join(f"('{word.replace(chr(39), chr(39) * 2)}', CAST({value} AS DOUBLE))" for word, value in LEXICON.items())})
 """
 
 _RAW = {
@@ -235,8 +235,8 @@ _CORE["sentiment_distribution"] = f"""SELECT Category, CAST(n AS DOUBLE) / sum(n
 def _reviews_scored(source: str, *columns: str) -> str:
     """Mean polarity per row of ``source``, through a row number."""
     kept = ", ".join(columns)
-    return f"""numbered AS (SELECT *, row_number() OVER () AS n FROM {source}),
-words AS (SELECT n, lower(unnest(regexp_extract_all(ReviewText, '[A-Za-z]+'))) AS word FROM numbered),
+    return rf"""numbered AS (SELECT *, row_number() OVER () AS n FROM {source}),
+words AS (SELECT n, lower(unnest(regexp_extract_all(ReviewText, '\p{{L}}+(?:[''’]\p{{L}}+)*'))) AS word FROM numbered),
 means AS (
   SELECT n, CAST(sum(CAST(round(polarity * 10000) AS BIGINT)) AS DOUBLE) / CAST(count(*) * 10000 AS DOUBLE) AS score
   FROM words JOIN lexicon USING (word) GROUP BY n),
@@ -248,9 +248,11 @@ _RATED_DOCUMENTS = """(SELECT doc_id AS ReviewID, text AS ReviewText, CASE WHEN
   WHEN quality <> 1 THEN 2 WHEN toxic = 1 THEN 3 ELSE 5 END AS Rating FROM documents JOIN labels USING (doc_id))"""
 
 
-def _gate() -> str:
-    return """SELECT CAST(count(*) AS BIGINT) AS negative_reviews, round(sum(SentimentScore) / count(*), 4) AS avg_polarity,
-      coalesce(sum(SentimentScore) / count(*) < CAST(-0.2 AS DOUBLE), false) AS dissatisfied FROM scored"""
+def _gate(threshold: str = "-0.2") -> str:
+    return f"""SELECT CAST(count(*) AS BIGINT) AS negative_reviews, 
+      round(CAST(sum(CAST(round(SentimentScore * 1000000000) AS HUGEINT)) AS DOUBLE) / (count(*) * CAST(1000000000 AS DOUBLE)), 4) AS avg_polarity,
+      coalesce(sum(CAST(round(SentimentScore * 1000000000) AS HUGEINT)) < CAST({threshold} * 1000000000 AS HUGEINT) * count(*), false) AS dissatisfied
+      FROM scored"""
 
 
 # --- recommendation lines -------------------------------------------------------------------------------------
@@ -287,13 +289,12 @@ _DISLIKED = f"(SELECT DISTINCT ProductName FROM ({_CORE['review_sentiment']}) WH
 
 def _strategic() -> str:
     ages = f"FROM (SELECT * FROM ({_CORE['demographics_conversion']}) WHERE Group_By = 'Age Range' ORDER BY Conversion_Rate DESC, Group_Value LIMIT 1)"
-    names = f"FROM (SELECT string_agg(ProductName, ', ' ORDER BY ProductName) AS names FROM {_DISLIKED}) WHERE names IS NOT NULL"
     return " UNION ALL ".join(
         [
             _line("strategic", 1, _fill(wording.TOP_CONVERTING, "names"), _TOP3_NAMES),
             _line("strategic", 2, _fill(wording.BEST_CONTENT, "ContentType"), _CONTENT),
             _line("strategic", 3, _fill(wording.BEST_AGE, "Group_Value"), ages),
-            _line("strategic", 4, _fill(wording.NEGATIVE_PRODUCTS, "names"), names),
+            _line("strategic", 4, _fill(wording.NEGATIVE_PRODUCTS, "ProductName"), f"FROM {_DISLIKED}", "0", "ProductName"),
             _line("strategic", 5, _text(wording.CHECKOUT), ""),
         ]
     )
@@ -304,7 +305,7 @@ def _text_report_lines() -> str:
     names = f"FROM (SELECT string_agg(ProductName, ', ' ORDER BY ProductName) AS names FROM {three}) WHERE names IS NOT NULL"
     return " UNION ALL ".join(
         [
-            _line("text_report", 1, _text(wording.REPORT_AGE), ""),
+            _line("text_report", 1, _fill(wording.REPORT_AGE, "age_group", "Country"), f"FROM ({_CORE['top_demographic']})"),
             _line("text_report", 2, _fill(wording.REPORT_TOP, "names"), _TOP3_NAMES),
             _line("text_report", 3, _fill(wording.REPORT_CONTENT, "ContentType"), _CONTENT),
             _line("text_report", 4, _text(wording.REPORT_CHECKOUT), ""),
@@ -526,8 +527,33 @@ _DATE = "CAST({0} AS VARCHAR) AS {0}"
 _JOURNEY_COLUMNS = f"JourneyID, CustomerID, ProductID, {_DATE.format('VisitDate')}, Stage, Action, Duration"
 
 
+#: the columns of the cleaned tables, dates as text and amounts as doubles
+_COLUMNS = {
+    name: ", ".join(
+        {"date": _DATE, "decimal(10,2)": "CAST({0} AS DOUBLE) AS {0}"}.get(f.dataType.simpleString(), "{0}").format(f.name)
+        for f in schema
+    )
+    for name, schema in schemas.CLEAN.items()
+}
+
+
+def _csv_rejects() -> str:
+    """Good customers by id; bad lines as they stand in the file."""
+    return """SELECT CASE WHEN fault = '' THEN 'loaded' ELSE 'rejected' END AS status,
+      CASE WHEN fault = '' THEN CustomerID END AS CustomerID,
+      CASE WHEN fault <> '' THEN line END AS bad_line
+    FROM (SELECT CustomerID, fault,
+        CASE WHEN fault = 'short' THEN CustomerID || ',' || CustomerName
+        ELSE CASE WHEN fault = 'id' THEN 'A' ELSE '' END || CustomerID || ',' || CustomerName || ',' || Email || ',' || Gender || ','
+          || CASE WHEN fault = 'age' THEN 'abc' ELSE Age::VARCHAR END || ','
+          || CASE WHEN fault = 'place' THEN '1.5.2' ELSE GeographyID::VARCHAR END
+          || CASE WHEN fault = 'long' THEN ',x' ELSE '' END END AS line
+      FROM (SELECT *, CASE WHEN CustomerID % 17 = 0 THEN 'id' WHEN CustomerID % 19 = 0 THEN 'age' WHEN CustomerID % 23 = 0 THEN 'long'
+        WHEN CustomerID % 29 = 0 THEN 'short' WHEN CustomerID % 31 = 0 THEN 'place' ELSE '' END AS fault FROM customers))"""
+
+
 def statements() -> dict[str, str]:
-    """The comparison SQL by query name; a random sample has none."""
+    """The comparison SQL by query name."""
     core = {name: _sql(body) for name, body in _CORE.items()}
     rating_sentiment = "CASE WHEN Rating > 3 THEN 1 WHEN Rating = 3 THEN 0 ELSE -1 END"
     low_reviews = "(SELECT * FROM reviews WHERE Rating <= 2)"
@@ -537,11 +563,26 @@ def statements() -> dict[str, str]:
         "load_report": _sql(_load_report(), _CLEAN),
         "reviews_scored_csv": _sql(
             "SELECT ReviewID, ProductID, Rating, ReviewText, SentimentScore AS Sentiment FROM scored",
-            _reviews_scored("reviews", "ReviewID", "ProductID", "Rating", "ReviewText"),
+            _reviews_scored(
+                """(SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS ReviewID, doc_id % 200 AS ProductID,
+                CAST(doc_id % 5 + 1 AS INTEGER) AS Rating, text AS ReviewText,
+                unnest(CASE WHEN doc_id % 20 = 0 THEN [0, 1] ELSE [0] END) AS copied FROM documents)""",
+                "ReviewID", "ProductID", "Rating", "ReviewText",
+            ),
         ),
         "recs_text": _sql(f"SELECT line FROM ({_marketing()})"),
         "findings_text": _sql(_findings()),
         "text_report": _sql(_text_report()),
+        "csv_rejects": _sql(_csv_rejects()),
+        "clean_customers": _sql(f"SELECT {_COLUMNS['customers']} FROM clean_customers", _CLEAN),
+        "clean_reviews": _sql(f"SELECT {_COLUMNS['customer_reviews']} FROM clean_reviews", _CLEAN),
+        "clean_engagement": _sql(f"SELECT {_COLUMNS['engagement_data']} FROM clean_engagement", _CLEAN),
+        "clean_geography": _sql("SELECT * FROM clean_geography", _CLEAN),
+        "clean_products": _sql(f"SELECT {_COLUMNS['products']} FROM clean_products", _CLEAN),
+        "sql_over_views": core["top_regions"],
+        "profile_sample": _sql(
+            """SELECT least(count(*), 6) AS drawn, least(count(*), 6) AS distinct_keys, least(count(*), 6) AS members FROM geography"""
+        ),
         "clean_fill": _sql("SELECT JourneyID, coalesce(Duration, 0.0) AS Duration FROM raw_journey"),
         "clean_case": _sql(_case_counts()),
         "clean_strip": _sql(
@@ -724,6 +765,9 @@ def statements() -> dict[str, str]:
         "negative_polarity_gate": _sql(
             _gate(), _reviews_scored(f"(SELECT * FROM {_RATED_DOCUMENTS} WHERE Rating <= 2)", "ReviewID")
         ),
+        "negative_polarity_gate_open": _sql(
+            _gate("0.9"), _reviews_scored(f"(SELECT * FROM {_RATED_DOCUMENTS} WHERE Rating <= 2)", "ReviewID")
+        ),
         "recs_strategic": _sql(_strategic()),
         "recs_marketing": _sql(_marketing()),
         "recs_experience": _sql(_experience(), _reviews_scored(low_reviews, "ReviewID")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,6 +113,73 @@ def _clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+# --- CSV files in, rows out ---
+
+
+def _from_csv(table: str, cleaned: Callable[[DataFrame], DataFrame]) -> Query:
+    """A raw table written as CSV, read back with its declared schema and cleaned: every row."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{sinks.work_dir(spark)}/{table}"
+        raw = binding.raw_tables(spark, sf_dir)[table]
+        # customers come in the order in which they arrived
+        filed = raw.orderBy("arrival").drop("arrival") if "arrival" in raw.columns else raw
+        sinks.write_csv(filed, path)
+        read = readers.read_csv_tables(spark, {table: path}, multi_line=True)[table]
+        return comparable(cleaned(readers.with_ingest_order(read) if "arrival" in raw.columns else read))
+
+    return query
+
+
+def _clean_filed_customers(raw: DataFrame) -> DataFrame:
+    return clean.clean_customers(raw, readers.INGEST_ORDER).select(schemas.CLEAN["customers"].names)
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV lines, some of them broken: the good ones by id, the bad ones as they stand."""
+    path = f"{sinks.work_dir(spark)}/customers_with_faults"
+    fault = """CASE WHEN CustomerID % 17 = 0 THEN 'id' WHEN CustomerID % 19 = 0 THEN 'age' WHEN CustomerID % 23 = 0 THEN 'long'
+        WHEN CustomerID % 29 = 0 THEN 'short' WHEN CustomerID % 31 = 0 THEN 'place' ELSE '' END AS fault"""
+    line = """if(fault = 'short', concat_ws(',', string(CustomerID), CustomerName), concat(
+        if(fault = 'id', 'A', ''),
+        concat_ws(',', string(CustomerID), CustomerName, Email, Gender, if(fault = 'age', 'abc', string(Age)), if(fault = 'place', '1.5.2', string(GeographyID))),
+        if(fault = 'long', ',x', ''))) AS line"""
+    lines = binding.star(spark, sf_dir).customers.selectExpr("*", fault).selectExpr(line)
+    # one value per line; the text writer puts a header on no file, so every file gets its own line of names
+    header = ",".join(schemas.RAW["customers"].names)
+    named = lines.withColumn("file", F.pmod(F.xxhash64("line"), F.lit(3))).unionByName(
+        spark.range(3).select(F.lit(header).alias("line"), F.col("id").alias("file"))
+    )
+    ordered = named.repartition(3, "file").sortWithinPartitions("file", F.col("line") != header)
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    read = [readers.read_csv_checked(spark, "customers", f"{path}/file={i}") for i in range(3)]
+    good, bad = (reduce(DataFrame.unionByName, side) for side in zip(*read, strict=True))
+    loaded = good.select(F.lit("loaded").alias("status"), "CustomerID", F.lit(None).cast("string").alias("bad_line"))
+    return loaded.unionByName(bad.select(F.lit("rejected").alias("status"), F.lit(None).cast("bigint").alias("CustomerID"), "bad_line"))
+
+
+def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries by purchases, asked in SQL of the tables under their names."""
+    readers.register_views(binding.Views(spark, sf_dir))
+    return spark.sql(
+        """SELECT Country, count(*) AS Total_Purchases FROM customer_journey JOIN customers USING (CustomerID)
+        JOIN geography USING (GeographyID) WHERE Action = 'purchase' GROUP BY Country
+        ORDER BY Total_Purchases DESC, Country LIMIT 5"""
+    )
+
+
+def _sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any sample of six: rows, distinct rows, and rows that the table has."""
+    places = binding.star(spark, sf_dir).geography
+    drawn = profile.sample_rows(places, 6, seed=7)
+    known = places.withColumn("known", F.lit(1))
+    return drawn.join(known, places.columns, "left").agg(
+        F.count(F.lit(1)).alias("drawn"),
+        F.count_distinct("GeographyID").alias("distinct_keys"),
+        F.count("known").alias("members"),
+    )
+
+
 # --- sinks ----------------------------------------------------------------------------------------------------
 
 
@@ -129,10 +197,10 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _reviews_scored_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.work_dir(spark) + "/reviews_scored"
-    scored = text.scored_reviews(binding.star(spark, sf_dir).reviews, binding.lexicon(spark))
+    scored = text.scored_reviews(binding.scored_documents(spark, sf_dir), binding.lexicon(spark))
     sinks.write_csv(scored.select("ReviewID", "ProductID", "Rating", "ReviewText", "Sentiment"), path)
     schema = "ReviewID bigint, ProductID bigint, Rating int, ReviewText string, Sentiment double"
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def _recs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,8 +232,8 @@ def _text_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.text_sentiment(binding.documents(spark, sf_dir), binding.lexicon(spark))
 
 
-def _polarity_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.negative_polarity_gate(binding.rated_documents(spark, sf_dir), binding.lexicon(spark))
+def _polarity_gate(spark: SparkSession, sf_dir: str, threshold: float = -0.2) -> DataFrame:
+    return text.negative_polarity_gate(binding.rated_documents(spark, sf_dir), binding.lexicon(spark), threshold=threshold)
 
 
 def _experience(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +293,13 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "load_overwrite": _load_overwrite,
         "load_report": _load_report,
+        "csv_rejects": _csv_rejects,
+        "clean_customers": _from_csv("customers", _clean_filed_customers),
+        "clean_reviews": _from_csv("customer_reviews", clean.clean_reviews),
+        "clean_engagement": _from_csv("engagement_data", clean.clean_engagement),
+        "clean_geography": _from_csv("geography", clean.clean_geography),
+        "clean_products": _from_csv("products", clean.clean_products),
+        "sql_over_views": _sql_over_views,
         "reviews_scored_csv": _reviews_scored_csv,
         "recs_text": _recs_text,
         "findings_text": _findings_text,
@@ -257,9 +332,7 @@ def queries() -> dict[str, Query]:
         "profile_rating_counts": _rating_counts,
         "profile_info": _profile(profile.table_info),
         "profile_head_tail": _head_tail,
-        "profile_sample": lambda spark, sf_dir: comparable(
-            profile.sample_rows(binding.star(spark, sf_dir).geography, 6, seed=7)
-        ),
+        "profile_sample": _sample_check,
         # expressions and joins
         "band_age": _report(_band_age),
         "rating_sentiment": _report(_rating_sentiment),
@@ -327,6 +400,7 @@ def queries() -> dict[str, Query]:
         "text_polarity": _text_polarity,
         "text_sentiment_class": _text_sentiment,
         "negative_polarity_gate": _polarity_gate,
+        "negative_polarity_gate_open": lambda spark, sf_dir: _polarity_gate(spark, sf_dir, 0.9),
         # recommendations
         "recs_strategic": _report(recommend.strategic),
         "recs_marketing": _report(recommend.marketing_lines),
