@@ -44,10 +44,12 @@ def splitter(letter: str, number: str, other: str) -> str:
     return rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
-#: entries of a worker's tables of transitions, and of each half of its table of words; a full one is emptied
-TABLE = 1 << 19
+#: entries of a worker's tables of transitions and beginnings, and of each half of its table of words; a full one
+#: is emptied, so a worker's memory does not grow with what it reads
+TABLE, BEGINNINGS = 1 << 18, 1 << 15
+WORDS = 1 << 17
+#: bytes of a word that a beginning is told by
 NEAR = 7
-WORDS = 1 << 18
 #: all code points below it were assigned long ago
 LOW = 0x500
 
@@ -163,7 +165,7 @@ class MergeAutomaton:
             seen += 1  # the end of the word was seen, too
         ahead = tuple(reversed(found))
         if seen <= NEAR:
-            if len(self.near) >= TABLE:
+            if len(self.near) >= BEGINNINGS:
                 self.near.clear()
             self.near[word[place : place + NEAR]] = ahead
         return ahead

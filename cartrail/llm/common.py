@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: hexadecimal digits of an MD5 that make an ordering key: 52 bits, exact in a double
 KEY_DIGITS = 13
+#: texts that a Python worker holds as strings at a time
+TEXTS_AT_ONCE = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -113,12 +115,14 @@ def map_texts(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(out)
-        for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            found = work(batch.column(batch.num_columns - 1).to_pylist())
-            fields = [target.field(len(columns) + i) for i in range(len(found))]
-            columns += [pa.array(values, type=f.type) for f, values in zip(fields, found.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=target.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(start, TEXTS_AT_ONCE)
+                columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+                found = work(batch.column(batch.num_columns - 1).to_pylist())
+                fields = [target.field(len(columns) + i) for i in range(len(found))]
+                columns += [pa.array(values, type=f.type) for f, values in zip(fields, found.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=target.names)
 
     return chosen.mapInArrow(per_batch, out)
 
