@@ -24,8 +24,9 @@ from cartrail.llm.common import boxed, hash_key, map_texts, settled, ship, unbox
 TRAIN_ROWS = 6000
 #: terms considered at most, the strongest first
 CANDIDATES = 5000
-#: a term must be in so many toxic documents, in this share of them, and in so few others per toxic one
-LEAST_DOCS, LEAST_SHARE, CLEAN_SHARE, LEAST_G = 4, 0.04, 0.05, 15.0
+#: a term must be in so many toxic documents, and in so few others per toxic one; its log-likelihood ratio must be
+#: so high, and so high that of the keys that pass, this share at most is expected there by chance
+LEAST_DOCS, CLEAN_SHARE, LEAST_G, CHANCE = 4, 0.05, 15.0, 0.05
 #: smallest hashes by which near copies among the training documents are found
 MARKS = ("m1", "m2", "m3", "m4")
 STEMS = range(3, 7)
@@ -62,12 +63,13 @@ class LexiconAutomaton:
 
     OTHER = "\0"
 
-    def __init__(self, terms: Sequence[tuple[str, bool]]) -> None:
+    def __init__(self, terms: Sequence[tuple[str, bool]], worths: Sequence[float] = ()) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.allowed = [0]
         self.ends: dict[int, int] = {}
         self.stems: set[int] = set()
-        for term, stem in terms:
+        self.worths: dict[tuple[int, bool], float] = {}
+        for (term, stem), worth in zip(terms, worths or [1.0] * len(terms), strict=True):
             node, most = 0, edits_allowed(term, stem)
             self.allowed[0] = max(self.allowed[0], most)
             for c in term:
@@ -81,9 +83,10 @@ class LexiconAutomaton:
                 self.stems.add(node)
             else:
                 self.ends[node] = max(self.ends.get(node, 0), most)
+            self.worths[node, stem] = worth
         self.alphabet = {c for node in self.children for c in node}
         self.steps: list[dict[str, int]] = []
-        self.accepts: list[int | None] = []
+        self.accepts: list[tuple[int, float] | None] = []
         self.sets: list[frozenset[tuple[int, int]]] = []
         self.numbers: dict[frozenset[tuple[int, int]], int] = {}
         self._state({(0, 0)} if terms else set())
@@ -105,8 +108,9 @@ class LexiconAutomaton:
             self.sets.append(members)
             self.steps.append({})
             # a stem is met as soon as it is read; a word at its end
-            met = [e for n, e in members if (n in self.stems and e == 0) or (n in self.ends and e <= self.ends[n])]
-            self.accepts.append(min(met) if met else None)
+            met = [(e, -self.worths[n, True]) for n, e in members if n in self.stems and e == 0]
+            met += [(e, -self.worths[n, False]) for n, e in members if n in self.ends and e <= self.ends[n]]
+            self.accepts.append((min(met)[0], -min(met)[1]) if met else None)
         return self.numbers[members]
 
     def _step(self, state: int, c: str) -> int:
@@ -126,6 +130,11 @@ class LexiconAutomaton:
 
     def match(self, token: str) -> int | None:
         """The fewest edits from ``token`` to a term that allows them, or None."""
+        met = self.meet(token)
+        return met[0] if met else None
+
+    def meet(self, token: str) -> tuple[int, float] | None:
+        """The fewest edits from ``token`` to a term that allows them, and the most such a term is worth, or None."""
         if not self.steps:
             return None
         state, steps, alphabet = 0, self.steps, self.alphabet
@@ -143,28 +152,32 @@ class LexiconAutomaton:
 
 @dataclass(frozen=True)
 class Model:
-    """What is learned: terms with whether they are stems, tokens that only look like one, and weights."""
+    """What is learned: terms with whether they are stems, tokens that only look like one, and weights.
+
+    ``worths`` has what a hit of each term counts; without it, all count 1.
+    """
 
     terms: tuple[tuple[str, bool], ...] = ()
     harmless: frozenset[str] = frozenset()
     weights: tuple[float, ...] = PRIOR
+    worths: tuple[float, ...] = ()
     _automata: list = field(default_factory=list, compare=False, repr=False)
 
     @property
     def automaton(self) -> LexiconAutomaton:
         if not self._automata:
-            self._automata.append(LexiconAutomaton(self.terms))
+            self._automata.append(LexiconAutomaton(self.terms, self.worths))
         return self._automata[0]
 
 
-def hits(model: Model, lowered: str) -> dict[str, int]:
-    """The tokens of a text that meet the lexicon, with their edits."""
-    match, harmless = model.automaton.match, model.harmless
+def hits(model: Model, lowered: str) -> dict[str, tuple[int, float]]:
+    """The tokens of a text that meet the lexicon, with their edits and what the term is worth."""
+    meet, harmless = model.automaton.meet, model.harmless
     found = {}
     for token in set(TOKEN.findall(lowered)):
-        edits = match(token)
-        if edits is not None and (edits == 0 or token not in harmless):
-            found[token] = edits
+        met = meet(token)
+        if met is not None and (met[0] == 0 or token not in harmless):
+            found[token] = met
     return found
 
 
@@ -178,30 +191,39 @@ def quoted(before: str, after: str) -> bool:
     return marks or not REPORTING.isdisjoint(TOKEN.findall(before)[-3:])
 
 
-def count_hits(model: Model, text: str | None) -> dict[str, int]:
-    """How many hits are exact, fuzzy, quoted, and near a word of address; quoted ones are neither of the others."""
+def told_hits(model: Model, text: str | None) -> Iterator[tuple[str, float, bool]]:
+    """Each hit of a text: exact, fuzzy or quoted, what its term is worth, and whether a word of address is near."""
     lowered = (text or "").lower()
     found = hits(model, lowered)
-    counts = dict.fromkeys(("exact", "fuzzy", "quoted", "directed"), 0)
     if found:
         for token in TOKEN.finditer(lowered):
-            edits = found.get(token.group())
-            if edits is None:
+            if token.group() not in found:
                 continue
+            edits, worth = found[token.group()]
             before = lowered[max(0, token.start() - CONTEXT) : token.start()]
             after = lowered[token.end() : token.end() + CONTEXT]
             if quoted(before, after):
-                counts["quoted"] += 1
+                yield "quoted", worth, False
             else:
-                counts["fuzzy" if edits else "exact"] += 1
-                if not ADDRESS.isdisjoint(TOKEN.findall(before)[-4:] + TOKEN.findall(after)[:2]):
-                    counts["directed"] += 1
+                directed = not ADDRESS.isdisjoint(TOKEN.findall(before)[-4:] + TOKEN.findall(after)[:2])
+                yield "fuzzy" if edits else "exact", worth, directed
+
+
+def count_hits(model: Model, text: str | None) -> dict[str, int]:
+    """How many hits are exact, fuzzy, quoted, and near a word of address; quoted ones are neither of the others."""
+    counts = dict.fromkeys(("exact", "fuzzy", "quoted", "directed"), 0)
+    for kind, _, directed in told_hits(model, text):
+        counts[kind] += 1
+        counts["directed"] += directed
     return counts
 
 
 def features(model: Model, text: str | None) -> tuple[float, ...]:
-    """Logarithms of the counts of hits, as the weights take them."""
-    n = count_hits(model, text)
+    """Logarithms of the sums over hits, each counting what its term is worth, as the weights take them."""
+    n = dict.fromkeys(("exact", "fuzzy", "quoted", "directed"), 0.0)
+    for kind, worth, directed in told_hits(model, text):
+        n[kind] += worth
+        n["directed"] += worth * directed
     return tuple(math.log1p(v) for v in (n["exact"] + MISSPELLED * n["fuzzy"], n["fuzzy"], n["quoted"], n["directed"]))
 
 
@@ -239,20 +261,39 @@ def surprise(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return 2 * sum(n * math.log(n / d) for n, d in zip((toxic, clean), due, strict=True) if n)
 
 
-def choose_terms(counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int) -> list[tuple[str, bool]]:
+def least_surprise(ratios: Sequence[float], keys: int) -> float:
+    """The ratio from which ``CHANCE`` of the passing keys at most are due to chance, of ``keys`` that were looked at.
+
+    Benjamini and Hochberg's rule; a ratio has nearly the distribution of a squared normal number.
+    """
+    ordered = sorted(ratios, reverse=True)
+    passing = [g for n, g in enumerate(ordered, 1) if math.erfc(math.sqrt(max(g, 0) / 2)) * keys <= CHANCE * n]
+    return max(LEAST_G, min(passing, default=math.inf))
+
+
+def worth(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
+    """The logarithm of the ratio of a term's rates, drawn to 0 by half a document on each side."""
+    return max(0.0, math.log((toxic + 0.5) * (all_clean + 1) / ((clean + 0.5) * (all_toxic + 1))))
+
+
+def choose_terms(
+    counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int, keys: int | None = None
+) -> list[tuple[str, bool]]:
     """Terms that mark toxic documents, from documents by key: the shortest that say all their extensions say.
 
+    What a term needs is support, not a share of the documents: words of a small group are in a small share.
+    ``keys`` is the number of keys that ``counts`` were chosen from.
+
     A stem whose next longer key has nearly its count says nothing by itself, and the longer one is taken. Keys
     that begin with a chosen stem add nothing.
     """
-    least = max(LEAST_DOCS, LEAST_SHARE * all_toxic)
-    good = {
-        key: toxic
+    likely = {
+        key: surprise(toxic, clean, all_toxic, all_clean)
         for key, (toxic, clean) in counts.items()
-        if toxic >= least
-        and clean / max(all_clean, 1) <= CLEAN_SHARE * toxic / max(all_toxic, 1)
-        and surprise(toxic, clean, all_toxic, all_clean) >= LEAST_G
+        if toxic >= LEAST_DOCS and clean / max(all_clean, 1) <= CLEAN_SHARE * toxic / max(all_toxic, 1)
     }
+    least = least_surprise(list(likely.values()), len(counts) if keys is None else keys)
+    good = {key: counts[key][0] for key, ratio in likely.items() if ratio >= least}
     longer: dict[str, int] = {}
     for key, toxic in good.items():
         stem = key[: min(len(key) - 1, STEMS[-1])]
@@ -324,17 +365,22 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
 
     counted = sample.select("toxic", "text").mapInArrow(keys, "key string, toxic boolean")
     counts = counted.groupBy("key").agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
+    counts = settled(counts.where(F.col("toxic") + F.col("clean") >= LEAST_DOCS))
     strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("clean") * all_toxic <= F.col("toxic") * (CLEAN_SHARE * all_clean)))
-    listed = strong.orderBy(F.col("toxic").desc(), "key").limit(CANDIDATES).collect()
-    terms = tuple(choose_terms({r["key"]: (r["toxic"], r["clean"]) for r in listed}, all_toxic, all_clean))
-    raw = Model(terms)
+    # by the rates' ratio and not by the count, in which words of a small group come last
+    rates = (F.col("toxic") + 0.5) * F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
+    listed = {r["key"]: (r["toxic"], r["clean"]) for r in strong.orderBy(rates.desc(), "key").limit(CANDIDATES).collect()}
+    terms = tuple(choose_terms(listed, all_toxic, all_clean, counts.count()))
+    worths = [worth(*listed[t if stem else t + "$"], all_toxic, all_clean) for t, stem in terms]
+    worths = tuple(w / max(worths) for w in worths)
+    raw = Model(terms, worths=worths)
 
     def fuzzy(texts: list[str | None]) -> dict[str, list]:
-        return {"tokens": [[t for t, e in hits(raw, (x or "").lower()).items() if e] for x in texts]}
+        return {"tokens": [[t for t, (e, _) in hits(raw, (x or "").lower()).items() if e] for x in texts]}
 
     seen = map_texts(sample.where("toxic <= 0"), [], "text", fuzzy, "tokens array<string>")
     harmless = frozenset(r[0] for r in seen.select(F.explode("tokens")).distinct().collect())
-    model = Model(terms, harmless)
+    model = Model(terms, harmless, worths=worths)
 
     def count(texts: list[str | None]) -> dict[str, list]:
         found = [features(model, t) for t in texts]
@@ -345,7 +391,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
     x = np.array([r[1:] for r in rows_found], dtype=float).reshape(len(rows_found), len(FEATURES))
     y = np.array([r[0] > 0 for r in rows_found], dtype=float)
     order = np.lexsort((y, *x.T))  # sums don't depend on the order in which tasks end
-    return Model(terms, harmless, fit(x[order], y[order]))
+    return Model(terms, harmless, fit(x[order], y[order]), worths)
 
 
 def score(docs: DataFrame, model: Model, kept: Sequence[Column], text: str = "text") -> DataFrame:

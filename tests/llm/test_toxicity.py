@@ -79,6 +79,17 @@ def test_learning_finds_words_and_stems(spark):
     assert toxicity.learn(docs.limit(0), known).terms == ()
 
 
+def test_terms_of_a_small_group():
+    # 1,000 toxic documents, 10 of them in a language of their own; 50,000 keys, a few of them there by chance
+    counts = {"grumble$": (900, 3), "gruñón$": (10, 0), "casual$": (4, 0), "common$": (500, 2500)}
+    assert toxicity.choose_terms(counts, 1000, 5000, 50_000) == [("gruñón", False), ("grumble", False)]
+    assert 0 < toxicity.worth(4, 0, 1000, 5000) < toxicity.worth(10, 0, 1000, 5000) < toxicity.worth(90, 0, 1000, 5000)
+    assert toxicity.worth(10, 500, 1000, 5000) == 0
+    assert toxicity.least_surprise([30.0, 20.0, 3.0], 1000) == 20.0 and toxicity.least_surprise([3.0], 1000) > 1000
+    model = toxicity.Model((("clown", False), ("clo", True), ("oaf", False)), worths=(1.0, 0.25, 0.5))
+    assert [round(toxicity.features(model, t)[0], 6) for t in ("clown", "cloud", "oaf", "clwn")] == [0.693147, 0.223144, 0.405465, 0.587787]
+
+
 def test_messy_documents(spark):
     model = toxicity.Model((("alpha", False),))
     docs = messy.documents(spark)
