@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,8 +49,10 @@ PRIOR = (-3.0, 3.0, 0.0, 0.0, 0.5)
 
 
 def edits_allowed(term: str, stem: bool) -> int:
-    """How far a token may be from a term: stems are met exactly, long words at up to two edits."""
-    return 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
+    """How far a token may be from a term, or its beginning from a stem: long words are met at up to two edits."""
+    if stem:
+        return 0 if len(term) < 5 else 1
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class LexiconAutomaton:
@@ -67,9 +69,9 @@ class LexiconAutomaton:
         self.children: list[dict[str, int]] = [{}]
         self.allowed = [0]
         self.ends: dict[int, int] = {}
-        self.stems: set[int] = set()
-        self.worths: dict[tuple[int, bool], float] = {}
-        for (term, stem), worth in zip(terms, worths or [1.0] * len(terms), strict=True):
+        self.stems: dict[int, int] = {}
+        self.terms: dict[tuple[int, bool], tuple[float, int]] = {}
+        for number, ((term, stem), worth) in enumerate(zip(terms, worths or [1.0] * len(terms), strict=True)):
             node, most = 0, edits_allowed(term, stem)
             self.allowed[0] = max(self.allowed[0], most)
             for c in term:
@@ -79,14 +81,11 @@ class LexiconAutomaton:
                     self.allowed.append(0)
                 node = self.children[node][c]
                 self.allowed[node] = max(self.allowed[node], most)
-            if stem:
-                self.stems.add(node)
-            else:
-                self.ends[node] = max(self.ends.get(node, 0), most)
-            self.worths[node, stem] = worth
+            (self.stems if stem else self.ends)[node] = most
+            self.terms[node, stem] = (-worth, number)
         self.alphabet = {c for node in self.children for c in node}
         self.steps: list[dict[str, int]] = []
-        self.accepts: list[tuple[int, float] | None] = []
+        self.accepts: list[tuple[int, int] | None] = []
         self.sets: list[frozenset[tuple[int, int]]] = []
         self.numbers: dict[frozenset[tuple[int, int]], int] = {}
         self._state({(0, 0)} if terms else set())
@@ -108,16 +107,16 @@ class LexiconAutomaton:
             self.sets.append(members)
             self.steps.append({})
             # a stem is met as soon as it is read; a word at its end
-            met = [(e, -self.worths[n, True]) for n, e in members if n in self.stems and e == 0]
-            met += [(e, -self.worths[n, False]) for n, e in members if n in self.ends and e <= self.ends[n]]
-            self.accepts.append((min(met)[0], -min(met)[1]) if met else None)
+            met = [(e, self.terms[n, True]) for n, e in members if n in self.stems and e <= self.stems[n]]
+            met += [(e, self.terms[n, False]) for n, e in members if n in self.ends and e <= self.ends[n]]
+            self.accepts.append((min(met)[0], min(met)[1][1]) if met else None)
         return self.numbers[members]
 
     def _step(self, state: int, c: str) -> int:
         moved = set()
         for node, edits in self.sets[state]:
-            if node in self.stems and edits == 0:
-                moved.add((node, 0))  # whatever follows a stem
+            if node in self.stems and edits <= self.stems[node]:
+                moved.add((node, edits))  # whatever follows a stem
             for letter, child in self.children[node].items():
                 if letter == c:
                     moved.add((child, edits))
@@ -133,8 +132,8 @@ class LexiconAutomaton:
         met = self.meet(token)
         return met[0] if met else None
 
-    def meet(self, token: str) -> tuple[int, float] | None:
-        """The fewest edits from ``token`` to a term that allows them, and the most such a term is worth, or None."""
+    def meet(self, token: str) -> tuple[int, int] | None:
+        """The fewest edits from ``token`` to a term that allows them, and the number of the worthiest such term."""
         if not self.steps:
             return None
         state, steps, alphabet = 0, self.steps, self.alphabet
@@ -154,24 +153,28 @@ class LexiconAutomaton:
 class Model:
     """What is learned: terms with whether they are stems, tokens that only look like one, and weights.
 
-    ``worths`` has what a hit of each term counts; without it, all count 1.
+    ``covered`` are words that begin with a stem of ``terms``; they are terms of their own where they are misspelled.
+    ``worths`` has what a hit of each term counts, then of each covered word, and ``misspelled`` what it counts with
+    edits; without them, all count 1.
     """
 
     terms: tuple[tuple[str, bool], ...] = ()
     harmless: frozenset[str] = frozenset()
     weights: tuple[float, ...] = PRIOR
     worths: tuple[float, ...] = ()
+    covered: tuple[str, ...] = ()
+    misspelled: tuple[float, ...] = ()
     _automata: list = field(default_factory=list, compare=False, repr=False)
 
     @property
     def automaton(self) -> LexiconAutomaton:
         if not self._automata:
-            self._automata.append(LexiconAutomaton(self.terms, self.worths))
+            self._automata.append(LexiconAutomaton([*self.terms, *((w, False) for w in self.covered)], self.worths))
         return self._automata[0]
 
 
-def hits(model: Model, lowered: str) -> dict[str, tuple[int, float]]:
-    """The tokens of a text that meet the lexicon, with their edits and what the term is worth."""
+def hits(model: Model, lowered: str) -> dict[str, tuple[int, int]]:
+    """The tokens of a text that meet the lexicon, with their edits and the term's number."""
     meet, harmless = model.automaton.meet, model.harmless
     found = {}
     for token in set(TOKEN.findall(lowered)):
@@ -199,7 +202,9 @@ def told_hits(model: Model, text: str | None) -> Iterator[tuple[str, float, bool
         for token in TOKEN.finditer(lowered):
             if token.group() not in found:
                 continue
-            edits, worth = found[token.group()]
+            edits, number = found[token.group()]
+            known = model.misspelled if edits else model.worths
+            worth = known[number] if known else 1.0
             before = lowered[max(0, token.start() - CONTEXT) : token.start()]
             after = lowered[token.end() : token.end() + CONTEXT]
             if quoted(before, after):
@@ -276,16 +281,17 @@ def worth(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return max(0.0, math.log((toxic + 0.5) * (all_clean + 1) / ((clean + 0.5) * (all_toxic + 1))))
 
 
-def choose_terms(
-    counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int, keys: int | None = None
-) -> list[tuple[str, bool]]:
-    """Terms that mark toxic documents, from documents by key: the shortest that say all their extensions say.
+def misspelled_worth(exact: tuple[int, int], met: tuple[int, int], all_toxic: int, all_clean: int) -> float:
+    """The same of a term's misspellings, from the documents they are in, drawn to the term's own as by one toxic document."""
+    ratio = (met[0] + 1) / (met[1] + (exact[1] + 0.5) / (exact[0] + 0.5))
+    return max(0.0, math.log(ratio * (all_clean + 1) / (all_toxic + 1)))
 
-    What a term needs is support, not a share of the documents: words of a small group are in a small share.
-    ``keys`` is the number of keys that ``counts`` were chosen from.
 
-    A stem whose next longer key has nearly its count says nothing by itself, and the longer one is taken. Keys
-    that begin with a chosen stem add nothing.
+def marking_keys(counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int, keys: int | None = None) -> dict[str, int]:
+    """The keys that mark toxic documents, with how many of these they are in.
+
+    What a key needs is support, not a share of the documents: words of a small group are in a small share.
+    ``keys`` is the number of keys that ``counts`` were chosen from.
     """
     likely = {
         key: surprise(toxic, clean, all_toxic, all_clean)
@@ -293,7 +299,18 @@ def choose_terms(
         if toxic >= LEAST_DOCS and clean / max(all_clean, 1) <= CLEAN_SHARE * toxic / max(all_toxic, 1)
     }
     least = least_surprise(list(likely.values()), len(counts) if keys is None else keys)
-    good = {key: counts[key][0] for key, ratio in likely.items() if ratio >= least}
+    return {key: counts[key][0] for key, ratio in likely.items() if ratio >= least}
+
+
+def choose_terms(
+    counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int, keys: int | None = None
+) -> list[tuple[str, bool]]:
+    """Terms that mark toxic documents, from documents by key: the shortest that say all their extensions say.
+
+    A stem whose next longer key has nearly its count says nothing by itself, and the longer one is taken. Keys
+    that begin with a chosen stem add nothing.
+    """
+    good = marking_keys(counts, all_toxic, all_clean, keys)
     longer: dict[str, int] = {}
     for key, toxic in good.items():
         stem = key[: min(len(key) - 1, STEMS[-1])]
@@ -312,6 +329,15 @@ def choose_terms(
     return chosen
 
 
+def covered_words(
+    counts: dict[str, tuple[int, int]], terms: Sequence[tuple[str, bool]], all_toxic: int, all_clean: int, keys: int | None = None
+) -> list[str]:
+    """The words that mark toxic documents but are not among ``terms``, as a stem has them; misspelled, it may not."""
+    stems = tuple(term for term, stem in terms if stem)
+    words = [key[:-1] for key in marking_keys(counts, all_toxic, all_clean, keys) if key.endswith("$")]
+    return sorted(w for w in words if w.startswith(stems) and edits_allowed(w, False))
+
+
 def sketch(text: str | None) -> list[int]:
     """The smallest hashes of a text's runs of three tokens; near copies nearly always share one."""
     tokens = TOKEN.findall((text or "").lower())
@@ -370,28 +396,49 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
     # by the rates' ratio and not by the count, in which words of a small group come last
     rates = (F.col("toxic") + 0.5) * F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
     listed = {r["key"]: (r["toxic"], r["clean"]) for r in strong.orderBy(rates.desc(), "key").limit(CANDIDATES).collect()}
-    terms = tuple(choose_terms(listed, all_toxic, all_clean, counts.count()))
-    worths = [worth(*listed[t if stem else t + "$"], all_toxic, all_clean) for t, stem in terms]
-    worths = tuple(w / max(worths) for w in worths)
-    raw = Model(terms, worths=worths)
+    sizes = all_toxic, all_clean, counts.count()
+    terms = tuple(choose_terms(listed, *sizes))
+    covered = tuple(covered_words(listed, terms, *sizes))
+    keys_met = [t if stem else t + "$" for t, stem in terms] + [w + "$" for w in covered]
+    worths = [worth(*listed[key], all_toxic, all_clean) for key in keys_met]
+    most = max(worths, default=1.0)
+    worths = tuple(w / most for w in worths)
+    raw = Model(terms, worths=worths, covered=covered)
 
     def fuzzy(texts: list[str | None]) -> dict[str, list]:
-        return {"tokens": [[t for t, (e, _) in hits(raw, (x or "").lower()).items() if e] for x in texts]}
-
-    seen = map_texts(sample.where("toxic <= 0"), [], "text", fuzzy, "tokens array<string>")
-    harmless = frozenset(r[0] for r in seen.select(F.explode("tokens")).distinct().collect())
-    model = Model(terms, harmless, worths=worths)
-
-    def count(texts: list[str | None]) -> dict[str, list]:
-        found = [features(model, t) for t in texts]
-        return {name: [f[i] for f in found] for i, name in enumerate(FEATURES)}
+        found = [[(t, n) for t, (e, n) in hits(raw, (x or "").lower()).items() if e] for x in texts]
+        return {"tokens": [[t for t, _ in f] for f in found], "numbers": [[n for _, n in f] for f in found]}
+
+    seen = map_texts(sample, [F.col("toxic"), F.col("doc_id")], "text", fuzzy, "tokens array<string>, numbers array<int>")
+    each = settled(seen.select("toxic", "doc_id", F.explode(F.arrays_zip("tokens", "numbers")).alias("m")).select("toxic", "doc_id", "m.*"))
+    times = dict(each.where("toxic <= 0").groupBy("tokens").count().collect())
+    harmless = frozenset(times)
+    # a clean document is judged by what the others show, as a new one will be; else no misspelled hit in it would count
+    others = frozenset(t for t, n in times.items() if n > 1)
+    clean_times = each.where("toxic <= 0").groupBy("tokens").agg(F.count(F.lit(1)).alias("times"))
+    left = each.join(clean_times, "tokens", "left").where("times is null or (times = 1 and toxic <= 0)")
+    documents = left.select("toxic", "doc_id", "numbers").distinct().groupBy("numbers")
+    met = {r[0]: (r[1], r[2]) for r in documents.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).collect()}
+    misspelled = tuple(
+        misspelled_worth(listed[key], met.get(n, (0, 0)), all_toxic, all_clean) / most for n, key in enumerate(keys_met)
+    )
+
+    def counted_by(model: Model) -> Callable[[list[str | None]], dict[str, list]]:
+        def count(texts: list[str | None]) -> dict[str, list]:
+            found = [features(model, t) for t in texts]
+            return {name: [f[i] for f in found] for i, name in enumerate(FEATURES)}
+
+        return count
 
     made = ", ".join(f"{name} double" for name in FEATURES)
-    rows_found = map_texts(sample, [F.col("toxic")], "text", count, made).collect()
+    rows_found = []
+    for chosen, known in (("toxic > 0", harmless), ("toxic <= 0", others)):
+        work = counted_by(Model(terms, known, worths=worths, covered=covered, misspelled=misspelled))
+        rows_found += map_texts(sample.where(chosen), [F.col("toxic")], "text", work, made).collect()
     x = np.array([r[1:] for r in rows_found], dtype=float).reshape(len(rows_found), len(FEATURES))
     y = np.array([r[0] > 0 for r in rows_found], dtype=float)
     order = np.lexsort((y, *x.T))  # sums don't depend on the order in which tasks end
-    return Model(terms, harmless, fit(x[order], y[order]), worths)
+    return Model(terms, harmless, fit(x[order], y[order]), worths, covered, misspelled)
 
 
 def score(docs: DataFrame, model: Model, kept: Sequence[Column], text: str = "text") -> DataFrame:

@@ -40,6 +40,34 @@ def test_automaton_is_edit_distance():
     assert toxicity.LexiconAutomaton([]).match("abc") is None
 
 
+def test_misspelled_short_terms_and_stems():
+    pick = random.Random(3)
+    terms = [("scum", False), ("oaf", False), ("grumb", True), ("zworka", True), ("blo", True)]
+    machine = toxicity.LexiconAutomaton(terms)
+    for _ in range(6000):
+        token = list(pick.choice(terms)[0] + pick.choice(["", "", "a", "mle"]))
+        for _ in range(pick.randint(0, 2)):
+            at = pick.randrange(len(token) + 1)
+            token[at : at + pick.randint(0, 1)] = pick.choice([[], ["a"], ["m"]])
+        token = "".join(token)
+        near = []
+        for term, stem in terms:
+            beginnings = [token[:i] for i in range(len(token) + 1)] if stem else [token]
+            fewest = min(distance(b, term) for b in beginnings)
+            near += [fewest] if fewest <= toxicity.edits_allowed(term, stem) else []
+        assert machine.match(token) == min(near, default=None), token
+    assert machine.match("scm") == machine.match("gumble") == 1 and machine.match("of") is machine.match("bo") is None
+    # a fifth of the documents hold variants that share three letters, so a stem takes the word's place
+    counts = {"clown$": (80, 0), "clown": (80, 0), "clow": (80, 0), "clo": (100, 0)}
+    terms = toxicity.choose_terms(counts, 100, 400)
+    covered = toxicity.covered_words(counts, terms, 100, 400)
+    assert terms == [("clo", True)] and covered == ["clown"]
+    model = toxicity.Model(tuple(terms), covered=tuple(covered))
+    assert toxicity.count_hits(model, "cloak clown c1own lown") == {"exact": 2, "fuzzy": 2, "quoted": 0, "directed": 0}
+    assert toxicity.misspelled_worth((9, 0), (0, 0), 100, 400) == pytest.approx(toxicity.worth(9, 0, 100, 400))
+    assert toxicity.misspelled_worth((9, 0), (1, 30), 100, 400) == 0
+
+
 def test_contexts():
     model = toxicity.Model((("clown", False), ("disgusting", False)), frozenset({"crown"}), (-3, 4, 3, 0, 1))
 
