@@ -27,8 +27,10 @@ CANDIDATES = 5000
 #: a term must be in so many toxic documents, and in so few others per toxic one; its log-likelihood ratio must be
 #: so high, and so high that of the keys that pass, this share at most is expected there by chance
 LEAST_DOCS, CLEAN_SHARE, LEAST_G, CHANCE = 4, 0.05, 15.0, 0.05
-#: smallest hashes by which near copies among the training documents are found
-MARKS = ("m1", "m2", "m3", "m4")
+#: smallest hashes by which near copies among the training documents are found, and how many must agree: most
+MARKS, AGREEING = 32, 17
+#: odd factors that make one hash many
+FACTORS = np.random.default_rng(7).integers(0, 2**63, MARKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEMS = range(3, 7)
 LONGEST = 24
 #: characters to either side of a hit that tell quotation from abuse
@@ -339,10 +341,22 @@ def covered_words(
 
 
 def sketch(text: str | None) -> list[int]:
-    """The smallest hashes of a text's runs of three tokens; near copies nearly always share one."""
+    """The smallest hashes of a text's runs of three tokens; of two texts, they agree as often as the runs do."""
     tokens = TOKEN.findall((text or "").lower())
     runs = {" ".join(tokens[i : i + 3]).encode() for i in range(max(1, len(tokens) - 2))}
-    return [min(zlib.crc32(run, salt) for run in runs) for salt in range(len(MARKS))]
+    hashed = np.array([zlib.crc32(run) + 1 for run in runs], dtype=np.uint64)
+    return [int((hashed * factor >> np.uint64(32)).min()) for factor in FACTORS]
+
+
+def distinct_sketches(sketches: np.ndarray) -> list[int]:
+    """The rows that are no near copy of an earlier row that stays."""
+    kept = np.empty_like(sketches)
+    places: list[int] = []
+    for place, row in enumerate(sketches):
+        if not ((kept[: len(places)] == row).sum(axis=1) >= AGREEING).any():
+            kept[len(places)] = row
+            places.append(place)
+    return places
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str, text: str) -> DataFrame:
@@ -358,15 +372,18 @@ def training_documents(docs: DataFrame, labels: DataFrame, rows: int, doc_id: st
     joined = settled(joined)
 
     def work(texts: list[str | None]) -> dict[str, list]:
-        found = [sketch(t) for t in texts]
-        return {mark: [f[i] for f in found] for i, mark in enumerate(MARKS)}
-
-    made = ", ".join(f"{mark} long" for mark in MARKS)
-    marked = map_texts(joined, [F.col("doc_id"), F.col("toxic")], "text", work, made)
-    for mark in MARKS:
-        first = F.min(F.struct("doc_id", *MARKS)).alias("first")
-        marked = marked.groupBy("toxic", mark).agg(first).select("toxic", "first.*")
-    return joined.join(F.broadcast(settled(marked.select("doc_id"))), "doc_id", "left_semi")
+        return {"sketch": [sketch(t) for t in texts]}
+
+    marked = map_texts(joined, [F.col("doc_id"), (F.col("toxic") > 0).alias("toxic")], "text", work, "sketch array<bigint>")
+    # at most ``rows`` lists of ``MARKS`` numbers come here, and all pairs of one label are compared
+    found = marked.orderBy("toxic", "doc_id").collect()
+    different = []
+    for label in (False, True):
+        same = [r for r in found if r["toxic"] == label]
+        sketches = np.array([r["sketch"] for r in same], dtype=np.int64).reshape(len(same), MARKS)
+        different += [(same[place]["doc_id"],) for place in distinct_sketches(sketches)]
+    ids = docs.sparkSession.createDataFrame(different, marked.select("doc_id").schema)
+    return joined.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model:

@@ -107,6 +107,17 @@ def test_learning_finds_words_and_stems(spark):
     assert toxicity.learn(docs.limit(0), known).terms == ()
 
 
+def test_only_near_copies_leave_the_training_documents(spark):
+    pick = random.Random(8)
+    passage = " ".join(f"common{i}" for i in range(30))
+    texts = [f"{passage} {' '.join(f'own{pick.randrange(10**6)}' for _ in range(60))}" for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts[:5])] + [(200, ""), (201, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 % 2 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    kept = [r["doc_id"] for r in toxicity.training_documents(docs, labels, 1000, "doc_id", "text").collect()]
+    assert sorted(kept) == [*range(60), 200, 201]
+
+
 def test_terms_of_a_small_group():
     # 1,000 toxic documents, 10 of them in a language of their own; 50,000 keys, a few of them there by chance
     counts = {"grumble$": (900, 3), "gruñón$": (10, 0), "casual$": (4, 0), "common$": (500, 2500)}
