@@ -1,9 +1,10 @@
 """Secret scans against a plain search, and the linking of parts against all pairs."""
 
+import hashlib
 import random
 import re
 
-from cartrail.llm import secret_scan
+from cartrail.llm import oracle, queries, secret_scan
 from tests.llm import messy
 
 KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
@@ -54,6 +55,33 @@ def test_spans_and_links(spark):
     assert "key" not in said[f"user_name: alice {'x' * 250} {KEY}"]
 
 
+def base_spans(text):
+    """Spans of the base kinds by the contract's patterns, which the operator has no part in."""
+    least = {"assign": (2, 8), "access": (0, 16), "hex": (0, 32)}
+    found = []
+    for i, (kind, (pattern, _)) in enumerate(oracle.SPANS.items()):
+        group, size = least[kind]
+        for m in re.finditer(pattern.replace("''", "'"), text):
+            if len(m.group(group)) >= size:
+                found.append((m.start(), i, kind, m.end()))
+    return [(kind, f"{kind}:{s}:{e}") for s, _, kind, e in sorted(found)]
+
+
+def test_query_against_the_contract(spark, tmp_path):
+    pick = random.Random(12)
+    texts = [" ".join(pick.choice(PIECES) for _ in range(pick.randint(0, 14))) for _ in range(300)] + ["", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
+    got = sorted(map(tuple, queries.op6_secrets(spark, str(tmp_path)).select(*columns).collect()))
+    expected = []
+    for i, text in enumerate(texts):
+        spans = base_spans(text or "")
+        counts = [sum(kind == k for kind, _ in spans) for k in oracle.SPANS]
+        expected.append((i, *counts, hashlib.sha256(",".join(s for _, s in spans).encode()).hexdigest()))
+    assert got == expected
+    assert all(sum(row[n] for row in expected) > 50 for n in (1, 2, 3))
+
+
 def test_messy_documents(spark):
     docs = messy.documents(spark)
     found = secret_scan.scan(docs).collect()
