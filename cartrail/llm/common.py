@@ -21,6 +21,10 @@ KEY_DIGITS = 13
 TEXTS_AT_ONCE = 256
 
 
+#: folders made for local sessions that name none, by application
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a local session without one gets a folder in /tmp.
 
@@ -29,12 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="cartrail-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    application = spark.sparkContext.applicationId
+    if application not in _own_dirs:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        _own_dirs[application] = tempfile.mkdtemp(prefix="cartrail-")
+    return _own_dirs[application]
 
 
 def settled(df: DataFrame) -> DataFrame:
