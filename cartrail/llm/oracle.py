@@ -238,6 +238,74 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
+#: words of letters and digits after A-Z became a-z; anything beyond ASCII is a letter
+LOWER_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc_id, {LOWER_WORDS} AS words FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {LOWER_WORDS} AS words FROM benchmark),
+sizes AS (SELECT item, words, least(len(words), 10) AS size FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item, size, array_to_string(words[i:i + size - 1], ' ') AS read
+  FROM (SELECT item, size, words, unnest(generate_series(1, len(words) - size + 1)) AS i FROM sizes)
+),
+places AS (
+  SELECT n, i, size, array_to_string(words[i:i + size - 1], ' ') AS read
+  FROM (SELECT n, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i FROM docs, (SELECT DISTINCT size FROM windows))
+),
+hits AS (SELECT n, i, size, item FROM places JOIN windows USING (size, read)),
+covered AS (
+  SELECT n, count(DISTINCT place) AS n_hit
+  FROM (SELECT DISTINCT n, unnest(generate_series(i, i + size - 1)) AS place FROM hits) GROUP BY n
+),
+named AS (
+  SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT n, item FROM hits) GROUP BY n
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered USING (n) LEFT JOIN named USING (n)
+"""
+
+OP13 = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS words FROM documents
+),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text),
+told AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(words) < 200,
+    100 * len(list_distinct(words)) < 50 * len(words),
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+    regexp_matches(text, '[#$%&*|]'),
+    coalesce(first_id < d.doc_id, false)
+  ] AS fails
+  FROM docs d JOIN firsts USING (text) LEFT JOIN told t ON d.doc_id = t.doc_id
+),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o
+  FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+steps AS (SELECT o, list_aggregate(list_transform(o, lambda f: chr(64 + f)), 'string_agg', '') AS filter_order, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders),
+told_apart AS (
+  SELECT part, filter_order, step, o[step] AS f, good, toxic, fails[o[step]] AS own,
+    len(list_filter(o[1:step - 1], lambda f: fails[f])) = 0 AS reached,
+    len(list_filter(fails, lambda x: x)) = 1 AS single
+  FROM failing, steps
+),
+counted AS (
+  SELECT part, filter_order, step, f, count(*) FILTER (reached AND NOT own) AS kept,
+    count(*) FILTER (reached AND own) AS removed, count(*) FILTER (own AND NOT reached) AS redundant,
+    count(*) FILTER (own AND single) AS unique_fails, count(*) FILTER (reached AND own AND good) AS good_lost,
+    count(*) FILTER (reached AND own AND toxic) AS toxic_lost
+  FROM told_apart GROUP BY ALL
+)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -247,4 +315,6 @@ def statements() -> dict[str, str]:
         "op7_rendezvous_shards": OP7,
         "op8_line_dedup": OP8,
         "op10_exact_topk": OP10,
+        "op11_decontaminate": OP11,
+        "op13_filter_audit": OP13,
     }

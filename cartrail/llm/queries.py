@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cartrail.llm import (
     bpe,
+    decontaminate,
+    filter_audit,
     host_quality,
     line_dedup,
     mixing,
@@ -121,6 +123,23 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.hit_words()
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = [
         op1_host_quality,
@@ -133,5 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_line_dedup,
         op9_bpe,
         op10_exact_topk,
+        op11_decontaminate,
+        op13_filter_audit,
     ]
     return {query.__name__: query for query in numbered}
