@@ -266,6 +266,89 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM docs LEFT JOIN covered USING (n) LEFT JOIN named USING (n)
 """
 
+OP12 = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS digits
+  FROM conversations
+),
+steps AS (
+  SELECT list(list_reduce([byte, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY byte) AS step
+  FROM (SELECT unnest(generate_series(0, 255)) AS byte)
+),
+summed AS (
+  SELECT * EXCLUDE (digits, step), xor(list_reduce(
+      [4294967295::BIGINT] || list_transform(generate_series(1, length(digits) - 1, 2), lambda i: ('0x' || substr(digits, i, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS harm
+  FROM keyed, steps
+),
+harmed AS (
+  SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE harm WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM summed WHERE harm <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    CASE substr(role, 1, 1) WHEN 's' THEN 's' WHEN 'u' THEN 'u' WHEN 'a' THEN 'a' ELSE '?' END AS initial,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM harmed
+),
+rows_ AS (
+  SELECT *, last = '' AS blank, last <> '' AND again AS duplicate, last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS truncated
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed)
+),
+reported AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM rows_) GROUP BY conv_id
+),
+inserted AS (
+  SELECT * FROM (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'), (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')) t(p, m, first)
+),
+legal AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) t(m, r, q)),
+edits AS (
+  SELECT p, m AS q, 3 + 2 * length(first) AS price, first || 'D' AS letters, 'any' AS needs FROM inserted
+  UNION ALL SELECT p, q, 2 * length(first), first || 'K', r FROM inserted JOIN legal USING (m)
+  UNION ALL SELECT p, q, 2 + 2 * length(first), first || 'R', 'good' FROM inserted JOIN legal USING (m) WHERE r <> 's'
+),
+best AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS p, 0::BIGINT AS cost, '' AS audit FROM reported
+  UNION ALL
+  (SELECT conv_id, i, q, cost, audit FROM (
+    SELECT b.conv_id, r.i, e.q, b.cost + e.price + (e.needs <> 'any' AND r.truncated)::BIGINT AS cost, b.audit || e.letters AS audit
+    FROM best b JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+    JOIN edits e ON e.p = b.p AND (e.needs = 'any' OR (NOT r.blank AND NOT r.duplicate AND (e.needs = 'good' OR e.needs = r.initial)))
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1)
+),
+cheapest AS (
+  SELECT b.conv_id, b.cost + t.price AS cost, b.audit || t.letters AS audit
+  FROM best b JOIN reported r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = r.n
+  JOIN (VALUES (0, 0, ''), (3, 0, ''), (2, 2, 'I'), (1, 4, 'II')) t(p, price, letters) ON t.p = b.p
+  QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + t.price, b.audit || t.letters) = 1
+),
+letters AS (
+  SELECT conv_id, audit, j, substr(audit, j, 1) AS letter, j - length(replace(audit[1:j], 'I', '')) AS inserts,
+    length(replace(audit[1:j], 'D', '')) AS place, length(replace(audit, 'D', '')) AS total
+  FROM (SELECT conv_id, audit, unnest(generate_series(1, length(audit))) AS j FROM cheapest)
+),
+repaired AS (
+  SELECT l.conv_id, string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN place % 2 = 1 - total % 2 THEN 'user' ELSE 'assistant' END
+      || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS lines
+  FROM letters l LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = j - inserts
+  WHERE letter <> 'D' GROUP BY l.conv_id
+),
+all_ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM all_ids a LEFT JOIN reported r ON a.conv_id IS NOT DISTINCT FROM r.conv_id
+LEFT JOIN cheapest c ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired p ON a.conv_id IS NOT DISTINCT FROM p.conv_id
+"""
+
 OP13 = rf"""
 WITH docs AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS words FROM documents
@@ -316,5 +399,6 @@ def statements() -> dict[str, str]:
         "op8_line_dedup": OP8,
         "op10_exact_topk": OP10,
         "op11_decontaminate": OP11,
+        "op12_repair_conversations": OP12,
         "op13_filter_audit": OP13,
     }

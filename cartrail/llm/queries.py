@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartrail.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     filter_audit,
     host_quality,
@@ -136,6 +137,27 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with damage that follows from a checksum of conversation and turn; ``harm`` 0 means that a row goes."""
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    harm = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn"))) % 20
+    held = conversations.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"), harm.alias("harm"))
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("harm") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    role = F.when(F.col("harm") == 4, "user").otherwise(F.col("role"))
+    return held.select("conv_id", "turn", role.alias("role"), text.alias("text"), "harm", copies.alias("copy"))
+
+
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    reports = conversation_repair.repair(rows.where("harm != 0").select("conv_id", "turn", "role", "text"))
+    gone = rows.groupBy("conv_id").agg(F.max("harm").alias("harm")).where("harm = 0")
+    return reports.unionByName(gone.select(*conversation_repair.untouched(F.col("conv_id"))))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -153,6 +175,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_bpe,
         op10_exact_topk,
         op11_decontaminate,
+        op12_repair_conversations,
         op13_filter_audit,
     ]
     return {query.__name__: query for query in numbered}
