@@ -10,15 +10,22 @@ from cartrail.llm.common import table
 from tests.llm import messy
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = {"op2_url_lists": "pages", "op10_exact_topk": "embeddings"}
+#: tables other than documents alone
+TABLES = {
+    "op2_url_lists": ["pages"],
+    "op10_exact_topk": ["embeddings"],
+    "op11_decontaminate": ["documents", "benchmark"],
+    "op12_repair_conversations": ["conversations"],
+    "op13_filter_audit": ["documents", "labels"],
+}
 SQL = oracle.statements()
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 @pytest.mark.parametrize("name", SQL)
 def test_query(spark, name):
-    read = TABLES.get(name, "documents")
-    columns, expected = messy.oracle_rows(SQL[name], **{read: table(spark, SF_DIR, read)})
+    read = TABLES.get(name, ["documents"])
+    columns, expected = messy.oracle_rows(SQL[name], **{t: table(spark, SF_DIR, t) for t in read})
     messy.same_rows(queries.queries()[name](spark, SF_DIR), columns, expected)
 
 
