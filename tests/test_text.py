@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from cartrail.plans import text
@@ -78,3 +80,100 @@ def test_scored_reviews_read_and_move_a_text_once(spark, lexicon, tmp_path):
     build(spark).reviews.write.parquet(str(tmp_path / "r"))
     plan = text.scored_reviews(spark.read.parquet(str(tmp_path / "r")), lexicon)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+MODIFIED = [
+    ("good", "polarity", 0.5), ("bad", "polarity", -0.7), ("great", "polarity", 0.9), ("very", "intensifier", 1.3), ("slightly", "intensifier", 0.5),
+    ("not", "negation", -0.5), ("never", "negation", -0.8), ("no good", "polarity", -0.6), ("no", "negation", -0.5),
+    ("not only", "intensifier", 1.2), ("no good at all", "polarity", -0.95), ("Très  Bien", "polarity", 0.8), ("-", "polarity", 1.0),
+]
+
+
+@pytest.fixture(scope="module")
+def modified(spark):
+    return spark.createDataFrame(MODIFIED, "word string, kind string, polarity double")
+
+
+def fold(words):
+    """The rules of the module's docstring, over the words of one sentence."""
+    known = {word.lower().replace("  ", " "): (kind, value) for word, kind, value in MODIFIED}
+    found, i, turn, turns_to, boost, boosts_at = [], 0, 1.0, -1, 1.0, -1
+    while i < len(words):
+        size = next((n for n in (4, 3, 2, 1) if i + n <= len(words) and " ".join(words[i : i + n]) in known), 0)
+        if not size:
+            i += 1
+            continue
+        kind, value = known[" ".join(words[i : i + size])]
+        if kind == "intensifier":
+            boost, boosts_at = (value * boost if boosts_at == i else value), i + size
+        elif kind == "negation":
+            turn, turns_to = (value * turn if i <= turns_to else value), i + size + 2
+        else:
+            value *= boost if boosts_at == i else 1
+            value *= turn if i <= turns_to else 1
+            found.append(max(-1.0, min(1.0, value)))
+            turns_to = boosts_at = -1
+        i += size
+    return found
+
+
+CASES = {
+    "good": 0.5, "not good": -0.25, "very good": 0.65, "not very good": -0.325, "very very good": 0.845, "very great": 1.0,
+    "not a good": -0.25, "not one two good": -0.25, "not one two three good": 0.5, "not. good": 0.5, "Not good, good!": 0.125,
+    "no good": -0.6, "no good at": -0.6, "no good at all": -0.95, "not only good": 0.6, "never not good": 0.2, "not never bad": -0.28,
+    "slightly, bad": -0.35, "slightly so bad": -0.7, "TRÈS BIEN": 0.8, "très. bien": 0.0, "very": 0.0, "": 0.0, "not no good": 0.3,
+    "very not good": -0.25, "good bad": -0.1,
+}
+
+
+def test_order_of_words_counts(spark, modified):
+    texts = list(CASES)
+    reviews = spark.createDataFrame(list(enumerate(texts)), "ReviewID bigint, ReviewText string")
+    found = {texts[r.ReviewID]: round(r.SentimentScore, 4) for r in text.text_polarity(reviews, modified).collect()}
+    assert found == CASES
+
+
+def test_random_texts_against_a_plain_fold(spark, modified):
+    pick = random.Random(11)
+    vocabulary = "good bad great very slightly not never no only at all thing très bien".split()
+    held = []
+    for i in range(300):
+        sentences = [[pick.choice(vocabulary) for _ in range(pick.randint(0, 12))] for _ in range(pick.randint(1, 4))]
+        weights = [w for sentence in sentences for w in fold(sentence)]
+        held.append((i, ". ".join(map(" ".join, sentences)), sum(weights) / len(weights) if weights else 0.0))
+    reviews = spark.createDataFrame([h[:2] for h in held], "ReviewID bigint, ReviewText string")
+    found = {r.ReviewID: r.SentimentScore for r in text.text_polarity(reviews, modified).collect()}
+    assert all(abs(found[i] - score) < 2e-3 for i, _, score in held)  # weights are rounded to ten-thousandths
+
+
+def test_a_large_lexicon_is_joined_and_scores_alike(spark, modified, monkeypatch):
+    pick = random.Random(5)
+    held = [(pick.randint(0, 90), ". ".join(pick.choice(list(CASES)) for _ in range(pick.randint(0, 6)))) for _ in range(400)]
+    reviews = spark.createDataFrame(held, "ReviewID bigint, ReviewText string")
+    inline = rows(text.text_polarity(reviews, modified))
+    assert "Exchange" not in text.text_polarity(reviews, modified)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(text, "INLINE", 3)
+    assert rows(text.text_polarity(reviews, modified)) == inline
+
+
+@pytest.mark.parametrize("inline", [3, 100])
+def test_modified_scores_keep_every_row(spark, modified, conf, monkeypatch, inline):
+    monkeypatch.setattr(text, "INLINE", inline)
+    held = [(None, "not good")] * 3 + [(1, "not good"), (1, "not good"), (1, None), (2, ""), (3, "filler. " * 20000 + "not bad")]
+    reviews = spark.createDataFrame([(i, 4, t) for i, t in held], "ReviewID bigint, Rating int, ReviewText string")
+    expected = sorted(((i, t, 0.35 if t and "bad" in t else -0.25 if t else 0.0) for i, t in held), key=str)
+    for threshold in ("10m", "-1"):
+        conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+        found = [(r.ReviewID, r.ReviewText, round(r.Sentiment, 9)) for r in text.scored_reviews(reviews, modified).collect()]
+        assert sorted(found, key=str) == expected
+    assert ordered(text.negative_polarity_gate(reviews, modified, max_rating=4))[0][:1] == (8,)
+    assert text.text_polarity(reviews, modified.limit(0)).selectExpr("max(abs(SentimentScore))").first()[0] == 0.0
+
+
+def test_equal_rows_meet_as_one_set(spark, modified, monkeypatch):
+    """A hot text brings its places once to the task that folds it: what is collected is a set, summed in every task."""
+    monkeypatch.setattr(text, "INLINE", 0)
+    reviews = spark.range(100).selectExpr("CAST(NULL AS bigint) AS ReviewID", "'not good' AS ReviewText")
+    plan = text.text_polarity(reviews, modified)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in plan
+    assert [(r.SentimentScore) for r in text.text_polarity(reviews, modified).collect()] == [-0.25] * 100

@@ -19,6 +19,16 @@ LEXICON = {
     "not": -0.6, "all": 0.5, "no": -0.7, "best": 0.9, "complaint": -0.5, "type": -0.1, "café": 0.8, "it's": -0.8,
 }
 
+#: a lexicon with phrases and modifiers, made up from words and runs of words that occur
+MODIFIED_LEXICON = [
+    *[(word, "polarity", polarity) for word, polarity in LEXICON.items() if word not in ("not", "no", "all", "is", "it's", "of")],
+    ("not", "negation", -0.5), ("no", "negation", -0.8), ("ne", "negation", -1.0), ("nicht", "negation", -0.75),
+    ("all", "intensifier", 1.5), ("is", "intensifier", 0.7), ("it's", "intensifier", 1.3), ("the on", "intensifier", 1.2),
+    ("good", "polarity", 0.7), ("of the", "polarity", -0.45), ("in the", "polarity", 0.55), ("no reply at all", "polarity", -0.9),
+    ("of", "intensifier", 0.9), ("de la", "polarity", -0.65), ("not as shown", "polarity", -0.85), ("not only", "intensifier", 1.4),
+    ("en de", "negation", -0.6), ("for the with", "polarity", 0.95),
+]
+
 #: review texts, one for each last digit of a supplier; words of the lexicon and runs of blanks occur
 PHRASES = (
     "no  reply at all", "complaint  type of the", "not  as shown", "best of  all", "the usual",
@@ -56,6 +66,11 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, polarity)")
 
 
+def modified_lexicon(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"""("{word}", "{kind}", {polarity}D)""" for word, kind, polarity in MODIFIED_LEXICON)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, kind, polarity)")
+
+
 _LINE_ID = "l_orderkey * 10 + l_linenumber"
 
 

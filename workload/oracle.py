@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cartrail import schemas
 from cartrail.plans import wording
-from workload.binding import LEXICON, PHRASES
+from workload.binding import LEXICON, MODIFIED_LEXICON, PHRASES
 
 _CASED = "CASE ({by}) % 3 WHEN 0 THEN upper({c}) WHEN 1 THEN lower({c}) ELSE {title} END"
 
@@ -243,6 +243,45 @@ means AS (
 scored AS (SELECT {kept}, coalesce(score, CAST(0 AS DOUBLE)) AS SentimentScore FROM numbered LEFT JOIN means USING (n))"""
 
 
+def _quoted(word: str) -> str:
+    return "'" + word.replace("'", "''") + "'"
+
+
+def _scored_in_order(source: str, *columns: str) -> str:
+    """Mean polarity per row of ``source`` under the lexicon with phrases and modifiers: a fold over its hits."""
+    kept = ", ".join(columns)
+    entries = ", ".join(f"({_quoted(word)}, '{kind}', {round(value * 10000)}::BIGINT)" for word, kind, value in MODIFIED_LEXICON)
+    times = "CAST(round({} * {} / 10000::DOUBLE) AS BIGINT)"
+    boosted = f"CASE WHEN s.boosts_at = h.place THEN {times.format('h.weight', 's.boost')} ELSE h.weight END"
+    weight = f"CASE WHEN h.place <= s.turns_to THEN {times.format(f'({boosted})', 's.turn')} ELSE {boosted} END"
+    again = f"CASE WHEN h.place <= s.turns_to THEN {times.format('h.weight', 's.turn')} ELSE h.weight END"
+    state = "{{'free': {}, 'total': {}, 'n': {}, 'turn': {}, 'turns_to': {}, 'boost': {}, 'boosts_at': {}}}"
+    none = ("1::BIGINT", "-1::BIGINT", "1::BIGINT", "-1::BIGINT")
+    intensified = state.format("h.place + h.size", "s.total", "s.n", "s.turn", "s.turns_to", boosted, "h.place + h.size")
+    negated = state.format("h.place + h.size", "s.total", "s.n", again, "h.place + h.size + 2", "s.boost", "s.boosts_at")
+    counted = state.format("h.place + h.size", f"s.total + greatest(-10000, least(10000, {weight}))", "s.n + 1", *none)
+    return rf"""entries(phrase, kind, weight) AS (VALUES {entries}),
+numbered AS (SELECT *, row_number() OVER () AS n FROM {source}),
+sentences AS (
+  SELECT n, generate_subscripts(parts, 1) AS sentence, unnest(parts) AS part
+  FROM (SELECT n, regexp_split_to_array(lower(ReviewText), '[.!?]+') AS parts FROM numbered)),
+spelled AS (SELECT n, sentence, regexp_extract_all(part, '\p{{L}}+(?:[''’]\p{{L}}+)*') AS words FROM sentences),
+places AS (SELECT n, sentence, words, unnest(generate_series(1, len(words))) AS i FROM spelled),
+hits AS (
+  SELECT n, sentence * 4294967296 + i AS place, len(string_split(phrase, ' ')) AS size, kind, weight
+  FROM places JOIN entries ON words[i] = split_part(phrase, ' ', 1)
+    AND array_to_string(words[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase
+  QUALIFY row_number() OVER (PARTITION BY n, sentence, i ORDER BY len(string_split(phrase, ' ')) DESC) = 1),
+folded AS (
+  SELECT n, list_reduce(list({{'place': place, 'size': size, 'kind': kind, 'weight': weight}} ORDER BY place), lambda s, h: CASE
+      WHEN h.place < s.free THEN s WHEN h.kind = 'intensifier' THEN {intensified} WHEN h.kind = 'negation' THEN {negated} ELSE {counted} END,
+    {state.format('-1::BIGINT', '0::BIGINT', '0::BIGINT', *none)}) AS f
+  FROM hits GROUP BY n),
+scored AS (
+  SELECT {kept}, CASE WHEN f.n > 0 THEN CAST(f.total AS DOUBLE) / CAST(f.n * 10000 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS SentimentScore
+  FROM numbered LEFT JOIN folded USING (n))"""
+
+
 _DOCUMENTS = "(SELECT doc_id AS ReviewID, text AS ReviewText FROM documents)"
 _RATED_DOCUMENTS = """(SELECT doc_id AS ReviewID, text AS ReviewText, CASE WHEN toxic = 1 AND quality <> 1 THEN 1
   WHEN quality <> 1 THEN 2 WHEN toxic = 1 THEN 3 ELSE 5 END AS Rating FROM documents JOIN labels USING (doc_id))"""
@@ -768,6 +807,16 @@ def statements() -> dict[str, str]:
         "negative_polarity_gate_open": _sql(
             _gate("0.9"), _reviews_scored(f"(SELECT * FROM {_RATED_DOCUMENTS} WHERE Rating <= 2)", "ReviewID")
         ),
+        "text_polarity_in_order": _sql(
+            """SELECT *, CASE WHEN SentimentScore > 0 THEN 'Positive' WHEN SentimentScore < 0 THEN 'Negative'
+            ELSE 'Neutral' END AS SentimentCategory FROM scored""",
+            _scored_in_order(_DOCUMENTS, "ReviewID"),
+        ),
+        "scored_reviews_in_order": _sql(
+            "SELECT ReviewID, Rating, ReviewText, SentimentScore AS Sentiment FROM scored",
+            _scored_in_order("raw_reviews", "ReviewID", "Rating", "ReviewText"),
+        ),
+        "negative_polarity_gate_in_order": _sql(_gate("-0.1"), _scored_in_order(low_reviews, "ReviewID")),
         "recs_strategic": _sql(_strategic()),
         "recs_marketing": _sql(_marketing()),
         "recs_experience": _sql(_experience(), _reviews_scored(low_reviews, "ReviewID")),

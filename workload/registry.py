@@ -236,6 +236,20 @@ def _polarity_gate(spark: SparkSession, sf_dir: str, threshold: float = -0.2) ->
     return text.negative_polarity_gate(binding.rated_documents(spark, sf_dir), binding.lexicon(spark), threshold=threshold)
 
 
+def _modified_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.text_sentiment(binding.documents(spark, sf_dir), binding.modified_lexicon(spark))
+
+
+def _modified_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short reviews, some of them twice, with their scores."""
+    reviews = binding.raw_tables(spark, sf_dir)["customer_reviews"].select("ReviewID", "Rating", "ReviewText")
+    return text.scored_reviews(reviews, binding.modified_lexicon(spark))
+
+
+def _modified_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.negative_polarity_gate(binding.star(spark, sf_dir).reviews, binding.modified_lexicon(spark), threshold=-0.1)
+
+
 def _experience(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, words = binding.star(spark, sf_dir), binding.lexicon(spark)
     return recommend.experience_lines(star, words, purchase=is_checkout_purchase())
@@ -401,6 +415,9 @@ def queries() -> dict[str, Query]:
         "text_sentiment_class": _text_sentiment,
         "negative_polarity_gate": _polarity_gate,
         "negative_polarity_gate_open": lambda spark, sf_dir: _polarity_gate(spark, sf_dir, 0.9),
+        "text_polarity_in_order": _modified_polarity,
+        "scored_reviews_in_order": _modified_reviews,
+        "negative_polarity_gate_in_order": _modified_gate,
         # recommendations
         "recs_strategic": _report(recommend.strategic),
         "recs_marketing": _report(recommend.marketing_lines),
