@@ -1,7 +1,7 @@
 """Declared schemas of the six tables: three facts, three dimensions.
 
 Fixed values: column names, their order and their types are the data model every query relies on.
-The primary keys are expectations, checked by ``operators.profile.key_uniqueness``; nothing enforces them.
+The keys are checked by ``operators.keys.quarantine`` before a load, and counted by ``operators.profile.key_uniqueness``.
 """
 
 from __future__ import annotations
@@ -61,6 +61,14 @@ PRIMARY_KEYS: dict[str, str] = {
     "products": "ProductID",
 }
 
+#: columns that name a row of another table; that table's primary key has the same name
+FOREIGN_KEYS: dict[str, dict[str, str]] = {
+    "customers": {"GeographyID": "geography"},
+    "customer_journey": {"CustomerID": "customers", "ProductID": "products"},
+    "customer_reviews": {"CustomerID": "customers", "ProductID": "products"},
+    "engagement_data": {"ProductID": "products"},
+}
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: declared names, order and types; a missing column is an error."""
