@@ -1,7 +1,8 @@
 """Cleaning steps, table to table, and the per-table pipelines made of them.
 
 Every step is a projection or a filter except the two that remove duplicates, and those aggregate before
-they shuffle: copies of one row, or of one key, collapse inside each task first.
+they shuffle: copies of one row, or of one key, collapse inside each task first. Rows with long texts are told
+apart by fingerprints.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartrail.operators.duplicates import distinct_rows
+
 # What replaces a missing value, and the accepted age range.
 MISSING_DURATION = 0.0
 MISSING_REVIEW = "No review"
@@ -59,8 +62,9 @@ def keep_positive(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) > 0)
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    return df.distinct()
+def drop_duplicate_rows(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Every row once. With ``wide`` rows move only where they may be repeated (``duplicates.distinct_rows``)."""
+    return distinct_rows(df) if wide else df.distinct()
 
 
 def keep_first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -114,7 +118,7 @@ def clean_journey(raw: DataFrame) -> DataFrame:
 
 def clean_reviews(raw: DataFrame) -> DataFrame:
     filled = fill_missing(raw, {"ReviewText": MISSING_REVIEW})
-    return drop_duplicate_rows(strip_blanks(filled, "ReviewText"))
+    return drop_duplicate_rows(strip_blanks(filled, "ReviewText"), wide=True)
 
 
 def clean_customers(raw: DataFrame, order: str) -> DataFrame:

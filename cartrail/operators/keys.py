@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartrail import schemas
-from cartrail.operators.membership import bloom_words, may_contain
+from cartrail.operators.membership import key_filter
 from cartrail.sources.sinks import work_dir
 
 MISSING, REPEATED, ORPHAN = "no key", "repeated key", "no row in "
@@ -19,10 +19,17 @@ REASON = "reason"
 
 @dataclass(frozen=True)
 class Checked:
-    """The rows that keep all keys, and those that don't, with a column ``reason``; by table name."""
+    """All rows by table name, with a column ``reason`` that is NULL for those that keep all keys."""
 
-    good: dict[str, DataFrame]
-    bad: dict[str, DataFrame]
+    told: dict[str, DataFrame]
+
+    @property
+    def good(self) -> dict[str, DataFrame]:
+        return {name: df.where(f"{REASON} IS NULL").drop(REASON) for name, df in self.told.items()}
+
+    @property
+    def bad(self) -> dict[str, DataFrame]:
+        return {name: df.where(f"{REASON} IS NOT NULL") for name, df in self.told.items()}
 
     def report(self) -> DataFrame:
         """``(table_name, reason, rows)`` of the rows set aside."""
@@ -39,7 +46,7 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _bad_keys(df: DataFrame, key: str, foreign: Mapping[str, str], good: Mapping[str, DataFrame], primary: Mapping[str, str]) -> DataFrame:
+def _bad_keys(df: DataFrame, key: str, foreign: Mapping[str, str], known: Mapping[str, DataFrame]) -> DataFrame:
     """``(column, key)``: keys of ``df`` that occur twice, and those that its other tables don't have.
 
     One shuffle for all key columns: rows are unfolded into (column, key) pairs, counted inside each task.
@@ -48,25 +55,22 @@ def _bad_keys(df: DataFrame, key: str, foreign: Mapping[str, str], good: Mapping
     cells = ", ".join(f"'{name}', CAST(`{name}` AS STRING)" for name in names)
     pairs = df.selectExpr(f"stack({len(names)}, {cells}) AS (column, key)").where("key IS NOT NULL")
     counted = pairs.groupBy("column", "key").agg(F.expr("count(*) AS rows"))
-    known = [
-        good[table].select(F.lit(column).alias("column"), F.col(f"`{primary[table]}`").cast("string").alias("key"))
-        for column, table in foreign.items()
-    ]
+    there = [known[table].select(F.lit(column).alias("column"), "key") for column, table in foreign.items()]
     repeated = F.col("column") == key
     bad = counted.where(repeated & (F.col("rows") > 1)).select("column", "key")
-    if known:
-        orphans = counted.where(~repeated).join(reduce(DataFrame.unionByName, known), ["column", "key"], "left_anti")
+    if there:
+        orphans = counted.where(~repeated).join(reduce(DataFrame.unionByName, there), ["column", "key"], "left_anti")
         bad = bad.unionByName(orphans.select("column", "key"))
     return bad
 
 
-def _check(df: DataFrame, key: str, foreign: Mapping[str, str], good: Mapping[str, DataFrame], primary: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    bad_keys = _written(_bad_keys(df, key, foreign, good, primary))
-    words = bloom_words(bad_keys)
+def _check(df: DataFrame, key: str, foreign: Mapping[str, str], known: Mapping[str, DataFrame]) -> DataFrame:
+    bad_keys = _written(_bad_keys(df, key, foreign, known))
+    bad = key_filter(bad_keys)
     suspect = F.col(f"`{key}`").isNull()
     for name in (key, *foreign):
         value = F.col(f"`{name}`").cast("string")
-        suspect = suspect | (value.isNotNull() & may_contain(words, F.lit(name), value))
+        suspect = suspect | (value.isNotNull() & bad.may_contain(F.lit(name), value))
     # only what the filter lets through meets the bad keys; the rest stays where it is
     told = df.where(suspect)
     reasons = [F.when(F.col(f"`{key}`").isNull(), MISSING)]
@@ -74,9 +78,8 @@ def _check(df: DataFrame, key: str, foreign: Mapping[str, str], good: Mapping[st
         mine = bad_keys.where(F.col("column") == name).select(F.col("key").alias(f"_key{i}"))
         told = told.join(mine, F.col(f"`{name}`").cast("string") == F.col(f"_key{i}"), "left")
         reasons.append(F.when(F.col(f"_key{i}").isNotNull(), REPEATED if name == key else ORPHAN + foreign[name]))
-    told = told.withColumn(REASON, F.coalesce(*reasons)).select(*[f"`{c}`" for c in df.columns], REASON)
-    cleared = told.where(f"{REASON} IS NULL").drop(REASON)
-    return df.where(~suspect).unionByName(cleared), told.where(f"{REASON} IS NOT NULL")
+    told = told.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(*reasons).alias(REASON))
+    return df.where(~suspect).withColumn(REASON, F.lit(None).cast("string")).unionByName(told)
 
 
 def quarantine(
@@ -92,14 +95,18 @@ def quarantine(
     shuffled are keys, counted per task; rows move only if the filter of bad keys lets them through, so a
     clean table is read twice and never shuffled. Tables are computed when this is called, and again when used.
     """
-    good: dict[str, DataFrame] = {}
-    bad: dict[str, DataFrame] = {}
+    told: dict[str, DataFrame] = {}
+    known: dict[str, DataFrame] = {}
+    named = {table for columns in foreign.values() for table in columns.values()}
     waiting = dict(tables)
     while waiting:
         ready = [n for n in waiting if not set(foreign.get(n, {}).values()) & (set(waiting) - {n})]
         if not ready:
             raise ValueError(f"tables name each other: {sorted(waiting)}")
         for name in ready:
-            named = {column: table for column, table in foreign.get(name, {}).items() if table in good}
-            good[name], bad[name] = _check(waiting.pop(name), primary[name], named, good, primary)
-    return Checked({name: good[name] for name in tables}, {name: bad[name] for name in tables})
+            columns = {column: table for column, table in foreign.get(name, {}).items() if table in known}
+            told[name] = _check(waiting.pop(name), primary[name], columns, known)
+            if name in named:
+                good = told[name].where(f"{REASON} IS NULL")
+                known[name] = _written(good.select(F.col(f"`{primary[name]}`").cast("string").alias("key")))
+    return Checked({name: told[name] for name in tables})

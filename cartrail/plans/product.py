@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartrail.functions.metrics import is_checkout_purchase, is_drop_off, pct, rounded_ratio
 from cartrail.operators.joins import lookup_join
+from cartrail.operators.profile import correlation_matrix
 from cartrail.operators.summaries import journeys_per, purchases_per, ratings_per
 from cartrail.star import Star
 
@@ -136,6 +137,14 @@ def rating_purchase_correlation(star: Star) -> DataFrame:
     )
 
 
+def product_correlations(star: Star) -> DataFrame:
+    """Correlations of price, ratings and purchases over products; those without a review or journey count where they can."""
+    rated = product_ratings(star).select("ProductID", "Avg_Rating", "Review_Count")
+    bought = product_purchases(star).select("ProductID", "Total_Purchases")
+    every = star.products.select("ProductID", "Price").join(rated, "ProductID", "left").join(bought, "ProductID", "left")
+    return correlation_matrix(every, "Price", "Avg_Rating", "Review_Count", "Total_Purchases")
+
+
 def dropoff_rate(star: Star) -> DataFrame:
     """Share of a stage's journeys that are drop-offs."""
     per_stage = star.journey.groupBy("Stage").agg(

@@ -55,8 +55,8 @@ def test_a_hot_key_and_a_small_filter(spark, conf, monkeypatch, threshold):
         (j, "repeated key" if j == 9999 or j % 50 == 0 else "no row in customers") for j, c, *_ in held if j == 9999 or j % 50 == 0 or c >= 30
     )
     for bits in (1 << 20, 64):
-        monkeypatch.setattr(membership, "BITS", bits)
-        monkeypatch.setattr(membership, "_PLACE", bits.bit_length() - 1)
+        monkeypatch.setattr(membership, "LEAST_BITS", bits)
+        monkeypatch.setattr(membership, "MOST_BITS", bits)
         checked = keys.quarantine(named)
         assert sorted(rows(checked.bad["customer_journey"].select("JourneyID", "reason"))) == expected
         assert checked.good["customer_journey"].count() == len(held) - len(expected)
@@ -81,8 +81,8 @@ def test_empty_tables_and_circles(spark):
 
 def test_a_filter_never_loses_a_key(spark):
     seen = spark.range(0, 5000, 7).selectExpr("concat('k', id) AS key")
-    words = membership.bloom_words(seen)
+    held = membership.key_filter(seen)
     asked = spark.range(5000).selectExpr("id", "concat('k', id) AS key")
-    found = {r.id for r in asked.where(membership.may_contain(words, asked.key)).collect()}
-    assert set(range(0, 5000, 7)) <= found and len(found) < 800
-    assert asked.where(membership.may_contain([0] * 8, asked.key)).count() == 0
+    found = {r.id for r in asked.where(held.may_contain(asked.key)).collect()}
+    assert set(range(0, 5000, 7)) <= found and len(found) < 760
+    assert asked.where(membership.KeyFilter((0,) * 8).may_contain(asked.key)).count() == 0

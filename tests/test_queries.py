@@ -14,6 +14,7 @@ QUERIES, SQL = registry.queries(), oracle.statements()
 WRITES = {
     "load_overwrite", "load_report", "reviews_scored_csv", "recs_text", "findings_text", "text_report", "csv_rejects",
     "clean_customers", "clean_reviews", "clean_engagement", "clean_geography", "clean_products",
+    "load_versions", "load_versions_report",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")

@@ -556,6 +556,62 @@ def _case_counts() -> str:
     )
 
 
+def _load_versions() -> str:
+    return """SELECT 'customer_journey' AS table_name, JourneyID AS key, Stage AS value FROM clean_journey
+      UNION ALL SELECT 'products', ProductID, ProductName FROM clean_products WHERE Price > 1000"""
+
+
+def _load_versions_report() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, 'loaded' AS status, count(*) AS "rows", 2::BIGINT AS version FROM {view}"""
+        for name, view in _CLEANED.items()
+    )
+
+
+def _key_check() -> str:
+    """Tables after those they name, each with the reason of every row."""
+    faulty = {**_RAW, "customer_journey": "(SELECT * REPLACE (CASE WHEN JourneyID % 97 <> 0 THEN JourneyID END AS JourneyID) FROM raw_journey)"}
+    views, selects = [], []
+    for name in ("geography", "products", "customers", "customer_journey", "customer_reviews", "engagement_data"):
+        key = schemas.PRIMARY_KEYS[name]
+        reasons = [f"WHEN {key} IS NULL THEN 'no key'", f"WHEN count(*) OVER (PARTITION BY {key}) > 1 THEN 'repeated key'"]
+        for column, table in schemas.FOREIGN_KEYS.get(name, {}).items():
+            known = f"(SELECT {column} FROM told_{table} WHERE reason = 'good')"
+            reasons.append(f"WHEN {column} IS NOT NULL AND {column} NOT IN {known} THEN 'no row in {table}'")
+        views.append(f"told_{name} AS (SELECT *, CASE {' '.join(reasons)} ELSE 'good' END AS reason FROM {faulty[name]})")
+        selects.append(
+            f"""SELECT '{name}' AS table_name, reason, count(*) AS "rows", CAST(sum({key}) AS BIGINT) AS keys FROM told_{name} GROUP BY 2"""
+        )
+    return _sql(" UNION ALL ".join(selects), *views)
+
+
+def _drawn(key: str = "CustomerID") -> str:
+    return f"md5('7' || chr(31) || '0' || chr(31) || {key})"
+
+
+def _sketch_check() -> str:
+    selects = []
+    for name in ("customer_journey", "customers", "products"):
+        for field in schemas.RAW[name]:
+            selects.append(
+                f"""SELECT '{name}' AS table_name, '{field.name}' AS column_name, count(*) AS "rows",
+                count(*) - count({field.name}) AS nulls, true AS close FROM {_RAW[name]}"""
+            )
+    return " UNION ALL ".join(selects)
+
+
+def _correlations() -> str:
+    names = ("Price", "Avg_Rating", "Review_Count", "Total_Purchases")
+    pairs = " UNION ALL ".join(
+        "SELECT '{}' AS column_name, {} FROM every".format(a, ", ".join(f"round(corr({a}, {b}), 6) AS {b}" for b in names)) for a in names
+    )
+    every = f"""every AS (
+      SELECT CAST(Price AS DOUBLE) AS Price, Avg_Rating, Review_Count, Total_Purchases FROM products
+      LEFT JOIN (SELECT ProductID, {_avg("Rating", 2)} AS Avg_Rating, count(ReviewID) AS Review_Count FROM {_RP} GROUP BY 1) USING (ProductID)
+      LEFT JOIN (SELECT ProductID, {_count_where(_CHECKOUT_BUY)} AS Total_Purchases FROM {_JP} GROUP BY 1) USING (ProductID))"""
+    return _sql(pairs, every)
+
+
 def _retained(where: str) -> str:
     return f"""SELECT count(DISTINCT CustomerID) AS Total_Customers, {_count_where("visits > 1")} AS Retained_Customers,
       {_pct(_count_where("visits > 1"), "count(DISTINCT CustomerID)")} AS Retention_Rate
@@ -600,6 +656,28 @@ def statements() -> dict[str, str]:
         **core,
         "load_overwrite": _sql(f"SELECT {_JOURNEY_COLUMNS} FROM clean_journey", _CLEAN),
         "load_report": _sql(_load_report(), _CLEAN),
+        "load_versions": _sql(_load_versions(), _CLEAN),
+        "load_versions_report": _sql(_load_versions_report(), _CLEAN),
+        "key_check": _key_check(),
+        "profile_sample_rows": _sql(f"SELECT CustomerID, Gender, Age FROM customers ORDER BY {_drawn()} LIMIT 40"),
+        "profile_sample_weighted": _sql(
+            f"""SELECT CustomerID, Gender, Age FROM customers
+            ORDER BY -ln((CAST('0x' || substr({_drawn()}, 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE)) / Age LIMIT 40"""
+        ),
+        "profile_sample_strata": _sql(
+            f"SELECT CustomerID, Gender, Age FROM customers QUALIFY row_number() OVER (PARTITION BY Gender ORDER BY {_drawn()}) <= 7"
+        ),
+        "profile_sketch": _sql(_sketch_check()),
+        "retention_by_month": _sql(
+            """SELECT CAST(CAST(period AS DATE) AS VARCHAR) AS period, count(*) AS customers,
+            CASE WHEN following IS NOT NULL THEN count(*) FILTER (again) END AS returning
+            FROM (SELECT *, (CustomerID, following) IN (SELECT (CustomerID, period) FROM visited) AS again
+              FROM visited JOIN (SELECT period, lead(period) OVER (ORDER BY period) AS following FROM (SELECT DISTINCT period FROM visited)) USING (period))
+            GROUP BY period, following""",
+            "visited AS (SELECT DISTINCT CustomerID, date_trunc('month', VisitDate) AS period FROM journey WHERE CustomerID IS NOT NULL)",
+        ),
+        "customers_over_days": _sql(f"SELECT count(DISTINCT CustomerID) AS customers FROM journey WHERE {_BUY}"),
+        "correlation_matrix": _correlations(),
         "reviews_scored_csv": _sql(
             "SELECT ReviewID, ProductID, Rating, ReviewText, SentimentScore AS Sentiment FROM scored",
             _reviews_scored(

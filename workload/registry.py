@@ -17,9 +17,10 @@ from cartrail.functions.metrics import (
     rating_sentiment,
     score_label,
 )
-from cartrail.operators import clean, profile
+from cartrail.operators import clean, keys, profile
 from cartrail.plans import customer, experience, marketing, product, recommend, text, text_report
 from cartrail.sources import readers, sinks
+from cartrail.sources.versions import VersionedTables
 from workload import binding
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +181,44 @@ def _sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sampled(**options: object) -> Query:
+    """Customers drawn by their id."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        people = binding.star(spark, sf_dir).customers.select("CustomerID", "Gender", "Age")
+        if "strata" in options:
+            return profile.sample_strata(people, 7, by=["CustomerID"], seed=7, **options)
+        return profile.sample_rows(people, 40, seed=7, by=["CustomerID"], **options)
+
+    return query
+
+
+def _sketch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and NULLs of every column, and whether the estimate of its distinct values is within the stated error."""
+    tables = {name: df for name, df in _profiled(spark, sf_dir).items() if name in ("customer_journey", "customers", "products")}
+    exact = []
+    for name, df in tables.items():
+        one = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
+        cells = ", ".join(f"'{c}', `{c}`" for c in df.columns)
+        exact.append(one.selectExpr(f"'{name}' AS table_name", f"stack({len(df.columns)}, {cells}) AS (column_name, exact)"))
+    sketched = profile.sketch_profile(tables).join(reduce(DataFrame.unionByName, exact), ["table_name", "column_name"])
+    close = F.abs(F.col("distinct") - F.col("exact")) <= F.col("exact") * profile.DISTINCT_ERROR
+    return sketched.select("table_name", "column_name", "rows", "nulls", close.alias("close"))
+
+
+def _retention_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of each month and those of them who are there in the next, from stored states."""
+    path = f"{sinks.work_dir(spark)}/customer_states"
+    customer.customer_states(binding.star(spark, sf_dir)).write.parquet(path)
+    return comparable(customer.retention_by_period(spark.read.parquet(path)))
+
+
+def _customers_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers of the whole time, from the states of its days."""
+    bought = customer.customer_states(binding.star(spark, sf_dir), "day", visits=F.col("Action") == "purchase")
+    return customer.customers_of(bought)
+
+
 # --- sinks ----------------------------------------------------------------------------------------------------
 
 
@@ -195,6 +234,41 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.load_tables(spark, _cleaned(spark, sf_dir), sinks.work_dir(spark))
 
 
+def _load_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables loaded, then cleaned ones, then a load that fails for one table: the journeys and products that stand."""
+    tables = VersionedTables(spark, sinks.work_dir(spark))
+    raw, cleaned = binding.raw_tables(spark, sf_dir), _cleaned(spark, sf_dir)
+    names = ("customer_journey", "products")
+    tables.load({name: raw[name] for name in names}, "raw")
+    tables.load({name: cleaned[name] for name in names}, "cleaned")
+    broken = cleaned["customer_journey"].withColumn("Stage", F.raise_error(F.lit("no")).cast("string"))
+    tables.load({"customer_journey": broken, "products": tables.snapshot()["products"].where("Price > 1000")}, "broken")
+    held = tables.snapshot()
+    journeys = held["customer_journey"].selectExpr("'customer_journey' AS table_name", "JourneyID AS key", "Stage AS value")
+    return journeys.unionByName(held["products"].selectExpr("'products' AS table_name", "ProductID AS key", "ProductName AS value"))
+
+
+def _load_versions_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a load that ran twice under its name."""
+    tables = VersionedTables(spark, sinks.work_dir(spark))
+    cleaned = _cleaned(spark, sf_dir)
+    tables.load({"geography": binding.raw_tables(spark, sf_dir)["geography"]}, "before")
+    tables.load(cleaned, "all")
+    return tables.load(cleaned, "all")
+
+
+def _key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad rows of the raw tables, some journeys without a key: rows and sum of the keys by reason."""
+    tables = _profiled(spark, sf_dir)
+    tables["customer_journey"] = tables["customer_journey"].withColumn("JourneyID", F.expr("nullif(JourneyID, JourneyID DIV 97 * 97)"))
+    parts = []
+    for name, df in keys.quarantine(tables).told.items():
+        reason = F.coalesce("reason", F.lit("good")).alias("reason")
+        counted = df.groupBy(reason).agg(F.count(F.lit(1)).alias("rows"), F.sum(schemas.PRIMARY_KEYS[name]).alias("keys"))
+        parts.append(counted.select(F.lit(name).alias("table_name"), "reason", "rows", "keys"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _reviews_scored_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.work_dir(spark) + "/reviews_scored"
     scored = text.scored_reviews(binding.scored_documents(spark, sf_dir), binding.lexicon(spark))
@@ -307,6 +381,9 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "load_overwrite": _load_overwrite,
         "load_report": _load_report,
+        "load_versions": _load_versions,
+        "load_versions_report": _load_versions_report,
+        "key_check": _key_check,
         "csv_rejects": _csv_rejects,
         "clean_customers": _from_csv("customers", _clean_filed_customers),
         "clean_reviews": _from_csv("customer_reviews", clean.clean_reviews),
@@ -347,6 +424,10 @@ def queries() -> dict[str, Query]:
         "profile_info": _profile(profile.table_info),
         "profile_head_tail": _head_tail,
         "profile_sample": _sample_check,
+        "profile_sample_rows": _sampled(),
+        "profile_sample_weighted": _sampled(weight="Age"),
+        "profile_sample_strata": _sampled(strata=["Gender"]),
+        "profile_sketch": _sketch_check,
         # expressions and joins
         "band_age": _report(_band_age),
         "rating_sentiment": _report(_rating_sentiment),
@@ -357,6 +438,8 @@ def queries() -> dict[str, Query]:
         "top_regions": _report(customer.top_regions),
         "customer_retention": _report(customer.customer_retention),
         "checkout_retention": _checkout(customer.customer_retention, "visits"),
+        "retention_by_month": _retention_by_month,
+        "customers_over_days": _customers_over_days,
         "demographics_conversion": _report(customer.demographics_conversion),
         "product_conversion": _report(product.product_conversion),
         "engagement_conversion": _report(marketing.engagement_conversion),
@@ -405,6 +488,11 @@ def queries() -> dict[str, Query]:
         "rating_purchase_corr": _report(
             lambda star: product.rating_purchase_correlation(star).withColumn("correlation", F.round("correlation", 6))
         ),
+        "correlation_matrix": _report(
+            lambda star: product.product_correlations(star).select(
+                "column_name", *[F.round(c, 6).alias(c) for c in ("Price", "Avg_Rating", "Review_Count", "Total_Purchases")]
+            )
+        ),
         "regional_product_sales": _report(customer.regional_product_sales),
         "journey_geography": _report(customer.journey_geography),
         "rating_vs_engagement": _report(marketing.rating_vs_engagement),
