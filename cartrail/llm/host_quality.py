@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from cartrail.llm.common import WORD, map_texts, settled, written
 
 HOST_LIMIT = 0.5
+#: what a document's soft failures may weigh together; one of a host that fails as often as others weighs 1
+SOFT_LIMIT = 1.0 - 1e-9
 _WORD = re.compile(WORD)
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 WINDOW = 5
@@ -24,6 +26,7 @@ RULES = {
     "word_length": "n_words > 0 and (word_chars < 2 * n_words or word_chars > 20 * n_words)",
 }
 BASE_RULES = ("short", "repeated")
+SOFT_RULES = ("symbols", "copied_lines", "word_length")
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -92,40 +95,49 @@ def priors(hosts: DataFrame) -> dict[str, tuple[float, float]]:
 
 
 def host_verdicts(features: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """``(host, documents, <rule>_rate..., rejected)``, one row per host, from documents with rule columns.
+    """``(host, documents, <rule>_rate..., <soft rule>_weight..., rejected)``, one row per host, from documents
+    with rule columns.
 
     A rate is the posterior mean under the prior of all hosts, so a host with few documents is judged much
-    like the rest. A host is rejected when a rate exceeds ``limit``. NULL is no host and is not in the table.
+    like the rest. The weight of a rule is the host's rate by that of all documents: how much more its failure
+    says here than elsewhere. A host is rejected when a rate exceeds ``limit``. NULL is no host and is not in the
+    table.
     """
     per_rule = [F.sum(F.col(rule).cast("long")).alias(rule) for rule in RULES]
     hosts = settled(features.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("documents"), *per_rule))
+    found = priors(hosts)
     rates = {
         rule: (F.col(rule) + F.lit(mean * strength)) / (F.col("documents") + F.lit(strength))
-        for rule, (mean, strength) in priors(hosts).items()
+        for rule, (mean, strength) in found.items()
     }
+    weights = [
+        (rates[rule] / F.lit(found[rule][0]) if found[rule][0] > 0 else F.lit(1.0)).alias(f"{rule}_weight") for rule in SOFT_RULES
+    ]
     rejected = F.greatest(*rates.values()) > F.lit(limit)
-    return hosts.select("host", "documents", *[r.alias(f"{n}_rate") for n, r in rates.items()], rejected.alias("rejected"))
+    return hosts.select("host", "documents", *[r.alias(f"{n}_rate") for n, r in rates.items()], *weights, rejected.alias("rejected"))
 
 
 def judge(
     docs: DataFrame, limit: float = HOST_LIMIT, doc_id: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
     """Counts, failed rules and verdict of every document: ``doc_id, host, <FEATURES>, <RULES>, base_failed,
-    host_rejected, kept``.
+    soft_weight, host_rejected, kept``.
 
-    ``kept`` is false for a document that fails a rule itself or whose host is rejected. Documents without a
-    host (NULL) are judged by their own rules alone. NULL and empty texts have no words and fail ``short``.
+    ``kept`` is false for a document that fails a base rule, whose host is rejected, or whose failures of soft rules
+    weigh ``SOFT_LIMIT`` or more together by the host's weights: a single one is forgiven on a host that, after
+    shrinking, fails the rule less than all documents do. Without a host (NULL) each weighs 1. NULL and empty texts have no words and fail ``short``.
     Equal rows get equal verdicts; an empty table gives no rows; other columns are not looked at.
     """
     made = ", ".join(f"{name} long" for name in FEATURES)
     kept = [F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{host}`").cast("string").alias("host")]
     counted = map_texts(docs, kept, text, text_features, made)
     features = settled(counted.withColumns({name: F.expr(rule) for name, rule in RULES.items()}))
-    bad = written(host_verdicts(features, limit).where("rejected").select(F.col("host").alias("__host"), "rejected"))
+    weights = [f"{rule}_weight" for rule in SOFT_RULES]
+    hosts = written(host_verdicts(features, limit).select(F.col("host").alias("__host"), "rejected", *weights))
     # every row finds one host at most and none are grouped afterwards, so a hot host's partition can be split
-    joined = features.join(bad, F.col("host") == F.col("__host"), "left")
+    joined = features.join(hosts, F.col("host") == F.col("__host"), "left")
     base = F.greatest(*[F.col(rule) for rule in BASE_RULES])
-    fails = F.greatest(*[F.col(rule) for rule in RULES])
+    soft = sum((F.when(F.col(r), F.coalesce(F.col(f"{r}_weight"), F.lit(1.0))).otherwise(0.0) for r in SOFT_RULES), F.lit(0.0))
     host_rejected = F.coalesce(F.col("rejected"), F.lit(False))
     return joined.select(
         "doc_id",
@@ -133,6 +145,7 @@ def judge(
         *FEATURES,
         *RULES,
         base.alias("base_failed"),
+        soft.alias("soft_weight"),
         host_rejected.alias("host_rejected"),
-        (~fails & ~host_rejected).alias("kept"),
+        (~base & ~host_rejected & (soft < SOFT_LIMIT)).alias("kept"),
     )
