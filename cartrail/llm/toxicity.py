@@ -22,8 +22,6 @@ from cartrail.llm.common import boxed, hash_key, map_texts, settled, ship, unbox
 
 #: labelled documents that the lexicon and the weights are learned from, at most; chosen by a hash of the id
 TRAIN_ROWS = 6000
-#: terms considered at most, the strongest first
-CANDIDATES = 5000
 #: a term must be in so many toxic documents, and in so few others per toxic one; its log-likelihood ratio must be
 #: so high, and so high that of the keys that pass, this share at most is expected there by chance
 LEAST_DOCS, CLEAN_SHARE, LEAST_G, CHANCE = 4, 0.05, 15.0, 0.05
@@ -32,7 +30,8 @@ MARKS, AGREEING = 32, 17
 #: odd factors that make one hash many
 FACTORS = np.random.default_rng(7).integers(0, 2**63, MARKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 STEMS = range(3, 7)
-LONGEST = 24
+#: states of an automaton that a worker keeps; with more it starts anew
+STATES = 50_000
 #: characters to either side of a hit that tell quotation from abuse
 CONTEXT = 60
 LIMIT = 0.7
@@ -86,11 +85,15 @@ class LexiconAutomaton:
             (self.stems if stem else self.ends)[node] = most
             self.terms[node, stem] = (-worth, number)
         self.alphabet = {c for node in self.children for c in node}
+        self.begin()
+
+    def begin(self) -> None:
+        """Forget all states but the first; texts bring back those that they need."""
         self.steps: list[dict[str, int]] = []
         self.accepts: list[tuple[int, int] | None] = []
         self.sets: list[frozenset[tuple[int, int]]] = []
         self.numbers: dict[frozenset[tuple[int, int]], int] = {}
-        self._state({(0, 0)} if terms else set())
+        self._state({(0, 0)} if self.terms else set())
 
     def _state(self, found: set[tuple[int, int]]) -> int:
         """The number of the state with these members and those that skipping characters of terms adds."""
@@ -138,6 +141,8 @@ class LexiconAutomaton:
         """The fewest edits from ``token`` to a term that allows them, and the number of the worthiest such term."""
         if not self.steps:
             return None
+        if len(self.sets) > STATES:
+            self.begin()
         state, steps, alphabet = 0, self.steps, self.alphabet
         for c in token:
             if c not in alphabet:
@@ -171,10 +176,17 @@ class Model:
     @property
     def automaton(self) -> LexiconAutomaton:
         if not self._automata:
-            self._automata.append(LexiconAutomaton([*self.terms, *((w, False) for w in self.covered)], self.worths))
+            if self not in _built:
+                _built.clear()
+                _built[self] = LexiconAutomaton([*self.terms, *((w, False) for w in self.covered)], self.worths)
+            self._automata.append(_built[self])
         return self._automata[0]
 
 
+#: the automaton of the model that a worker met last; a worker outlives its tasks, which bring copies of the model
+_built: dict[Model, LexiconAutomaton] = {}
+
+
 def hits(model: Model, lowered: str) -> dict[str, tuple[int, int]]:
     """The tokens of a text that meet the lexicon, with their edits and the term's number."""
     meet, harmless = model.automaton.meet, model.harmless
@@ -254,7 +266,7 @@ def fit(x: np.ndarray, y: np.ndarray, prior: Sequence[float] = PRIOR, rounds: in
 
 def term_keys(text: str | None) -> set[str]:
     """What a document supports: its words, marked by an end sign, and their stems."""
-    tokens = {t for t in TOKEN.findall((text or "").lower()) if 2 < len(t) <= LONGEST}
+    tokens = {t for t in TOKEN.findall((text or "").lower()) if len(t) > 2}
     keys = {t + "$" for t in tokens}
     for n in STEMS:
         keys.update([t[:n] for t in tokens if len(t) >= n])
@@ -389,8 +401,8 @@ def training_documents(docs: DataFrame, labels: DataFrame, rows: int, doc_id: st
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model:
     """A model from ``labels (doc_id, toxic)`` and the documents they belong to.
 
-    At most ``rows`` labelled documents are used, the bound of what comes to the driver here: counts of at most
-    ``CANDIDATES`` terms, and a few numbers for each document. Without labels of both kinds the model knows no
+    At most ``rows`` labelled documents are used, the bound of what comes to the driver here: counts of the keys
+    that enough of them support, and a few numbers for each document. Without labels of both kinds the model knows no
     terms, and every document gets the score of the prior.
     """
     ship(docs.sparkSession)
@@ -410,9 +422,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, doc_id: st
     counts = counted.groupBy("key").agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
     counts = settled(counts.where(F.col("toxic") + F.col("clean") >= LEAST_DOCS))
     strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("clean") * all_toxic <= F.col("toxic") * (CLEAN_SHARE * all_clean)))
-    # by the rates' ratio and not by the count, in which words of a small group come last
-    rates = (F.col("toxic") + 0.5) * F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
-    listed = {r["key"]: (r["toxic"], r["clean"]) for r in strong.orderBy(rates.desc(), "key").limit(CANDIDATES).collect()}
+    # keys of the sample that are in ``LEAST_DOCS`` of its toxic documents, all of them
+    listed = {r["key"]: (r["toxic"], r["clean"]) for r in sorted(strong.collect(), key=lambda r: r["key"])}
     sizes = all_toxic, all_clean, counts.count()
     terms = tuple(choose_terms(listed, *sizes))
     covered = tuple(covered_words(listed, terms, *sizes))
