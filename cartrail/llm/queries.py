@@ -101,6 +101,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[secret_scan.count_kind(F.col("secrets"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(base, 256).alias("base_sha256"),
         secret_scan.span_text(F.col("secrets")).alias("spans"),
+        secret_scan.credential_text(F.col("secrets")).alias("credentials"),
     )
 
 

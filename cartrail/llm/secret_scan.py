@@ -96,7 +96,8 @@ def linked(found: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
 
     The scope of a span reaches ``scope`` code points to either side. A weak secret needs an identifier or an
     endpoint in its scope, a weak identifier a secret, an endpoint both a secret and an identifier. A weak span
-    inside a strong one is part of it and not reported. The interval join is a sweep: with the spans of a text
+    inside a strong one is part of it and not reported. Reported spans that are at most ``scope`` apart, from one to the
+    next, are parts of one ``credential``, which has a number. The interval join is a sweep: with the spans of a text
     in order, the furthest end before and the nearest start after decide whether a role is within reach.
     """
     by_kind = {p.kind: p for p in PARTS}
@@ -107,7 +108,8 @@ def linked(found: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
     marked = found.withColumn("place", kinds[F.col("kind")]).withColumn("role", roles[F.col("kind")]).withColumn("strong", strong)
     order = Window.partitionBy(row).orderBy("start", "place")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
+    # what follows is what came before in the opposite order, so each frame grows by one span a row
+    after = Window.partitionBy(row).orderBy(F.col("start").desc(), F.col("place").desc()).rowsBetween(Window.unboundedPreceding, -1)
     near = {}
     for role in ROLES:
         last = F.max(F.when(F.col("role") == role, F.col("end"))).over(before)
@@ -120,18 +122,24 @@ def linked(found: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
         .when(F.col("role") == "identifier", F.col("near_secret"))
         .otherwise(F.col("near_secret") & F.col("near_identifier"))
     )
-    return swept.where(F.col("strong") | (complete & ~F.col("covered"))).select(row, "kind", "place", "start", "end", "strong")
+    reported = swept.where(F.col("strong") | (complete & ~F.col("covered")))
+    # parts whose scopes meet are one credential, numbered in the order of the text
+    reach = F.max("end").over(before)
+    begins = F.coalesce(F.col("start") - reach > scope, F.lit(True)).cast("int")
+    numbered = reported.withColumn("__begins", begins).withColumn("credential", F.sum("__begins").over(order).cast("int"))
+    return numbered.select(row, "kind", "place", "start", "end", "strong", "role", "credential")
 
 
 def scan(docs: DataFrame, scope: int = SCOPE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, secrets`` of every document, ``secrets`` an array of ``(start, place, kind, end, strong)``.
+    """``doc_id, secrets`` of every document, ``secrets`` an array of ``(start, place, kind, end, strong, role,
+    credential)``.
 
     Spans are in code points, the end exclusive, sorted by start, then by the order of ``PARTS``. NULL and
     empty texts have none. Repeated ids and equal rows are scanned each for itself, NULL ids as well; an empty
     table gives no rows; other columns are not looked at.
     """
     rows, found = spans(docs, F.col(f"`{text}`"), "__row", [F.col(f"`{doc_id}`").alias("doc_id")])
-    one = F.struct("start", "place", "kind", "end", "strong")
+    one = F.struct("start", "place", "kind", "end", "strong", "role", "credential")
     # as many spans as one text holds
     listed = linked(found, "__row", scope).groupBy("__row").agg(F.sort_array(F.collect_list(one)).alias("secrets"))
     return rows.join(listed, "__row", "left").select("doc_id", F.coalesce("secrets", F.array().cast(listed.schema["secrets"].dataType)).alias("secrets"))
@@ -143,5 +151,21 @@ def span_text(secrets: Column, strong_only: bool = False) -> Column:
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def credential_text(secrets: Column) -> Column:
+    """The credentials that have parts of two roles or more: ``number=kind:start+kind:start``, joined by commas."""
+    numbers = F.array_distinct(F.transform(secrets, lambda s: s["credential"]))
+
+    def parts(number: Column) -> Column:
+        return F.filter(secrets, lambda s: s["credential"] == number)
+
+    linked_ = F.filter(numbers, lambda n: F.size(F.array_distinct(F.transform(parts(n), lambda s: s["role"]))) > 1)
+
+    def shown(number: Column) -> Column:
+        each = F.transform(parts(number), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string")))
+        return F.concat_ws("=", number.cast("string"), F.array_join(each, "+"))
+
+    return F.array_join(F.transform(linked_, shown), ",")
+
+
 def count_kind(secrets: Column, kind: str) -> Column:
     return F.size(F.filter(secrets, lambda s: s["kind"] == kind)).cast("long")
