@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartrail.llm.common import boxed, unboxed, written
 
-RATIO = 0.1
+RATIO = 0.01
 MIN_PAGES = 5
 
 
@@ -43,18 +43,23 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``docs`` without the boilerplate lines of their hosts, with ``lines_dropped`` added.
 
-    Lines without a word stay, and so does a text that would lose every line with a word: a page made of
-    boilerplate alone is a copy, which is another stage's matter. Every row is kept. A NULL host is a host like
-    others; NULL texts stay NULL, empty ones empty; equal rows are treated alike; an empty table stays empty.
+    Lines without a word stay, and so does a text that would lose every line with a word: a page that is nothing
+    but frequent lines, as each of many copies is, is left to near-dedup and not emptied. Every row is kept. A NULL
+    host is a host like others; NULL texts stay NULL, empty ones empty; equal rows are treated alike; an empty
+    table stays empty. A column of ``docs`` that is called ``lines_dropped`` is replaced.
     """
+    docs = docs.drop("lines_dropped")
     bad = written(boilerplate(docs, ratio, min_pages, host, text))
     boxes = docs.select(boxed(docs).alias("__doc"), F.col(f"`{host}`").alias("__host"), F.col(f"`{text}`").alias("__text"))
     # the lists are as short as the pages' lines are few; Spark broadcasts them where all hosts together are small,
     # and otherwise splits a hot host's partition, as nothing above the join needs a host's rows together
     joined = boxes.join(bad, F.col("__host").eqNullSafe(F.col("host")), "left")
     lines = F.split(F.col("__text"), "\n")
-    kept = F.filter(lines, lambda line: ~F.array_contains(F.col("lines"), F.md5(line)))
-    shorter = joined.withColumn("__kept", F.when(F.col("lines").isNotNull(), kept))
+    # a page is hashed against its host's list once; what it has of it is short
+    mine = F.array_intersect(F.transform(lines, lambda line: F.md5(line)), F.col("lines"))
+    met = joined.withColumn("__mine", mine)
+    kept = F.filter(lines, lambda line: ~F.array_contains(F.col("__mine"), F.md5(line)))
+    shorter = met.withColumn("__kept", F.when(F.size("__mine") > 0, kept))
     some_left = F.exists("__kept", lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     chosen = F.when(some_left & (F.size("__kept") < F.size(lines)), F.array_join("__kept", "\n")).otherwise(F.col("__text"))
     dropped = F.when(some_left, F.size(lines) - F.size("__kept")).otherwise(F.lit(0))
