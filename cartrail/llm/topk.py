@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,7 +59,7 @@ class KDTree:
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """For every query and node the highest inner product that a point of the node's box can have."""
         low, high = np.array(self.low), np.array(self.high)
-        return np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+        return _fitted(np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T)
 
 
 def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor: float | int):
@@ -68,7 +69,7 @@ def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
     whose bound is below it, or below the k-th score found here, has nothing to add, nor have later ones. A
     bound equal to it may still hide a tie.
     """
-    scores, found = np.empty(0, query.dtype), np.empty(0, np.int64)
+    scores, found = np.empty(0, np.int64 if query.dtype == object else query.dtype), np.empty(0, np.int64)
     waiting = [(-bounds[0], 0)]
     while waiting:
         bound, node = heapq.heappop(waiting)
@@ -80,7 +81,7 @@ def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
                     heapq.heappush(waiting, (-bounds[child], child))
             continue
         rows = tree.rows[node]
-        here = tree.vectors[rows] @ query
+        here = _fitted(tree.vectors[rows] @ query)
         good = (here >= floor) & (ids[rows] != own)
         if not good.any():
             continue
@@ -94,16 +95,31 @@ def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
 
 
 def quantised(embedding: Column) -> Column:
-    """``floor(64 * x)`` of every component, as doubles, which are whole numbers."""
-    return F.transform(embedding, lambda x: F.floor(x.cast("double") * 64).cast("double"))
+    """``floor(64 * x)`` of every component, as doubles, which are whole numbers; large ones are so already."""
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * 64
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    return F.transform(embedding, whole)
 
 
 def usable(embedding: Column) -> Column:
     """Whether a vector is there and all its components are finite numbers."""
-    bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     return embedding.isNotNull() & ~F.coalesce(bad, F.lit(False))
 
 
+def _integer(x: float) -> int | float:
+    """Twice a component near the largest double is no double; such a one counts as the largest."""
+    return int(min(max(x, -sys.float_info.max), sys.float_info.max))
+
+
+def _fitted(scores: np.ndarray) -> np.ndarray:
+    """Scores as they are reported: Python's integers as 64-bit ones, the nearest where they don't fit."""
+    return np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64) if scores.dtype == object else scores
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64).reshape(len(column), len(column.iloc[0]))
 
@@ -117,9 +133,9 @@ def _searched(k: int):
             held = held.sort_values("held_vec_id", kind="stable")
             ids, vectors, asked = held["held_vec_id"].to_numpy(), _matrix(held["held_v"]), _matrix(queries["v"])
             reach = np.abs(asked).sum(axis=1).max(initial=0) * np.abs(vectors).max(initial=0)
-            if reach >= LARGEST:
-                raise ValueError("the scores of these vectors do not fit 64 bits")
-            if reach >= EXACT:
+            if not reach < LARGEST:  # Python's integers, which have no end
+                vectors, asked = (np.vectorize(_integer, otypes=[object])(m) for m in (vectors, asked))
+            elif reach >= EXACT:
                 vectors, asked = vectors.astype(np.int64), asked.astype(np.int64)
             tree = KDTree(vectors)
             floors = queries["floor"].to_numpy()
@@ -151,13 +167,14 @@ def top_k(
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every`` its ``k`` best others.
 
     The score is the inner product of the vectors with components ``floor(64 x)``, higher is better, ties to
-    the smaller id. Rows are dealt by a hash of the id into shards of about ``shard_rows``, and the queries into
+    the smaller id. Rows are dealt by a hash into shards of about ``shard_rows``, and the queries into
     blocks. Each query is searched first in one shard; the k-th score found there is handed on to the search of
     the others, where it cuts off whole branches. A task holds one shard and one block. NULL vectors, vectors
     with NULL or non-finite components and rows with a NULL id take no part. Vectors are compared with those of
     their length only. Rows that repeat an id with another vector are candidates of their own, but never of a
-    query with their id; a repeated query row asks once, and one with another vector asks for itself. Empty tables give no rows; other columns are not
-    looked at.
+    query with their id; a repeated query row asks once, and one with another vector asks for itself. A score that
+    does not fit a long is the nearest one that does, and ties with others like it. A component that 64 times is no
+    finite double is the largest one. Empty tables give no rows; other columns are not looked at.
     """
     ship(vectors.sparkSession)
     ident, vector = F.col(f"`{vec_id}`").cast("long"), F.col(f"`{embedding}`")
@@ -167,7 +184,9 @@ def top_k(
     asked = asked.withColumn("ask", F.xxhash64("query_id", "v"))
     shards = max(1, round(held.count() / shard_rows))
     blocks = max(1, round(asked.count() / block_rows))
-    hashed = F.xxhash64("vec_id")
+    # a number of the row as well, so that rows which repeat an id, or all of a row, are dealt out; the table is
+    # settled, so the numbers stay
+    hashed = F.xxhash64("vec_id", F.monotonically_increasing_id())
     spread = held.withColumn("shard", F.pmod(hashed, F.lit(shards)).cast("int"))
     asked = settled(asked.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).cast("int")))
     # every block meets every shard once; rows of a shard are repeated for each block, a twentieth as many
