@@ -288,8 +288,8 @@ def encode_documents(
     ``ids`` is binary, little-endian unsigned 32-bit numbers one after the other, as token files hold them.
     ``path`` names a tokenizer file that the driver reads; its merges, of
     a fixed size, are broadcast. Special strings in a text are their own token. NULL counts as an empty text,
-    which has no tokens. Rows are neither moved nor dropped, equal ones get equal ids, and clashing names among
-    other columns must be left out by ``kept``.
+    which has no tokens. Rows are neither moved nor dropped, and equal ones get equal ids. Without ``kept``,
+    columns named like an added one are replaced.
     """
     vocabulary = load_vocabulary(path)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -304,7 +304,8 @@ def encode_documents(
         return found
 
     made = "n_tokens long, ids binary" + (", decoded string" if decode else "")
-    return map_texts(docs, kept or [F.col(f"`{c}`") for c in docs.columns], text, work, made)
+    others = [c for c in docs.columns if c not in ("n_tokens", "ids", "decoded")]
+    return map_texts(docs, kept or [F.col(f"`{c}`") for c in others], text, work, made)
 
 
 def decode_documents(

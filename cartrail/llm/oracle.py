@@ -63,14 +63,21 @@ priors AS (
     END AS strength
   FROM moments
 ),
-rejected AS (
-  SELECT DISTINCT source FROM failures JOIN priors USING (rule)
-  WHERE (failed + mean * strength) / (documents + strength) > 0.5
+rates AS (
+  SELECT source, rule, mean, (failed + mean * strength) / (documents + strength) AS rate FROM failures JOIN priors USING (rule)
+),
+hosts AS (
+  SELECT source, max(rate) > 0.5 AS rejected,
+    max(CASE rule WHEN 'symbols' THEN CASE WHEN mean > 0 THEN rate / mean ELSE 1 END END) AS symbols_weight,
+    max(CASE rule WHEN 'copied_lines' THEN CASE WHEN mean > 0 THEN rate / mean ELSE 1 END END) AS copied_lines_weight,
+    max(CASE rule WHEN 'word_length' THEN CASE WHEN mean > 0 THEN rate / mean ELSE 1 END END) AS word_length_weight
+  FROM rates GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
-  NOT (short OR repeated OR symbols OR copied_lines OR word_length)
-    AND NOT coalesce(source IN (SELECT source FROM rejected), false) AS kept
-FROM ruled
+  NOT (short OR repeated) AND NOT coalesce(rejected, false)
+    AND CASE WHEN symbols THEN coalesce(symbols_weight, 1) ELSE 0 END + CASE WHEN copied_lines THEN coalesce(copied_lines_weight, 1) ELSE 0 END
+      + CASE WHEN word_length THEN coalesce(word_length_weight, 1) ELSE 0 END < 1 - 1e-9::DOUBLE AS kept
+FROM ruled LEFT JOIN hosts USING (source)
 """
 
 
@@ -209,7 +216,7 @@ counted AS (
 ),
 bad AS (
   SELECT c.source, list(line) AS bad FROM counted c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE c.pages >= 5 AND c.pages > h.pages * 0.1::DOUBLE GROUP BY c.source
+  WHERE c.pages >= 5 AND c.pages > h.pages * 0.01::DOUBLE GROUP BY c.source
 ),
 shorter AS (
   SELECT d.*, list_filter(lines, lambda x: bad IS NULL OR NOT list_contains(bad, x)) AS kept

@@ -8,7 +8,8 @@ import duckdb
 CLASHING = [
     "size", "key", "fp", "shard", "kept", "score", "lines", "host", "taken", "ids", "root", "row", "before",
     "n_words", "starts", "ends", "items", "item", "words", "found", "part", "step", "failed", "good", "toxic", "documents",
-    "first_id", "content", "bit", "text_key", "filter_order",
+    "first_id", "content", "bit", "text_key", "filter_order", "lines_dropped", "toxicity", "secrets", "component_id", "grown_shard",
+    "slot", "text_crc32", "source_size", "target", "n_tokens", "decoded", "soft_weight", "host_rejected", "base_failed", "documents_",
 ]
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
 

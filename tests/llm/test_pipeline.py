@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartrail.llm import mixing, toxicity
+from cartrail.llm import line_dedup, mixing, toxicity
 from cartrail.llm.common import table
 from tests.llm import messy
 from tests.llm.test_simhash import plain_components, plain_fingerprint
@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def without_boilerplate(rows):
     pages = Counter(r["source"] for r in rows)
     on = Counter((r["source"], line) for r in rows for line in set((r["text"] or "").split("\n")) if line.strip(" \t\n\v\f\r"))
-    bad = {key for key, n in on.items() if n >= 5 and n > 0.1 * pages[key[0]]}
+    bad = {key for key, n in on.items() if n >= 5 and n > line_dedup.RATIO * pages[key[0]]}
     for r in rows:
         lines = (r["text"] or "").split("\n")
         left = [line for line in lines if (r["source"], line) not in bad]
@@ -102,7 +102,7 @@ def test_stages_on_messy_and_empty_tables(spark, tmp_path):
     for docs in (messy.documents(spark), messy.no_documents(spark)):
         columns = docs.columns
         for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, docs.drop("ids") if name == "bpe" else docs, str(tmp_path))
+            out = stage(spark, docs, str(tmp_path))
             if name != "bpe":
                 assert out.columns == columns
             docs = out

@@ -84,10 +84,22 @@ def test_a_host_is_rejected_only_on_evidence(spark):
     assert found[3001]["kept"] and not found[3000]["kept"] and found[3002]["kept"]
 
 
+def test_a_host_decides_on_soft_failures(spark):
+    """Symbols in a few documents of a host that fails often weigh more than 1, in one document of a clean host less."""
+    good, odd = " ".join(f"word{i}" for i in range(40)), " ".join([f"word{i}" for i in range(40)] + ["#$%&*|"] * 2)
+    rows = [(i, good, f"clean{i % 10}") for i in range(1000)] + [(2000 + i, odd if i % 3 == 0 else good, "spam") for i in range(90)]
+    rows += [(3000, odd, "clean1"), (3001, odd, None), (3002, odd + "\n" + "\n".join(["again and again"] * 3), "clean1")]
+    found = {r["doc_id"]: r for r in host_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert found[3000]["kept"] and found[3000]["symbols"] and found[3000]["soft_weight"] < 0.8
+    assert not found[2000]["kept"] and found[2000]["soft_weight"] > 2 and not found[2000]["host_rejected"]
+    assert not found[3001]["kept"] and found[3001]["soft_weight"] == 1.0
+    assert found[2001]["kept"]
+
+
 def test_line_dedup_keeps_columns_rows_and_whole_copies(spark):
     docs = messy.documents(spark)
     cleaned = line_dedup.drop_boilerplate(docs)
-    assert cleaned.columns == [*docs.columns, "lines_dropped"]
+    assert cleaned.columns == [*(c for c in docs.columns if c != "lines_dropped"), "lines_dropped"]
     assert cleaned.count() == docs.count()
     copies = spark.createDataFrame([(i, "same\nlines", "s") for i in range(20)], "doc_id long, text string, source string")
     assert {r["text"] for r in line_dedup.drop_boilerplate(copies).collect()} == {"same\nlines"}

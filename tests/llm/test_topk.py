@@ -13,7 +13,8 @@ def plain(rows, k):
             held.append((i, [int(np.floor(64 * x)) for x in v]))
     found = []
     for i, v in {(i, tuple(v)) for i, v in held if i % 20 == 0}:
-        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in held if j != i and len(w) == len(v))
+        products = [(sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in held if j != i and len(w) == len(v)]
+        scored = sorted((-max(-(2**63), min(2**63 - 1, s)), j) for s, j in products)
         found += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:k], 1)]
     return sorted(found)
 
@@ -33,6 +34,24 @@ def test_all_pairs(spark, shard_rows):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [30, 10_000])
+def test_huge_components_and_a_hot_id(spark, shard_rows):
+    """A score beyond a long is the nearest one; an id on a third of all rows is dealt out like others."""
+    pick = np.random.default_rng(3)
+    rows = [(i, pick.normal(0, 0.3, 4).tolist()) for i in range(120)] + [(60, [0.5] * 4)] * 70
+    rows += [(1000, [1e30, -1e30, 0.0, 1.0]), (1001, [1e308] * 4), (1002, [-1.7e308, 0.0, 0.0, 0.0]), (1020, [1e17, 0.3, -1e17, 0.1]), (1040, [0.0] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = [(i, [min(max(x * 64, -1.7976931348623157e308), 1.7976931348623157e308) / 1 for x in v]) for i, v in rows]
+    found = topk.top_k(df, 5, shard_rows=shard_rows, block_rows=5)
+    held = [(i, [int(np.floor(x)) if abs(x) < 2**53 else int(x) for x in v]) for i, v in asked]
+    expected = []
+    for i, v in sorted({(i, tuple(v)) for i, v in held if i % 20 == 0}):
+        products = [(sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in held if j != i]
+        scored = sorted((-max(-(2**63), min(2**63 - 1, s)), j) for s, j in products)
+        expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_tree_boxes_are_tight_and_search_is_exact():
     pick = np.random.default_rng(2)
     vectors = np.floor(pick.normal(0, 20, (3000, 8)))

@@ -68,6 +68,32 @@ def test_misspelled_short_terms_and_stems():
     assert toxicity.misspelled_worth((9, 0), (1, 30), 100, 400) == 0
 
 
+def test_few_states_find_the_same(monkeypatch):
+    pick = random.Random(9)
+    terms = [("abba", False), ("babab", False), ("abcabcabc", False), ("cab", True)]
+    tokens = ["".join(pick.choice("abcd") for _ in range(pick.randint(1, 12))) for _ in range(3000)]
+    whole = [toxicity.LexiconAutomaton(terms).meet(t) for t in tokens]
+    monkeypatch.setattr(toxicity, "STATES", 5)
+    machine = toxicity.LexiconAutomaton(terms)
+    assert [machine.meet(t) for t in tokens] == whole
+    assert len(machine.sets) < 30
+
+
+def test_a_worker_makes_one_automaton_for_a_model():
+    first, second = (toxicity.Model((("clown", False),), worths=(1.0,)) for _ in range(2))
+    assert first.automaton is second.automaton
+    assert toxicity.Model((("oaf", False),)).automaton is not first.automaton
+
+
+def test_all_keys_count_however_long(spark):
+    long = "longword" * 9
+    assert toxicity.term_keys(f"{long} ab") >= {long + "$", "longwo"}
+    rows = [(i, f"plain text number {i} " + (f"{long} " * (i % 2))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    assert any(long.startswith(term) for term, _ in model.terms)
+
+
 def test_contexts():
     model = toxicity.Model((("clown", False), ("disgusting", False)), frozenset({"crown"}), (-3, 4, 3, 0, 1))
 
