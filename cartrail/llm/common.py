@@ -13,12 +13,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartrail.operators.membership import key_filter
+
 #: a word is a run of anything but a blank and the control characters tab to carriage return
 WORD = r"[^\x20\x09-\x0D]+"
 #: hexadecimal digits of an MD5 that make an ordering key: 52 bits, exact in a double
 KEY_DIGITS = 13
 #: texts that a Python worker holds as strings at a time
 TEXTS_AT_ONCE = 256
+#: copies of a row that one task makes
+RUN = 1 << 16
 
 
 #: folders made for local sessions that name none, by application
@@ -138,26 +142,64 @@ def hash_key(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, KEY_DIGITS), 16, 10).cast("long")
 
 
+def row_key(docs: DataFrame) -> list[Column]:
+    """``__low, __high``: 128 bits of a whole row, as two numbers. Equal rows have equal ones, NULL is a value."""
+    cells = [F.to_json(F.col(f"`{c}`")) if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    missing = [cell.isNull() for cell in cells]
+    return [F.xxhash64(F.lit(name), *cells, *missing).alias(name) for name in ("__low", "__high")]
+
+
+def apart(docs: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` as ``__low, __high, __doc``: the rows that no other row equals, and every other distinct row once.
+
+    ``repeated`` is a stored table of the keys of rows that occur more than once. Those are reduced to one inside
+    each task before they move, however many they are; the others stay where they are. A row that the filter of
+    the keys lets through by chance is among the second ones, once as well.
+    """
+    keyed = docs.select(*row_key(docs), boxed(docs).alias("__doc"))
+    may_repeat = key_filter(repeated).may_contain(F.col("__low"), F.col("__high"))
+    several = keyed.where(may_repeat).groupBy("__low", "__high").agg(F.first("__doc").alias("__doc"))
+    return keyed.where(~may_repeat), several
+
+
+def multiplied(rows: DataFrame, times: str, by: str) -> DataFrame:
+    """Every row as often as its column ``times`` says, 1 at least, with ``__turn`` from 0.
+
+    Rows are dealt out by ``by`` in runs of copies first, so that a row with very many copies is no single task's.
+    """
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(RUN).cast("long")))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("__run", runs).repartition(tasks, by, "__run")
+    last = F.least(F.col("__run") + RUN, F.col(times)) - 1
+    return dealt.withColumn("__turn", F.explode(F.sequence(F.col("__run"), last))).drop("__run")
+
+
 def running_totals(rows: DataFrame, group: str, key: str, amount: str, ties: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``before``: the sum of ``amount`` over the earlier rows of the group, by ``key`` and ``ties``.
 
     ``key`` is spread evenly over [0, 2^52). A group is cut by ranges of the key into as many pieces as the
     square root of all rows, so neither a piece nor the list of pieces gets long, however hot a group is:
-    pieces are summed first, their sums added up within a group, and rows only within a piece.
+    pieces are summed first, their sums added up within a group, and rows only within a piece. Equal rows
+    are one row with a number until they have their place, so a piece is short however often a row is repeated.
     """
     pieces = max(1, int(rows.count() ** 0.5))
-    cut = rows.withColumn("__piece", F.floor(F.col(key) / F.lit(float(2 ** (4 * KEY_DIGITS))) * pieces).cast("long"))
-    sums = cut.groupBy(group, "__piece").agg(F.sum(amount).alias("__sum"))
+    names = [f"`{c}`" for c in rows.columns]
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__equal"))
+    cut = counted.withColumn("__piece", F.floor(F.col(key) / F.lit(float(2 ** (4 * KEY_DIGITS))) * pieces).cast("long"))
+    together = F.col(amount) * F.col("__equal")
+    sums = cut.groupBy(group, "__piece").agg(F.sum(together).alias("__sum"))
     ahead = Window.partitionBy(group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
         F.col(group).alias("__group"),
         F.col("__piece").alias("__at"),
         F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__start"),
     )
-    inside = Window.partitionBy(group, "__piece").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(group, "__piece").orderBy(key, *ties, *names).rowsBetween(Window.unboundedPreceding, -1)
     joined = cut.join(starts, F.col(group).eqNullSafe(F.col("__group")) & (F.col("__piece") == F.col("__at")))
-    before = F.col("__start") + F.coalesce(F.sum(amount).over(inside), F.lit(0))
-    return joined.withColumn("before", before.cast("long")).drop("__piece", "__group", "__at", "__start")
+    placed = joined.withColumn("__first", F.col("__start") + F.coalesce(F.sum(together).over(inside), F.lit(0)))
+    each = multiplied(placed, "__equal", key)
+    before = (F.col("__first") + F.col("__turn") * F.col(amount)).cast("long")
+    return each.select(*names, before.alias("before"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

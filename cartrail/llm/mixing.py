@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartrail.llm.common import boxed, hash_key, running_totals, settled, unboxed, words
+from cartrail.llm.common import apart, hash_key, multiplied, row_key, running_totals, settled, unboxed, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -47,6 +47,7 @@ def mix(
     source: str = "source",
     doc_id: str = "doc_id",
     text: str = "text",
+    carried: Sequence[Column] = (),
 ) -> DataFrame:
     """How many words the mix takes of every document: ``doc_id, source, text_key, size, source_size, target, taken``.
 
@@ -54,7 +55,8 @@ def mix(
     whole epochs of the source and then the rest of its budget; the document at the cut gives only the words
     up to it, so a source takes ``floor(target)`` words exactly. Equal rows are told apart by nothing, and it
     does not matter which of them is cut. NULL or empty texts have size 0 and are taken with 0 words; NULL ids
-    and sources are values like others; an empty table gives no rows. Other columns are not looked at.
+    and sources are values like others; an empty table gives no rows. Other columns are not looked at;
+    ``carried`` ones come out behind the rest.
     """
     content = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     sized = settled(
@@ -63,8 +65,10 @@ def mix(
             F.col(f"`{source}`").alias("source"),
             content.alias("text_key"),
             F.size(words(F.col(f"`{text}`"))).cast("long").alias("size"),
+            *carried,
         ).withColumn("key", hash_key(seed, F.col("doc_id"), F.col("text_key")))
     )
+    extra = sized.columns[4:-1]
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     # budgets are one row per source, as many as the caller's list of weights is meant for
     budget = settled(targets(totals, weights, share, epochs)).withColumnRenamed("source", "__source")
@@ -75,30 +79,24 @@ def mix(
     rest = words_due - whole * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(rest - F.col("before"), F.col("size")))
     taken = (whole * F.col("size") + part).cast("long")
-    return told.select("doc_id", "source", "text_key", "size", "source_size", "target", taken.alias("taken"))
+    return told.select("doc_id", "source", "text_key", "size", "source_size", "target", taken.alias("taken"), *extra)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns, each as often as the mix takes it.
 
     A text is never cut here: the document at a budget's end goes in whole when at least half of it is inside.
-    Documents without words add nothing to a mix and are not in it.
+    Documents without words add nothing to a mix and are not in it. Texts move once, to meet their row's number
+    of copies; of equal rows one does.
     """
-    text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
-    # rows that are equal in id and text may differ in how often they are taken; together they take the sum
-    taken = mix(docs, **options).where(F.col("size") > 0)
-    whole = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
-    copies = settled(
-        taken.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        .agg(F.sum(whole).alias("__all"), F.count(F.lit(1)).alias("__rows"))
-        .where("__all > 0")
-    )
-    keyed = docs.select(boxed(docs).alias("__doc"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__content"))
-    same = F.col(f"__doc.`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__key"))
-    joined = keyed.join(copies, same)
-    # as a rule one row has the key; equal rows share its copies, as far as they go
-    turn = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("__content"))
-    each = F.floor(F.col("__all") / F.col("__rows")) + F.when(turn <= F.col("__all") % F.col("__rows"), 1).otherwise(0)
-    counted = joined.withColumn("__each", each.cast("int")).where("__each > 0")
-    repeated = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__each"))))
-    return repeated.select(*unboxed(docs, "__doc"))
+    taken = mix(docs, **options, carried=row_key(docs))
+    whole = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("long")
+    wanted = F.sum(F.when(F.col("size") > 0, whole).otherwise(F.lit(0)))
+    # equal rows share their copies; one row of each is multiplied
+    counted = settled(taken.groupBy("__low", "__high").agg(wanted.alias("__all"), F.count(F.lit(1)).alias("__rows")))
+    single, several = apart(docs, counted.where("__rows > 1").select("__low", "__high"))
+    due = counted.where("__all > 0").drop("__rows")
+    twice = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__all")))
+    few = single.join(due, ["__low", "__high"]).withColumn("__turn", twice)
+    many = multiplied(several.join(due, ["__low", "__high"]), "__all", "__low")
+    return few.unionByName(many).select(*unboxed(docs, "__doc"))

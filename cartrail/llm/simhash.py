@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartrail.llm.common import WORD, boxed, map_texts, settled, unboxed, written
+from cartrail.llm.common import WORD, apart, map_texts, row_key, settled, unboxed, written
 
 BITS = 64
 SEED = 42
@@ -132,7 +133,12 @@ def text_key(text: Column) -> Column:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    carried: Sequence[Column] = (),
 ) -> DataFrame:
     """``doc_id, text_key, fp, root, component_id`` of every document.
 
@@ -140,14 +146,16 @@ def near_duplicates(
     ``radius`` bits reach, ``component_id`` the smallest id among the documents with those fingerprints, and
     ``text_key`` a hash of the text that tells rows with one id apart. Texts that are NULL or without words
     have fingerprint 0 and are linked like any other. NULL ids are never the smallest; a component of NULL ids
-    alone has none. Repeated rows are kept; an empty table gives no rows; other columns are not looked at.
+    alone has none. Repeated rows are kept; an empty table gives no rows; other columns are not looked at;
+    ``carried`` ones come out behind the rest.
     """
 
     def work(texts: list[str | None]) -> dict[str, list]:
         return {"fp": [signed(fingerprint(t, shingle)) for t in texts]}
 
     kept = [F.col(f"`{doc_id}`").alias("doc_id"), text_key(F.col(f"`{text}`")).alias("text_key")]
-    marked = settled(map_texts(docs, kept, text, work, "fp long"))
+    marked = settled(map_texts(docs, [*kept, *carried], text, work, "fp long"))
+    extra = marked.columns[2:-1]
     prints = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
     roots = settled(components(links(prints.select("fp"), radius)))
     placed = prints.join(roots, F.col("fp") == F.col("node"), "left").drop("node")
@@ -163,6 +171,7 @@ def near_duplicates(
         "fp",
         F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *extra,
     )
 
 
@@ -176,12 +185,12 @@ def one_of_each(
 ) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id, NULL ids last.
 
-    Of rows with that id the smallest text hash stays, and of equal rows one.
+    Of rows with that id the smallest text hash stays, of those the smallest hash of the row, and of equal rows
+    one. Texts move once, to meet the kept rows' keys; rows that others equal are reduced to one before.
     """
-    found = near_duplicates(docs, shingle, radius, doc_id, text)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("kept")
-    kept = written(found.groupBy("root").agg(first).select(F.col("kept.doc_id").alias("__id"), F.col("kept.text_key").alias("__key")))
-    keyed = docs.select(boxed(docs).alias("__doc"), text_key(F.col(f"`{text}`")).alias("__hash"))
-    same = F.col(f"__doc.`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__key"))
-    turn = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("__hash"))
-    return keyed.join(kept, same).withColumn("__turn", turn).where("__turn = 1").select(*unboxed(docs, "__doc"))
+    found = near_duplicates(docs, shingle, radius, doc_id, text, row_key(docs))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "__low", "__high")
+    kept = written(found.groupBy("root").agg(F.min(order).alias("kept")).select("kept.__low", "kept.__high"))
+    counted = found.groupBy("__low", "__high").agg(F.count(F.lit(1)).alias("__rows"))
+    single, several = apart(docs, written(counted.where("__rows > 1").select("__low", "__high")))
+    return single.unionByName(several).join(kept, ["__low", "__high"]).select(*unboxed(docs, "__doc"))
