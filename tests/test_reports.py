@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from cartrail.functions.metrics import is_checkout_purchase
-from cartrail.operators import clean, summaries
+from cartrail.operators import clean, membership, summaries
 from cartrail.plans import customer, experience, marketing, product
 from tests.shop import DAY1, JOURNEYS, PRODUCTS, build, ordered, rows, skewed
 
@@ -290,6 +290,31 @@ def test_star_ignoring_case(spark):
         assert lowered(report(loose)) == lowered(report(exact)), report.__name__
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 20])
+def test_complaints_by_digests_first(spark, monkeypatch, bits):
+    """Ties by frequency and by the first characters, NULL and empty texts, also with a filter that holds little."""
+    monkeypatch.setattr(membership, "LEAST_BITS", bits)
+    monkeypatch.setattr(membership, "MOST_BITS", bits)
+    texts = [None, "", "broken", "broken on arrival, twice", "broken on arrival, once", "Broken", "déjà vu " * 40]
+    texts += [f"broken on arrival, number {i}" for i in range(60)]
+    reviews = [(i, 1, 10 + i % 5, DAY1, 1 + i % 3, texts[i * i % len(texts)]) for i in range(400)]
+    reviews += [(1000 + i, 1, 10, DAY1, 1, "hot") for i in range(200)]
+    star = build(spark, reviews=reviews)
+    for k in (0, 1, 2, 5, 40, 5000):
+        assert ordered(experience.common_complaints(star, k, wide=True)) == ordered(experience.common_complaints(star, k))
+    loose = star.ignoring_case()
+    assert ordered(experience.common_complaints(loose, 2, wide=True)) == ordered(experience.common_complaints(loose, 2))
+    assert ordered(experience.common_complaints(build(spark, reviews=[]), wide=True)) == []
+
+
+def test_few_texts_move_where_digests_go_first(spark):
+    reviews = [(i, 1, 10 + i % 3, DAY1, 1, f"{i % 1500:05d} " * 20) for i in range(1800)]
+    star = build(spark, reviews=reviews)
+    low = star.reviews.select("ProductID", "ReviewText")
+    assert low.where(experience._may_be_common(star, low, 10)).select("ReviewText").distinct().count() < 20
+    assert ordered(experience.common_complaints(star, wide=True)) == ordered(experience.common_complaints(star))
+
+
 def test_no_facts_at_all(spark):
     star = build(spark, journeys=[], reviews=[], engagement=[])
     assert ordered(marketing.engagement_conversion(star)) == []

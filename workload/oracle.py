@@ -227,6 +227,7 @@ _CORE = {
         WHERE best.ProductID IS NULL GROUP BY 1 HAVING avg(Rating) < 3.5 AND count(ReviewID) > 5
         ORDER BY 2 NULLS FIRST, 1 LIMIT 1""",
 }
+_CORE["common_complaints_wide"] = _CORE["common_complaints"]
 _CORE["sentiment_distribution"] = f"""SELECT Category, CAST(n AS DOUBLE) / sum(n) OVER () * CAST(100 AS DOUBLE) AS Percentage
     FROM (SELECT CASE WHEN Sentiment > 0 THEN 'Positive' WHEN Sentiment < 0 THEN 'Negative' ELSE 'Neutral' END AS Category,
           count(*) AS n FROM ({_CORE["review_sentiment"]}) GROUP BY 1)"""

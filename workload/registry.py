@@ -457,6 +457,7 @@ def queries() -> dict[str, Query]:
         "retention_rate": _report(customer.retention_rate),
         "checkout_retention_rate": _checkout(customer.retention_rate, "visits"),
         "common_complaints": _report(experience.common_complaints),
+        "common_complaints_wide": _report(experience.common_complaints, wide=True),
         "one_time_purchasers": _report(customer.one_time_purchasers),
         "one_time_checkout_purchasers": _checkout(customer.one_time_purchasers, "purchase"),
         # business
