@@ -62,6 +62,11 @@ class KDTree:
         return _fitted(np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T)
 
 
+def _order(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places by falling score, ties by rising id; no number is negated, as the least long can't be."""
+    return np.lexsort((~ids, scores))[::-1]
+
+
 def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor: float | int):
     """Scores and ids of the up to ``k`` best rows for one query, without the id ``own``; ties to smaller ids.
 
@@ -69,6 +74,7 @@ def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
     whose bound is below it, or below the k-th score found here, has nothing to add, nor have later ones. A
     bound equal to it may still hide a tie.
     """
+    bounds = bounds.tolist()  # Python's numbers: the least long has no negative
     scores, found = np.empty(0, np.int64 if query.dtype == object else query.dtype), np.empty(0, np.int64)
     waiting = [(-bounds[0], 0)]
     while waiting:
@@ -87,10 +93,10 @@ def search(tree: KDTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
             continue
         scores, found = np.concatenate([scores, here[good]]), np.concatenate([found, ids[rows][good]])
         if len(scores) >= k:
-            best = np.lexsort((found, -scores))[:k]
+            best = _order(scores, found)[:k]
             scores, found = scores[best], found[best]
             floor = max(floor, scores[-1])
-    best = np.lexsort((found, -scores))[:k]
+    best = _order(scores, found)[:k]
     return scores[best], found[best]
 
 

@@ -52,6 +52,19 @@ def test_huge_components_and_a_hot_id(spark, shard_rows):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+def test_the_least_score_is_the_last():
+    """Scores that are cut to the least long come behind all others, in a node's bound and in a row's score."""
+    sides = [-(10**30)] * 6 + [10**30] * 3 + [5] * 3
+    vectors = np.array([[v, 1] for v in sides], dtype=object)
+    tree = topk.KDTree(vectors, 2)
+    query = np.array([1, 0], dtype=object)
+    bounds = tree.bounds(query[None, :])[0]
+    for k, expected in ((2, [6, 7]), (5, [6, 7, 8, 9, 10]), (8, [6, 7, 8, 9, 10, 11, 0, 1])):
+        scores, found = topk.search(tree, np.arange(12), query, -1, bounds, k, topk.NO_FLOOR)
+        assert found.tolist() == expected
+        assert scores.tolist() == [max(-(2**63), min(2**63 - 1, sides[i])) for i in expected]
+
+
 def test_tree_boxes_are_tight_and_search_is_exact():
     pick = np.random.default_rng(2)
     vectors = np.floor(pick.normal(0, 20, (3000, 8)))
