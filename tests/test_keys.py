@@ -71,6 +71,30 @@ def test_clean_tables_are_not_shuffled(spark, tmp_path):
     assert "Aggregate" not in plan
 
 
+def test_reasons_are_found_in_one_read(spark, tmp_path):
+    """However many keys are bad the rows are read once for their reasons, and whole numbers are compared as such."""
+    held = tables(spark)
+    held["customer_journey"].write.parquet(f"{tmp_path}/j")
+    schema = "JourneyID bigint, CustomerID bigint, ProductID bigint, Note string"
+    known = {name: held[name].selectExpr(f"{name[:-1].title()}ID AS key") for name in ("customers", "products")}
+    stored = spark.read.schema(schema).parquet(f"{tmp_path}/j")
+    found = keys._bad_keys(stored, "JourneyID", {"CustomerID": "customers", "ProductID": "products"}, known, "bigint")
+    assert rows(found) == [(5, 1), (6, 0), (99, 2)]
+    told = keys.quarantine({**held, "customer_journey": stored}).told["customer_journey"]
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [JourneyID") == 1 and "as string" not in plan
+
+
+def test_keys_of_other_types_meet_as_text(spark):
+    """A text column names a whole number as it is written, so '01' is not 1."""
+    named = {
+        "products": spark.createDataFrame([(1, "p")], "ProductID bigint, ProductName string"),
+        "engagement_data": spark.createDataFrame([(1, "1"), (2, "01"), (3, "x"), (4, None)], "EngagementID int, ProductID string"),
+    }
+    found = keys.quarantine(named).bad["engagement_data"]
+    assert rows(found) == [(2, "01", "no row in products"), (3, "x", "no row in products")]
+
+
 def test_empty_tables_and_circles(spark):
     held = {name: df.limit(0) for name, df in tables(spark).items()}
     checked = keys.quarantine(held)
