@@ -46,8 +46,8 @@ def splitter(letter: str, number: str, other: str) -> str:
 
 #: entries of a worker's tables of transitions and beginnings, and of each half of its table of words; a full one
 #: is emptied, so a worker's memory does not grow with what it reads
-TABLE, BEGINNINGS = 1 << 18, 1 << 15
-WORDS = 1 << 17
+TABLE, BEGINNINGS = 1 << 18, 1 << 18
+WORDS = 1 << 18
 #: bytes of a word that a beginning is told by
 NEAR = 7
 #: all code points below it were assigned long ago
@@ -119,14 +119,14 @@ class MergeAutomaton:
             self.taken.setdefault((a, b), when)
             self.parts[w] = (a, b)
             self.born[w] = when
-        #: the tokens by their bytes: from a byte to what may follow and the token that ends there
+        #: the tokens by their bytes: from a byte to what may follow, and the length and token that end there
         self.spelling: dict = {}
         for label, token in self.ids.items():
             node = self.spelling
             for byte in label[:-1]:
                 node = node.setdefault(byte, ({}, None))[0]
             last = node.get(label[-1])
-            node[label[-1]] = (last[0] if last else {}, token)
+            node[label[-1]] = (last[0] if last else {}, (len(label), token))
 
     def _arc(self, state: int, token: int, when: int) -> bool:
         """Whether the state of ``state`` has the arc ``token`` before gadget number ``when``."""
@@ -158,9 +158,9 @@ class MergeAutomaton:
             step = node.get(byte)
             if step is None:
                 break
-            node, token = step
-            if token is not None:
-                found.append((seen, token))
+            node, ends = step
+            if ends is not None:
+                found.append(ends)
         else:
             seen += 1  # the end of the word was seen, too
         ahead = tuple(reversed(found))

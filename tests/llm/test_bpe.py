@@ -72,6 +72,18 @@ def test_automaton_is_merging_by_rank():
             assert machine.encode(word) == [numbers[p] for p in parts]
 
 
+def test_beginnings_are_kept():
+    """Words of 60,000 beginnings: what the first pass looked up, the second finds."""
+    machine = bpe.MergeAutomaton(bpe.load_vocabulary(queries.vocabulary_path()))
+    pick = random.Random(9)
+    words = ["".join(pick.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)).encode() for _ in range(60_000)]
+    first = [machine.encode(word) for word in words]
+    walked = []
+    plain, machine._walk = machine._walk, lambda word, place: walked.append(word) or plain(word, place)
+    assert [machine.encode(word) for word in words] == first
+    assert len(walked) < len(words) / 20 and len(machine.near) <= bpe.BEGINNINGS
+
+
 def test_messy_documents(spark, library):
     docs = messy.documents(spark)
     coded = bpe.encode_documents(docs, queries.vocabulary_path())
